@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,7 @@ _PIECES = {
 #: Characters that Python holds to be white space and the tokenizers don't.
 _UNSURE = re.compile("[\x1c-\x1f]")
 #: Pieces that a worker remembers (about 100 bytes each).
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 def tokenizer_file(name: str) -> str:
@@ -59,26 +60,33 @@ class Encoder:
         return None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.kind is None:
             return self._whole(texts)
-        pieces_of, out = _PIECES[self.kind].findall, [b""] * len(texts)
+        pieces_of, known, out = _PIECES[self.kind].findall, self.known, [b""] * len(texts)
         unsure = [i for i, t in enumerate(texts) if _UNSURE.search(t)]
         for i, ids in zip(unsure, self._whole([texts[i] for i in unsure]), strict=True):
             out[i] = ids
-        skip = set(unsure)
-        cut = [(i, pieces_of(t)) for i, t in enumerate(texts) if i not in skip]
-        new = list(set().union(*(p for _, p in cut)) - self.known.keys())
+        skip, waiting, new = set(unsure), [], {}
+        for i, text in enumerate(texts):
+            if i not in skip:
+                pieces = pieces_of(text)
+                ids = list(map(known.get, pieces))
+                if None in ids:
+                    waiting.append((i, pieces, ids))
+                    new.update((p, None) for p, x in zip(pieces, ids, strict=True) if x is None)
+                else:
+                    out[i] = b"".join(ids)
         if new:
-            if len(self.known) > REMEMBERED:
-                self.known = {}
-                new = list(set().union(*(p for _, p in cut)))
-            self.known.update(zip(new, self._whole(new), strict=True))
-        get = self.known.__getitem__
-        for i, pieces in cut:
-            out[i] = b"".join(map(get, pieces))
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+            new = dict(zip(new, self._whole(list(new)), strict=True))
+            known.update(new)
+            for i, pieces, ids in waiting:
+                out[i] = b"".join([new[p] if x is None else x for p, x in zip(pieces, ids, strict=True)])
         return out
 
 
