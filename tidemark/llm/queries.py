@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import content_store, linear_grouping
+from tidemark.llm import content_store, exact_topk, linear_grouping, mixing, secret_scan, simhash, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_content_store": content_store.op3,
     "op4_linear_grouping": linear_grouping.op4,
+    "op5_url_rules": url_rules.op5,
+    "op6_mixing": mixing.op6,
+    "op7_golay_simhash": simhash.op7,
+    "op8_nra_topk": exact_topk.op8,
+    "op10_secret_battery": secret_scan.op10,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_url_rules": url_rules.SQL,
+    "op6_mixing": mixing.SQL,
+    "op8_nra_topk": exact_topk.SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
