@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import content_store, exact_topk, linear_grouping, mixing, secret_scan, simhash, url_rules
+from tidemark.llm import content_store, exact_topk, line_crf, linear_grouping, mixing, robust_outliers, secret_scan, simhash, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mcd_outliers": robust_outliers.op1,
+    "op2_gbt_toxicity": toxicity.op2,
     "op3_content_store": content_store.op3,
     "op4_linear_grouping": linear_grouping.op4,
     "op5_url_rules": url_rules.op5,
     "op6_mixing": mixing.op6,
     "op7_golay_simhash": simhash.op7,
     "op8_nra_topk": exact_topk.op8,
+    "op9_line_crf": line_crf.op9,
     "op10_secret_battery": secret_scan.op10,
 }
 ORACLE_SQL: dict[str, str] = {

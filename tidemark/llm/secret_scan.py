@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, slices
+from tidemark.llm.tails import chi2_tail, normal_tail
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -51,27 +52,6 @@ def _char_table() -> np.ndarray:
 _TABLE = _char_table()
 
 
-def _normal_tail(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2))
-
-
-def _chi2_tail(x: float, dof: int) -> float:
-    """Upper tail of the chi-squared distribution, by the series and recursion for whole degrees of freedom."""
-    half = x / 2
-    if dof % 2:
-        p, term, k = math.erfc(math.sqrt(half)), math.sqrt(half / math.pi) * 2 * math.exp(-half), 1
-        while k < dof:
-            p += term
-            k += 2
-            term *= x / k
-    else:
-        p, term = 0.0, math.exp(-half)
-        for k in range(dof // 2):
-            p += term
-            term *= half / (k + 1)
-    return min(1.0, p)
-
-
 def infer_encoding(run: str) -> str | None:
     """The smallest alphabet that holds the run; None for plain numbers."""
     used = set(run)
@@ -85,19 +65,19 @@ def battery(codes: np.ndarray, size: int) -> float:
     n = len(codes)
     bins = np.bincount(codes * 8 // size, minlength=8)
     expected = n * np.bincount(np.arange(size) * 8 // size, minlength=8) / size
-    p = [_chi2_tail(float(((bins - expected) ** 2 / expected).sum()), 7)]
+    p = [chi2_tail(float(((bins - expected) ** 2 / expected).sum()), 7)]
     high = codes * 2 >= size
     a, b = int(high.sum()), int(n - high.sum())
     if a and b:
         runs, mean = 1 + int((high[1:] != high[:-1]).sum()), 1 + 2 * a * b / n
         spread = math.sqrt(max(1e-9, 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))))
-        p.append(_normal_tail((runs - mean) / spread))
+        p.append(normal_tail((runs - mean) / spread))
     else:
         p.append(2.0 ** (1 - n))
     centred = codes - codes.mean()
     var = float((centred**2).sum())
-    p.append(_normal_tail((float((centred[1:] * centred[:-1]).sum()) / var + 1 / n) * math.sqrt(n)) if var else 0.0)
-    return _chi2_tail(-2 * sum(math.log(max(x, 1e-300)) for x in p), 2 * len(p))
+    p.append(normal_tail((float((centred[1:] * centred[:-1]).sum()) / var + 1 / n) * math.sqrt(n)) if var else 0.0)
+    return chi2_tail(-2 * sum(math.log(max(x, 1e-300)) for x in p), 2 * len(p))
 
 
 def ordinary_level(run: str) -> int:
