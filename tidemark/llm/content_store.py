@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,6 @@ from tidemark.llm.tokens import encoder
 DIGEST = 16  # bytes
 WINDOW, LEAST, MOST = 16, 64, 1024  # ids that the rolling hash covers; ids in a chunk
 CUT_BITS = 8  # a cut where these many top bits are zero: about 256 ids after LEAST
-_BASE = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
-_UNBASE = pow(_BASE, -1, 1 << 64)
 
 
 def _digest(data: bytes) -> bytes:
@@ -47,21 +46,34 @@ def merkle_root(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
-def cut_points(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of one document's ids, by a polynomial rolling hash over the last WINDOW ids."""
-    n = len(ids)
-    if n <= LEAST:
-        return [n]
-    power = np.cumprod(np.full(n, _BASE, dtype=np.uint64), dtype=np.uint64)
-    inverse = np.cumprod(np.full(n, _UNBASE, dtype=np.uint64), dtype=np.uint64)
-    mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    mixed ^= mixed >> np.uint64(32)
-    total = np.cumsum(mixed * inverse, dtype=np.uint64)
-    before = np.concatenate([np.zeros(min(WINDOW, n), dtype=np.uint64), total[: max(0, n - WINDOW)]])
-    rolling = (total - before) * power
-    rolling *= np.uint64(0xFF51AFD7ED558CCD)
+@lru_cache(maxsize=1)
+def _gear(size: int = 1 << 16) -> np.ndarray:
+    """A fixed pseudo-random number for each id (larger ids share them)."""
+    x = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(27))) >> np.uint64(32)).astype(np.uint32)
+
+
+def cut_candidates(ids: np.ndarray) -> np.ndarray:
+    """Places after which the rolling hash of the last WINDOW ids has CUT_BITS zero bits on top.
+
+    Each id's number is shifted by its distance, so that older ones drop out; the sum over the
+    window is built by doubling. Places nearer than WINDOW to a start are never used, so documents
+    can lie one after another in `ids`.
+    """
+    h = _gear()[ids & 0xFFFF]
+    width = 1
+    while width < WINDOW:
+        wider = h.copy()
+        wider[width:] += h[:-width] << np.uint32(width)
+        h, width = wider, 2 * width
+    return np.flatnonzero((h * np.uint32(0x9E3779B1)) >> np.uint32(32 - CUT_BITS) == 0) + 1
+
+
+def cut_points(n: int, candidates: list[int]) -> list[int]:
+    """Ends of the chunks of n ids: candidates LEAST apart, and at most MOST ids in a chunk."""
     ends, last = [], 0
-    for at in (np.flatnonzero(rolling >> np.uint64(64 - CUT_BITS) == 0) + 1).tolist():
+    for at in candidates:
         while at - last > MOST:
             last += MOST
             ends.append(last)
@@ -86,23 +98,29 @@ def _entries(tokenizer: str, end_id: int):
         end, seen = np.array([end_id], dtype=enc.dtype).tobytes(), set()
         schema = pa.schema([("kind", pa.string()), ("digest", pa.binary()), ("payload", pa.binary()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.binary()), ("row", pa.int64())])
         for batch in slices(batches):
-            ids_of = enc.encode([t or "" for t in batch.column(1).to_pylist()])
-            rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), ids_of, strict=True):
-                data, at, digests = ids + end, 0, []
-                for to in cut_points(np.frombuffer(data, dtype=enc.dtype)):
+            ids_of = [ids + end for ids in enc.encode([t or "" for t in batch.column(1).to_pylist()])]
+            firsts = np.cumsum([0, *(len(x) // size for x in ids_of)])
+            cuts = cut_candidates(np.frombuffer(b"".join(ids_of), dtype=enc.dtype))
+            edges = np.searchsorted(cuts, firsts, "right")
+            chunks: tuple[list, list] = ([], [])
+            recipes = []
+            for k, data in enumerate(ids_of):
+                at, digests, n = 0, [], len(data) // size
+                for to in cut_points(n, (cuts[edges[k] : edges[k + 1]] - firsts[k]).tolist()):
                     piece = data[at * size : to * size]
                     digests.append(key := _digest(piece))
                     if key not in seen:
                         if len(seen) > 1_000_000:
                             seen.clear()
                         seen.add(key)
-                        rows.append(("chunk", key, piece, None, None, None, None))
+                        chunks[0].append(key)
+                        chunks[1].append(piece)
                     at = to
-                recipe = b"".join(digests)
-                rows.append(("recipe", _digest(recipe), None, doc_id, len(data) // size, recipe, row))
-                row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                recipes.append(b"".join(digests))
+            n, m = len(chunks[0]), len(recipes)
+            columns = (["chunk"] * n + ["recipe"] * m, chunks[0] + [_digest(x) for x in recipes], chunks[1] + [None] * m, [None] * n + batch.column(0).to_pylist(), [None] * n + np.diff(firsts).tolist(), [None] * n + recipes, [None] * n + list(range(row, row + m)))
+            row += m
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
@@ -176,22 +194,39 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
 _POLY = 0xEDB88320
 
 
-def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Products of polynomials modulo that of CRC-32, in its reflected bit order."""
-    out, b = np.zeros(len(a), dtype=np.uint32), b.astype(np.uint32).copy()
-    for bit in range(31, -1, -1):
-        out ^= np.where((a >> np.uint32(bit)) & np.uint32(1), b, np.uint32(0))
-        b = (b >> np.uint32(1)) ^ np.where(b & np.uint32(1), np.uint32(_POLY), np.uint32(0))
-    return out
+def _times_x(bits: int, n: int) -> int:
+    """A polynomial times x**n modulo that of CRC-32, in its reflected bit order."""
+    for _ in range(n):
+        bits = (bits >> 1) ^ (_POLY if bits & 1 else 0)
+    return bits
+
+
+@lru_cache(maxsize=64)
+def _append_table(power: int) -> np.ndarray:
+    """What 2**power further bytes do to each byte of a CRC: a linear map as four tables of 256."""
+    if power == 0:
+        image = np.array([_times_x(1 << b, 8) for b in range(32)], dtype=np.uint32)
+    else:
+        half = _append_table(power - 1)
+        image = _look_up(half, _look_up(half, np.uint32(1) << np.arange(32, dtype=np.uint32)))
+    tables = np.zeros((4, 256), dtype=np.uint32)
+    for part in range(4):
+        for b in range(8):
+            tables[part] ^= np.where((np.arange(256) >> b) & 1, image[8 * part + b], 0).astype(np.uint32)
+    return tables
+
+
+def _look_up(tables: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    return tables[0][crc & 255] ^ tables[1][(crc >> 8) & 255] ^ tables[2][(crc >> 16) & 255] ^ tables[3][crc >> 24]
 
 
 def crc_after(crc: np.ndarray, bytes_after: np.ndarray) -> np.ndarray:
     """What parts with these CRCs add (by xor) to the CRC of a whole in which so many bytes follow."""
-    step, out, left = np.full(len(crc), 1 << 23, dtype=np.uint32), crc.astype(np.uint32), bytes_after.astype(np.int64).copy()
-    while left.any():
-        odd = (left & 1) == 1
-        out[odd] = _times(step[odd], out[odd])
-        step, left = _times(step, step), left >> 1
+    out, power = crc.astype(np.uint32), 0
+    while (bytes_after >> power).any():
+        odd = ((bytes_after >> power) & 1) == 1
+        out[odd] = _look_up(_append_table(power), out[odd])
+        power += 1
     return out
 
 
