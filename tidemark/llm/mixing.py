@@ -79,30 +79,47 @@ def _thresholds(spark: SparkSession, sized: DataFrame, budgets: dict[str | None,
     return {s: c.bucket + (2 * c.below + c.whole < 2 * c.budget) for s, c in cuts.items()}
 
 
-def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """A row for each row of docs: doc_id, source, size, source_size, target, taken, times (how often the mix has it).
-
-    Size is the text's words (null: 0). Sources are sorted by code point, null last, and weigh
-    `weights` in turn. A source without words has target 0. Rows that share a doc_id within a source
-    share a hash and are taken alike; null doc_ids are one such group. The sources' totals (a row
-    for each source) are the only thing gathered. Further columns are not read.
-    """
-    spark = docs.sparkSession
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"))
-    sized = scratch.save(sized.withColumn("hash", hash48(F.col("doc_id"))), "sized")
+    return sized.withColumn("hash", hash48(F.col("doc_id")))
+
+
+def _plan(spark: SparkSession, sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """A row for each source: _source, source_size, target, and which of its hashes are taken how often."""
     totals = [(r["source"], r["n"] or 0) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()]
     target = targets(totals, weights, most)
     passes = {s: math.floor(target[s] / n) if n else 0 for s, n in totals}
     budgets = {s: target[s] - passes[s] * n for s, n in totals}
     cut = _thresholds(spark, sized, {s: b for s, b in budgets.items() if b > 0})
     schema = T.StructType([T.StructField("_source", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("_passes", T.LongType()), T.StructField("_cut", T.LongType())])
-    plan = spark.createDataFrame([(s, n, target[s], passes[s], cut.get(s, 0)) for s, n in totals], schema)
+    return spark.createDataFrame([(s, n, target[s], passes[s], cut.get(s, 0)) for s, n in totals], schema)
+
+
+def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """A row for each row of docs: doc_id, source, size, source_size, target, taken, times (how often the mix has it).
+
+    Size is the text's words (null: 0). Sources are sorted by code point, null last, and weigh
+    `weights` in turn. A source without words has target 0. Rows that share a doc_id within a source
+    share a hash and are taken alike; null doc_ids are one such group. The sources' totals (a row
+    for each source) are the only thing gathered. Further columns are not read.
+    """
+    sized = scratch.save(_sized(docs, id_col, text_col, source_col), "sized")
+    plan = _plan(docs.sparkSession, sized, weights, most)
     times = F.col("_passes") + (F.col("hash") < F.col("_cut")).cast("long")
     out = sized.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("times", times)
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
 
 
+def mixed_documents(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """docs' rows as often as the mix has them, by a filter on each row's own hash; see mix for the rules."""
+    sized = scratch.save(_sized(docs, id_col, text_col, source_col), "sized")
+    plan = _plan(docs.sparkSession, sized, weights, most).select("_source", "_passes", "_cut")
+    times = F.col("_passes") + (hash48(F.col(id_col).cast("long")) < F.col("_cut")).cast("long")
+    placed = docs.join(plan, docs[source_col].cast("string").eqNullSafe(F.col("_source"))).withColumn("_times", times.cast("int")).where("_times > 0")
+    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix over all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
