@@ -3,9 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch
 from tidemark.llm.linear_grouping import pack
+from tidemark.llm.mixing import mixed_documents
+from tidemark.llm.secret_scan import redact
+from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.toxicity import THRESHOLD, score_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose calibrated score is below the threshold, with all their columns."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = score_toxicity(docs, labels, Scratch(spark, "pipeline-toxicity"))
+    return scored.where(F.col("score") < THRESHOLD).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate component the document with the smallest doc_id; rows without a doc_id stay."""
+    found = near_duplicates(docs, Scratch(spark, "pipeline-simhash"))
+    stays = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each secret replaced by its kind."""
+    return redact(docs, Scratch(spark, "pipeline-secrets"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix to target weights has them: none, or up to three times."""
+    return mixed_documents(docs, Scratch(spark, "pipeline-mixing"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,9 +44,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("SimHash near-dedup", near_dedup),
+    ("secret scans", secrets),
+    ("mixing sources to target weights", mixing),
     ("best-fit packing", packing),
 ]
-#: Learnt scores, hashes and packing have no SQL form; tests hold the stages against brute force.
+#: Learnt scores, fingerprints and packing have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -26,4 +60,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         docs = scratch.save(stage(spark, docs, sf_dir), f"stage-{k}")
+        if k:
+            scratch.drop(f"stage-{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
