@@ -10,8 +10,6 @@ k best per query are merged by Spark.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +20,9 @@ from tidemark.llm.common import Scratch
 
 SCALE = 256
 BLOCK, QUERIES = 4096, 1024  # vectors in a block, queries in a block, about
-STRETCHES = 6  # in which lists are read
+STEP = 256  # queries that a task bounds at once
+DEPTHS = (0.4, 0.6, 0.75, 0.88)  # shares of the lists after which bounds are compared
+FEW = 20  # times k candidates that are worth resolving
 
 
 def usable(vector: Column) -> Column:
@@ -43,62 +43,63 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 class Lists:
-    """A block's vectors as sorted lists, one for each dimension."""
+    """A block's vectors as sorted lists, one for each dimension, that all queries of a block read in step.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32)  # ascending; read from behind for positive weights
-        self.sorted = np.take_along_axis(vectors.T, self.order, axis=1)
+    A list is read downwards for positive weights and upwards for negative ones, so its reading is
+    the same for every query; bounds of all queries and vectors are then sums of products.
+    """
 
-    def best(self, query: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best for a query, ties to the smaller id, without the query's own id."""
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors.astype(np.float64)
+        ascending = np.argsort(vectors, axis=0, kind="stable")
+        self.place = np.empty_like(ascending)  # of each vector in each list, upwards
+        np.put_along_axis(self.place, ascending, np.arange(len(ids))[:, None], axis=0)
+        self.sorted = np.take_along_axis(self.vectors, ascending, axis=0)
+
+    def bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds after `depth` entries of each list: unread components count as the list's worst, and as the last read."""
         n = len(self.ids)
-        used = np.flatnonzero(query)
-        weight = query[used]
-        up = weight > 0
-        gain = np.where(up[:, None], self.sorted[used, ::-1], self.sorted[used]) * weight[:, None]  # descending in each list
-        order = np.where(up[:, None], self.order[used, ::-1], self.order[used])
-        worst = gain[:, -1] if len(used) else np.zeros(0, dtype=np.int64)
-        # Above its worst: what a read entry adds to a lower bound that starts with every list's worst.
-        lower = np.full(n, int(worst.sum()), dtype=np.float64)
-        unread = np.zeros(n, dtype=np.float64)  # of lists whose entry was read: the worst and best there, to correct the bounds
-        other = self.ids != query_id
-        keep = np.flatnonzero(other)
-        if len(keep) > k and len(used):
-            last = np.zeros(len(used), dtype=np.int64)
-            edges = np.linspace(0, n, STRETCHES + 1).astype(int)
-            seen: list[np.ndarray] = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                at = order[:, a:b].ravel()
-                lower += np.bincount(at, weights=(gain[:, a:b] - worst[:, None]).ravel(), minlength=n)
-                seen.append(at)
-                last = gain[:, b - 1] - worst  # what an unread entry of each list can add at most
-                # Upper bound: the lower one and, for each list not read for this vector, its last read gain.
-                unread = np.full(n, float(last.sum()))
-                for x, y in zip(seen, edges[:-1], strict=False):
-                    unread -= np.bincount(x, weights=np.repeat(last, len(x) // len(used)), minlength=n)
-                kth = np.partition(lower[keep], -k)[-k]
-                may = keep[lower[keep] + unread[keep] >= kth]
-                if len(may) <= 4 * k or b == n:
-                    keep = may
-                    break
-        score = self.vectors[keep] @ query
-        top = np.lexsort((self.ids[keep], -score))[:k]
-        return self.ids[keep][top], score[top]
+        high, low = self.place >= n - depth, self.place < depth  # read downwards, read upwards
+        lower = up @ np.where(high, self.vectors, self.sorted[0]).T + down @ np.where(low, self.vectors, self.sorted[-1]).T
+        if depth >= n:
+            return lower, lower
+        return lower, up @ np.where(high, self.vectors, self.sorted[n - depth]).T + down @ np.where(low, self.vectors, self.sorted[depth - 1]).T
+
+    def best(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and scores of its k best, ties to the smaller id, without the query's own id."""
+        n, out = len(self.ids), [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
+        queries = queries.astype(np.float64)
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        open_ = np.arange(len(queries))
+        for depth in sorted({max(1, int(n * x)) for x in DEPTHS} | {n}):
+            lower, upper = self.bounds(up[open_], down[open_], depth)
+            own = self.ids[None, :] == query_ids[open_][:, None]
+            lower[own] = -np.inf
+            kth = np.partition(lower, -k, axis=1)[:, -k] if n > k else np.full(len(open_), -np.inf)
+            may = (upper >= kth[:, None]) & ~own  # others cannot qualify any more
+            done = (may.sum(axis=1) <= FEW * k) if depth < n else np.ones(len(open_), dtype=bool)
+            for at in np.flatnonzero(done).tolist():
+                rows = np.flatnonzero(may[at])
+                score = (self.vectors[rows] @ queries[open_[at]]).astype(np.int64)
+                top = np.lexsort((self.ids[rows], -score))[:k]
+                out[open_[at]] = (self.ids[rows][top], score[top])
+            open_ = open_[~done]
+            if not len(open_):
+                break
+        return out
 
 
 def _block_best(k: int, width: int):
     def run(key: tuple, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "query_row": [], "vec_id": [], "score": []}
+        parts: list[np.ndarray] = [np.zeros((0, 4), dtype=np.int64)]
         if len(queries) and len(rows):
             lists = Lists(rows["vec_id"].to_numpy(dtype=np.int64), _matrix(rows["vector"], width))
-            for row, query_id, query in zip(queries["row"], queries["vec_id"], _matrix(queries["vector"], width), strict=True):
-                ids, scores = lists.best(query, int(query_id), k)
-                out["query_id"] += [int(query_id)] * len(ids)
-                out["query_row"] += [int(row)] * len(ids)
-                out["vec_id"] += ids.tolist()
-                out["score"] += scores.tolist()
-        return pd.DataFrame(out).astype("int64")
+            for at in range(0, len(queries), STEP):
+                asked = queries.iloc[at : at + STEP]
+                found = lists.best(_matrix(asked["vector"], width), asked["vec_id"].to_numpy(dtype=np.int64), k)
+                for row, query_id, (ids, scores) in zip(asked["row"], asked["vec_id"], found, strict=True):
+                    parts.append(np.stack([np.full(len(ids), query_id), np.full(len(ids), row), ids, scores], axis=1))
+        return pd.DataFrame(np.concatenate(parts), columns=["query_id", "query_row", "vec_id", "score"])
 
     return run
 
