@@ -131,7 +131,7 @@ def scan(texts: list[str]) -> tuple[list[list[tuple[int, int, int]]], list[list[
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
-_FOUND = f"base {_SPANS}, runs array<struct<start:int,end:int,level:int,band:int>>"
+_FOUND = f"secret_base {_SPANS}, secret_runs array<struct<start:int,end:int,level:int,band:int>>"
 
 
 def _scan(text_col: str):
@@ -142,7 +142,7 @@ def _scan(text_col: str):
         for batch in slices(batches):
             base, other = scan([t or "" for t in batch.column(text_col).to_pylist()])
             found = [pa.array([[dict(zip(("start", "kind", "end"), x, strict=True)) for x in xs] for xs in base], span), pa.array([[dict(zip(("start", "end", "level", "band"), x, strict=True)) for x in xs] for xs in other], run)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "base", "runs"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "secret_base", "secret_runs"])
 
     return run_
 
@@ -160,20 +160,20 @@ def least_levels(histogram: dict[tuple[int, int], int], share: float = FALSE_DIS
 
 
 def find_secrets(docs: DataFrame, scratch: Scratch, text_col: str = "text") -> DataFrame:
-    """docs with `base` and `all_spans`: arrays of (start, kind, end), sorted; kind is a place in KINDS.
+    """docs with `secret_base` and `secret_spans`: arrays of (start, kind, end), sorted; kind is a place in KINDS.
 
     Positions count code points, end exclusive. Null texts have no spans. Every column of docs
-    stays, whatever its name (but `base`, `runs` and `all_spans` are replaced); repeated rows stay.
+    stays, whatever its name (but ones of these two names and `secret_runs` are replaced); repeated rows stay.
     """
     spark = docs.sparkSession
-    own = docs.drop("base", "runs", "all_spans")
+    own = docs.drop("secret_base", "secret_runs", "secret_spans")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
     found = scratch.save(own.mapInArrow(_scan(text_col), f"{fields}, {_FOUND}"), "found")
-    each = found.select(F.explode("runs").alias("r")).groupBy("r.band", "r.level").agg(F.count(F.lit(1)).alias("n"))
+    each = found.select(F.explode("secret_runs").alias("r")).groupBy("r.band", "r.level").agg(F.count(F.lit(1)).alias("n"))
     least = least_levels({(r["band"], r["level"]): r["n"] for r in each.collect()})  # at most 3 bands of 801 levels
     test = " or ".join(f"(x.band = {b} and x.level >= {v})" for b, v in sorted(least.items())) or "false"
-    added = F.expr(f"transform(filter(runs, x -> {test}), x -> named_struct('start', x.start, 'kind', {KINDS.index('random')}, 'end', x.end))")
-    return found.withColumn("all_spans", F.array_sort(F.concat("base", added))).drop("runs")
+    added = F.expr(f"transform(filter(secret_runs, x -> {test}), x -> named_struct('start', x.start, 'kind', {KINDS.index('random')}, 'end', x.end))")
+    return found.withColumn("secret_spans", F.array_sort(F.concat("secret_base", added))).drop("secret_runs")
 
 
 def joined(spans: str) -> Column:
@@ -183,15 +183,15 @@ def joined(spans: str) -> Column:
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {k})) as long)").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
-    return found.select(id_col, *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("all_spans").alias("spans"))
+    counts = [F.expr(f"cast(size(filter(secret_base, x -> x.kind = {k})) as long)").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
+    return found.select(id_col, *counts, F.sha2(joined("secret_base").cast("binary"), 256).alias("base_sha256"), joined("secret_spans").alias("spans"))
 
 
 def _redact(text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = []
-            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("all_spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("secret_spans").to_pylist(), strict=True):
                 if text and spans:
                     parts, at = [], 0
                     for s in spans:
@@ -200,7 +200,7 @@ def _redact(text_col: str):
                             at = s["end"]
                     text = "".join([*parts, text[at:]])
                 texts.append(text)
-            names = [n for n in batch.schema.names if n not in ("base", "all_spans")]
+            names = [n for n in batch.schema.names if n not in ("secret_base", "secret_spans")]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text_col else batch.column(n) for n in names], names=names)
 
     return run
@@ -209,7 +209,7 @@ def _redact(text_col: str):
 def redact(docs: DataFrame, scratch: Scratch, text_col: str = "text") -> DataFrame:
     """docs with every secret replaced by its kind in brackets; n_chars, if it is there, follows the new text."""
     found = find_secrets(docs, scratch, text_col)
-    kept = [f for f in found.schema.fields if f.name not in ("base", "all_spans")]
+    kept = [f for f in found.schema.fields if f.name not in ("secret_base", "secret_spans")]
     out = found.mapInArrow(_redact(text_col), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept))
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
