@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tidemark.plans.registry import QUERIES, SQL
 
-_MODULES = ("alignment", "ordered", "evaluation", "trading", "splitting", "tables", "jobs")
+_MODULES = ("alignment", "ordered", "evaluation", "trading", "splitting", "tables", "lookups", "jobs")
 
 
 def all_queries() -> dict:
