@@ -139,7 +139,9 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     grouped = scratch.save(stats.join(groups, ["lang", "source"], "left").drop("lang", "source"), "grouped")
     used = grouped.where("not base_failed").select("g_lang", "g_source", *NAMES)
 
+    # Every table with a row for each group is written before it is joined, so that Spark knows its size and needn't deal the documents by group.
     medians = used.groupBy("g_lang", "g_source").agg(*(F.percentile_approx(c, 0.5, 2000).alias(f"m{i}") for i, c in enumerate(NAMES)))
+    medians = scratch.save(medians, "medians")
     apart = _on_group(used, medians).groupBy("g_lang", "g_source").agg(*(F.percentile_approx(F.abs(F.col(c) - F.col(f"m{i}")), 0.5, 2000).alias(f"d{i}") for i, c in enumerate(NAMES)))
     start = _on_group(medians, apart)
     diagonal = [F.lit(0.0).alias(f"p{i}_{j}") if i != j else (1 / (F.pow(1.4826 * F.col(f"d{i}"), 2) + STATISTICS[NAMES[i]] ** 2)).alias(f"p{i}_{j}") for i in range(P) for j in range(i, P)]
@@ -147,12 +149,12 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     for step in range(1, STEPS + 1):
         far = _on_group(used, model).withColumn("d2", F.expr(_distance())).select("g_lang", "g_source", *NAMES, "d2")
         reach = far.groupBy("g_lang", "g_source").agg(F.percentile_approx("d2", COVER, 2000).alias("reach"))
-        near = _on_group(far, reach).where("d2 <= reach")
+        near = _on_group(far, scratch.save(reach, f"reach-{step}")).where("d2 <= reach")
         sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)] + [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}_{j}") for i in range(P) for j in range(i, P)]
         summed = near.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("n"), *sums)
         model = scratch.save(summed.mapInPandas(lambda parts: (_model(x) for x in parts if len(x)), _MODEL), f"model-{step}")
     sizes = used.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("size_of_group"))
-    judged = _on_group(grouped, _on_group(model, sizes))
+    judged = _on_group(grouped, scratch.save(_on_group(model, sizes), "final"))
     distance = F.when(~F.col("base_failed") & (F.col("size_of_group") >= 2 * P), F.sqrt(F.greatest(F.lit(0.0), F.expr(_distance()))))
     cutoff = float(np.sqrt(chi2_quantile(1 - REJECT, P)))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
