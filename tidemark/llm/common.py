@@ -110,12 +110,15 @@ def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
         seen = both.join(of_v, "v").join(of_u, "u").where("lv < lu")
         told = seen.select(F.explode(F.array("u", "lu")).alias("node"), F.col("lv").alias("told")).groupBy("node").agg(F.min("told").alias("told"))
         lower = labels.join(told, "node", "left").select("node", F.least("label", "told").alias("label"), F.col("label").alias("was"))
+        # Written, so that both sides of the next join are dealt anew and a frequent label can be split.
+        lower = scratch.save(lower, f"lower-{k}")
         # A label that was just lowered stands one step nearer its root.
-        target = labels.join(told, "node", "left").select(F.col("node").alias("label"), F.least("label", "told").alias("jump"))
+        target = lower.select(F.col("node").alias("label"), F.col("label").alias("jump"))
         jumped = lower.join(target, "label", "left").select("node", F.least("label", "jump").alias("label"), "was")
         now = scratch.save(jumped, f"labels-{k}")
         moved = now.where("label < was").limit(1).count()
         scratch.drop(f"labels-{k - 1}")
+        scratch.drop(f"lower-{k}")
         labels = now.select("node", "label")
         if not moved:
             break
