@@ -203,3 +203,14 @@ def test_unseen_categories_and_sentinels(spark):
     new = missing.encode(spark.createDataFrame([("x",), ("z",), (None,)], "c string"), "c", codes)
     assert {r.c: r.c_code for r in new.collect()} == {"x": 0, "z": -1, None: -1}
     assert missing.sentinels(train, ["v"]).first().v == -2.0
+
+
+def test_quantiles_are_exact(spark):
+    rng = random.Random(11)
+    values = sorted([rng.randint(-(10**12), 10**12) for _ in range(500)] + [7] * 60)
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long")
+    for q in (0.0, 0.1, 0.37, 0.5, 0.999, 1.0):
+        at = q * (len(values) - 1)
+        low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+        assert abs(splits.exact_quantile(df, "v", q) - (low + (at - int(at)) * (high - low))) < 1e-3
+    assert splits.exact_quantile(df.where("v is null"), "v", 0.5) is None

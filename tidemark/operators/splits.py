@@ -20,6 +20,34 @@ def with_session(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("_day", F.to_date(ts)).join(F.broadcast(days), "_day", "left").drop("_day")
 
 
+def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
+    """The interpolated quantile of a whole-number column, by counting in ever finer bins: no task ever holds the values.
+
+    Null if the column has none.
+    """
+    own = df.select(F.col(column).cast("long").alias("v")).where("v is not null")
+    facts = own.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not facts["n"]:
+        return None
+    place = share * (facts["n"] - 1)
+    rank, low, high, below = int(place), facts["lo"], facts["hi"], 0
+    while True:
+        width = (high - low) // 4096 + 1
+        bins = own.where(F.col("v").between(low, high)).groupBy(F.floor((F.col("v") - low) / width).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        for r in sorted(bins.collect(), key=lambda r: r["b"]):  # at most 4097 rows
+            if below + r["n"] > rank:
+                break
+            below += r["n"]
+        if r["lo"] == r["hi"]:
+            break
+        low, high = r["lo"], r["hi"]
+    value = r["lo"]
+    if place == rank or below + r["n"] > rank + 1:
+        return float(value)
+    above = own.where(F.col("v") > value).agg(F.min("v").alias("v")).first()["v"]
+    return value + (place - rank) * (above - value)
+
+
 def three_way(df: DataFrame, val: float, test: float, embargo: int, ts: str = "ts") -> DataFrame:
     """df with split: train, val, test, or embargo for the sessions after each cut.
 
@@ -28,8 +56,10 @@ def three_way(df: DataFrame, val: float, test: float, embargo: int, ts: str = "t
     """
     own = with_session(df, ts)
     micros = epoch_micros(F.col(ts))
-    cuts = own.agg(F.percentile(micros, 1 - val - test).alias("_a"), F.percentile(micros, 1 - test).alias("_b"))
-    ends = own.crossJoin(cuts).agg(F.first("_a").alias("_a"), F.first("_b").alias("_b"), F.max(F.when(micros <= F.col("_a"), F.col("session"))).alias("_sa"), F.max(F.when(micros <= F.col("_b"), F.col("session"))).alias("_sb"))
+    timed = df.select(micros.alias("_m"))
+    first, second = (exact_quantile(timed, "_m", q) for q in (1 - val - test, 1 - test))
+    own = own.withColumns({"_a": F.lit(first), "_b": F.lit(second)})
+    ends = own.agg(F.max(F.when(micros <= F.col("_a"), F.col("session"))).alias("_sa"), F.max(F.when(micros <= F.col("_b"), F.col("session"))).alias("_sb"))
     s = F.col("session")
     part = F.when(micros <= F.col("_a"), "train").when((micros <= F.col("_b")) & (s > F.col("_sa") + embargo), "val").when((micros > F.col("_b")) & (s > F.col("_sb") + embargo), "test").otherwise("embargo")
     return own.crossJoin(ends).withColumn("split", part).drop("_a", "_b", "_sa", "_sb")
