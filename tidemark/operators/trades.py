@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.operators.windows import fires, onset, true_range, wilder_atr  # noqa: F401
+from tidemark.operators.scan import running
+from tidemark.operators.windows import fires, wilder_atr  # noqa: F401
 
 
 def strategies(spark, rows: list[tuple[str, str, list[str]]]) -> DataFrame:
@@ -39,14 +40,19 @@ def bar_events(grid: DataFrame, keys: list[str], versions: DataFrame, signal: st
     return each.withColumns({"is_entry": filled & (F.col(signal) == F.col("entry")), "is_exit": filled & F.array_contains("exits", F.col(signal))})
 
 
-def pair_trades(events: DataFrame, keys: list[str], charge: float = 0.0, ts: str = "ts") -> DataFrame:
+def pair_trades(events: DataFrame, keys: list[str], charge: float = 0.0, ts: str = "ts", chunk: str | None = None) -> DataFrame:
     """A row for each entry: it closes at the first later exit of its version, or at the series' last close.
 
     Columns: keys, version, entry_bar, entry_ts, entry_price, exit_bar, exit_ts, exit_price, reason, points, net.
+    With a chunk column (a session, say) exits are looked for in two levels, so no series has to fit one task.
     """
-    ahead = W.partitionBy(*keys, "version").orderBy(ts).rowsBetween(1, W.unboundedFollowing)
     exit_ = F.when(F.col("is_exit"), F.struct("bar", "fill_ts", "fill_price"))
-    seen = events.withColumn("_exit", F.first(exit_, ignorenulls=True).over(ahead)).where("is_entry")
+    if chunk:
+        seen = running(events.withColumn("_own", exit_), [*keys, "version"], chunk, [ts], {"_exit": ("first", "_own")}, ahead=True, inclusive=False)
+    else:
+        ahead = W.partitionBy(*keys, "version").orderBy(ts).rowsBetween(1, W.unboundedFollowing)
+        seen = events.withColumn("_exit", F.first(exit_, ignorenulls=True).over(ahead))
+    seen = seen.where("is_entry")
     closed = F.col("_exit").isNotNull()
     trades = seen.select(*keys, "version", (F.col("bar") + 1).alias("entry_bar"), F.col("fill_ts").alias("entry_ts"), F.col("fill_price").alias("entry_price"), (F.col("_exit.bar") + 1).alias("exit_bar"), F.when(closed, F.col("_exit.fill_ts")).otherwise(F.col("last_ts")).alias("exit_ts"), F.when(closed, F.col("_exit.fill_price")).otherwise(F.col("last_close")).alias("exit_price"), F.when(closed, "exit").otherwise("end_of_data").alias("reason"))
     points = F.col("exit_price") - F.col("entry_price")

@@ -33,23 +33,32 @@ def losing_streaks(df: DataFrame, keys: list[str], order: str, wrong: str) -> Da
     return runs.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("length"), "first")))
 
 
-def score_drawdowns(df: DataFrame, keys: list[str], order: str, wrong: str) -> DataFrame:
+def score_drawdowns(df: DataFrame, keys: list[str], order: str, wrong: str, chunk: str | None = None) -> DataFrame:
     """(keys, depth, first, last, recovered): falls of the score (+1 right, -1 wrong) below its running peak.
 
     The peak starts at 0. An episode lasts while the peak stays what it was and closes only when
     the score exceeds it; the last of a series may be open (recovered false), so its depth is a floor.
+    With a chunk column (a session, say) no series has to fit one task.
     """
-    over = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    scored = df.withColumn("_score", F.sum(F.when(F.col(wrong), -1).otherwise(1)).over(over))
-    peaked = scored.withColumn("_peak", F.greatest(F.max("_score").over(over), F.lit(0))).withColumn("_top", F.max("_score").over(W.partitionBy(*keys)))
-    under = peaked.where("_score < _peak").groupBy(*keys, "_peak").agg(F.max(F.col("_peak") - F.col("_score")).alias("depth"), F.min(order).alias("first"), F.max(order).alias("last"), (F.max("_top") > F.col("_peak")).alias("recovered"))
-    return under.drop("_peak")
+    stepped = df.withColumn("_step", F.when(F.col(wrong), -1).otherwise(1))
+    scored = _running(stepped, keys, order, "_score", "sum", "_step", chunk)
+    peaked = _running(scored, keys, order, "_high", "max", "_score", chunk).withColumn("_peak", F.greatest("_high", F.lit(0)))
+    tops = peaked.groupBy(*keys).agg(F.max("_score").alias("_top"))
+    under = peaked.where("_score < _peak").groupBy(*keys, "_peak").agg(F.max(F.col("_peak") - F.col("_score")).alias("depth"), F.min(order).alias("first"), F.max(order).alias("last"))
+    return under.join(tops, keys).withColumn("recovered", F.col("_top") > F.col("_peak")).drop("_peak", "_top")
 
 
-def money_drawdown(df: DataFrame, keys: list[str], order: str, equity: str) -> DataFrame:
-    """df with peak and drawdown of equity; the peak starts at 0."""
+def _running(df: DataFrame, keys: list[str], order: str, name: str, kind: str, column: str, chunk: str | None) -> DataFrame:
+    if chunk:
+        return running(df, keys, chunk, [order], {name: (kind, column)})
     over = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn("peak", F.greatest(F.max(equity).over(over), F.lit(0.0))).withColumn("drawdown", F.col(equity) - F.col("peak"))
+    return df.withColumn(name, {"sum": F.sum, "max": F.max}[kind](column).over(over))
+
+
+def money_drawdown(df: DataFrame, keys: list[str], order: str, equity: str, chunk: str | None = None) -> DataFrame:
+    """df with peak and drawdown of equity; the peak starts at 0. With a chunk column no series has to fit one task."""
+    high = _running(df, keys, order, "peak", "max", equity, chunk).withColumn("peak", F.greatest("peak", F.lit(0.0)))
+    return high.withColumn("drawdown", F.col(equity) - F.col("peak"))
 
 
 def drawdown_episodes(df: DataFrame, keys: list[str], order: str, equity: str) -> DataFrame:

@@ -53,6 +53,11 @@ def w04(spark, d):
     return O.score_drawdowns(events(spark, d), ["user_id"], "ts", "wrong")
 
 
+@query("w04_score_drawdowns_two_level", _SCORES + " SELECT user_id, CAST(max(peak - s) AS BIGINT) AS depth, min(ts) AS first, max(ts) AS last, max(top) > peak AS recovered FROM p WHERE s < peak GROUP BY user_id, peak")
+def w04b(spark, d):
+    return O.score_drawdowns(events(spark, d), ["user_id"], "ts", "wrong", chunk="day")
+
+
 _EQUITY = "WITH x AS (SELECT *, round(sum(CASE WHEN event_type = 'purchase' THEN value WHEN event_type = 'error' THEN -value ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts), 4) AS equity FROM events), p AS (SELECT *, greatest(max(equity) OVER (PARTITION BY user_id ORDER BY ts), 0) AS peak FROM x)"
 
 

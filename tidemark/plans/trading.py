@@ -77,6 +77,12 @@ def t03(spark, d):
     return _columns(trades(spark, d))
 
 
+@query("t03_trade_pairs_two_level", _TRADES + _BOOK)
+def t03b(spark, d):
+    events = T.bar_events(bars(spark, d), KEYS, versions(spark)).withColumn("day", F.to_date("ts"))
+    return _columns(T.pair_trades(events, KEYS, 0.5, chunk="day"))
+
+
 @query("t06_shadow_book", _SHADOW + _BOOK)
 def t06(spark, d):
     return _columns(trades(spark, d, "truth"))
