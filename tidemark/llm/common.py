@@ -49,6 +49,12 @@ class Scratch:
         path.getFileSystem(conf).delete(path, True)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
+    """A few driver-made rows as a local relation: Spark knows its size and broadcasts it only below its own threshold."""
+    by_column = list(zip(*rows, strict=True)) if rows else [()] * len(columns)
+    return spark.createDataFrame(pa.table({n: pa.array(c, t) for (n, t), c in zip(columns.items(), by_column, strict=True)}))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

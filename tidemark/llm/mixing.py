@@ -11,12 +11,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import WORD, Scratch
+from tidemark.llm.common import WORD, Scratch, local_table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times its source's size that a target may be, and its own size that a document may give
@@ -59,10 +59,10 @@ class _Cut:
 def _thresholds(spark: SparkSession, sized: DataFrame, budgets: dict[str | None, float]) -> dict[str | None, int]:
     """For each source the hash below which documents are taken, so that their sizes come nearest the budget."""
     cuts = {s: _Cut(b) for s, b in budgets.items()}
-    rows, schema = sized, T.StructType([T.StructField("source", T.StringType()), T.StructField("_budget", T.DoubleType()), T.StructField("_below", T.LongType()), T.StructField("_prefix", T.LongType())])
+    rows = sized
     for level in range(HASH_BITS // STEP_BITS):
         shift = HASH_BITS - STEP_BITS * (level + 1)
-        now = spark.createDataFrame([(s, float(c.budget), c.below, c.bucket) for s, c in cuts.items()], schema).withColumnRenamed("source", "_source")
+        now = local_table(spark, [(s, float(c.budget), c.below, c.bucket) for s, c in cuts.items()], _source=pa.string(), _budget=pa.float64(), _below=pa.int64(), _prefix=pa.int64())
         sums = rows.groupBy("source", F.shiftright("hash", shift).alias("bucket")).agg(F.sum("size").alias("sum"))
         sums = sums.join(now, F.col("source").eqNullSafe(F.col("_source"))).where(F.shiftright("bucket", STEP_BITS) == F.col("_prefix"))
         upto = F.col("_below") + F.sum("sum").over(W.partitionBy("source").orderBy("bucket"))
@@ -72,7 +72,7 @@ def _thresholds(spark: SparkSession, sized: DataFrame, budgets: dict[str | None,
         cuts = {s: _Cut(c.budget, found[s]["upto"] - found[s]["sum"], found[s]["bucket"], found[s]["sum"]) for s, c in cuts.items() if s in found}
         if not cuts:
             break
-        at = spark.createDataFrame([(s, 0.0, 0, c.bucket) for s, c in cuts.items()], schema).select(F.col("source").alias("_source"), "_prefix")
+        at = local_table(spark, [(s, c.bucket) for s, c in cuts.items()], _source=pa.string(), _prefix=pa.int64())
         own = F.col("source").eqNullSafe(F.col("_source")) & (F.shiftright("hash", shift) == F.col("_prefix"))
         rows = rows.join(at, own, "left_semi")
     # The last bucket is one hash: it is taken if that comes nearer the budget.
@@ -92,8 +92,8 @@ def _plan(spark: SparkSession, sized: DataFrame, weights: tuple[int, ...], most:
     passes = {s: math.floor(target[s] / n) if n else 0 for s, n in totals}
     budgets = {s: target[s] - passes[s] * n for s, n in totals}
     cut = _thresholds(spark, sized, {s: b for s, b in budgets.items() if b > 0})
-    schema = T.StructType([T.StructField("_source", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("_passes", T.LongType()), T.StructField("_cut", T.LongType())])
-    return spark.createDataFrame([(s, n, target[s], passes[s], cut.get(s, 0)) for s, n in totals], schema)
+    rows = [(s, n, float(target[s]), passes[s], cut.get(s, 0)) for s, n in totals]
+    return local_table(spark, rows, _source=pa.string(), source_size=pa.int64(), target=pa.float64(), _passes=pa.int64(), _cut=pa.int64())
 
 
 def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
