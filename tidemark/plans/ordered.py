@@ -165,11 +165,11 @@ def w20(spark, d):
     return O.evenly_spaced(events(spark, d), ["user_id"], ["ts", "event_id"], 10).select("event_id")
 
 
-@query("l01_unsorted_rows", "SELECT count(*) AS n FROM (SELECT l_shipdate < lag(l_shipdate) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS x FROM lineitem) WHERE x")
+@query("l01_unsorted_rows", "SELECT count(*) AS n FROM (SELECT l_shipdate < lag(l_shipdate) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_shipdate) AS x FROM lineitem) WHERE x")
 def l01(spark, d):
     from pyspark.sql import Window as W
 
-    over = W.orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    over = W.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate")
     x = table(spark, d, "lineitem").select((F.col("l_shipdate") < F.lag("l_shipdate").over(over)).alias("x"))
     return x.where("x").agg(F.count(F.lit(1)).alias("n"))
 
