@@ -84,6 +84,24 @@ def test_outliers_rejects_what_is_far_and_keeps_the_rest(spark):
     assert got.loc[range(300)].kept.all() and not got.loc[range(1000, 1015)].kept.any()
 
 
+def test_outliers_go_by_the_scatter_of_their_group(spark):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(2000)]
+
+    def text(n, of=lambda w: w):
+        return "\n".join(" ".join(map(of, rng.choice(words, 10))).capitalize() + "." for _ in range(n))
+
+    clean = [text(rng.integers(10, 40)) for _ in range(400)]
+    clean[:3] = [c.replace("a", "&", 1) for c in clean[:3]]  # a single symbol is nothing
+    table = [" | ".join(rng.choice(words, 200)) for _ in range(8)]
+    symbols = [text(20, lambda w: w + "***" if rng.random() < 0.3 else w) for _ in range(8)]
+    copied = ["\n".join(x for k in range(30) for x in (text(1), "See more")) for _ in range(8)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(clean + table + symbols + copied)]
+    got = robust_outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), Scratch(spark, "t")).toPandas().set_index("doc_id")
+    assert not got.base_failed.any()
+    assert got.loc[range(400)].kept.all() and not got.loc[range(400, 424)].kept.any()
+
+
 def test_outliers_on_odd_rows(spark, odd, none):
     got = robust_outliers.judge(odd, Scratch(spark, "t")).toPandas()
     assert len(got) == len(ODD)

@@ -3,8 +3,11 @@
 Every document is a vector of transformed statistics. In each group, the location and scatter start
 from medians and absolute deviations; each step then takes the share COVER of the group's documents
 that lie nearest in Mahalanobis distance and estimates both anew, which never raises the
-determinant. Steps are aggregations over all documents of all groups at once, so a large group is
-summed in parts and nothing but a few hundred numbers for each group moves.
+determinant. A statistic that has one value in the share COVER of a group has no scatter there and
+takes no part in these steps. A last, reweighted estimate over all statistics rests on the documents
+within the share INLIERS of a normal group, and the distances of just these set the group's cutoff.
+Steps are aggregations over all documents of all groups at once, so a large group is summed in parts
+and nothing but a few hundred numbers for each group moves.
 """
 
 from __future__ import annotations
@@ -21,14 +24,14 @@ from tidemark.llm import text_stats as ts
 from tidemark.llm.common import Scratch, slices
 from tidemark.llm.tails import chi2_quantile, chi2_tail
 
-#: Statistics, and the deviation of each that is always allowed: a group that never varies has no outliers by a hair.
-STATISTICS = {"size": 2.0, "word_length": 0.15, "symbols": 0.06, "dup_lines": 0.15, "repeats": 0.12, "punctuation": 0.08, "capitals": 0.08}
-NAMES = tuple(STATISTICS)
+NAMES = ("size", "word_length", "symbols", "dup_lines", "repeats", "punctuation", "capitals")
 P = len(NAMES)
 COVER = 0.75
 STEPS = 4
 LEAST = 50  # documents of a group that estimates rest on; smaller ones are pooled
 REJECT = 1e-6  # share of a normal group that lies beyond the cutoff
+INLIERS = 0.99  # share of a normal group that the reweighted estimate rests on
+FLOOR = 0.01  # deviation added to every statistic's scatter, so that one that never varies can be inverted
 
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -88,23 +91,23 @@ def _statistics(text_col: str):
     return run
 
 
-_MODEL = "g_lang string, g_source string, " + ", ".join([*(f"m{i} double" for i in range(P)), *(f"p{i}_{j} double" for i in range(P) for j in range(i, P))])
+_MODEL = "g_lang string, g_source string, live int, " + ", ".join([*(f"m{i} double" for i in range(P)), *(f"p{i}_{j} double" for i in range(P) for j in range(i, P))])
 
 
-def _model(rows: pd.DataFrame) -> pd.DataFrame:
-    """Location and inverse scatter of each group from its sums; the floors keep every scatter invertible."""
-    floor = np.diag(np.square(list(STATISTICS.values())))
-    share = 1 - chi2_tail(chi2_quantile(COVER, P), P + 2)
+def _model(rows: pd.DataFrame, reweighted: bool) -> pd.DataFrame:
+    """Location and inverse scatter of each group from its sums: of its live statistics (bits of `live`), or of all if reweighted."""
+    share = 1.0 if reweighted else (1 - chi2_tail(chi2_quantile(COVER, P), P + 2)) / COVER
     out = []
     for r in rows.itertuples(index=False):
         n = max(1, r.n)
         mean = np.array([getattr(r, f"s{i}") for i in range(P)]) / n
-        scatter = np.zeros((P, P))
+        scatter, inverse = np.zeros((P, P)), np.zeros((P, P))
         for i in range(P):
             for j in range(i, P):
                 scatter[i, j] = scatter[j, i] = getattr(r, f"s{i}_{j}") / n - mean[i] * mean[j]
-        inverse = np.linalg.inv(scatter * (COVER / share) + floor)
-        out.append([r.g_lang, r.g_source, *mean, *(inverse[i, j] for i in range(P) for j in range(i, P))])
+        own = [i for i in range(P) if reweighted or not r.live or r.live >> i & 1]
+        inverse[np.ix_(own, own)] = np.linalg.inv(scatter[np.ix_(own, own)] / share + FLOOR**2 * np.eye(len(own)))
+        out.append([r.g_lang, r.g_source, r.live, *mean, *(inverse[i, j] for i in range(P) for j in range(i, P))])
     return pd.DataFrame(out, columns=[c.split()[0] for c in _MODEL.split(", ")])
 
 
@@ -113,6 +116,13 @@ def _distance() -> str:
     return " + ".join(f"{1 if i == j else 2} * p{i}_{j} * {centred[i]} * {centred[j]}" for i in range(P) for j in range(i, P))
 
 
+def _summed(near: DataFrame, reweighted: bool = False) -> DataFrame:
+    """The model of the documents near."""
+    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)] + [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}_{j}") for i in range(P) for j in range(i, P)]
+    summed = near.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("n"), F.max("live").alias("live"), *sums)
+    return summed.mapInPandas(lambda parts: (_model(x, reweighted) for x in parts if len(x)), _MODEL)
+
+
 def _on_group(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:
     return a.join(b, ["g_lang", "g_source"], how)
 
@@ -142,22 +152,34 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     # Every table with a row for each group is written before it is joined, so that Spark knows its size and needn't deal the documents by group.
     medians = used.groupBy("g_lang", "g_source").agg(*(F.percentile_approx(c, 0.5, 2000).alias(f"m{i}") for i, c in enumerate(NAMES)))
     medians = scratch.save(medians, "medians")
-    apart = _on_group(used, medians).groupBy("g_lang", "g_source").agg(*(F.percentile_approx(F.abs(F.col(c) - F.col(f"m{i}")), 0.5, 2000).alias(f"d{i}") for i, c in enumerate(NAMES)))
-    start = _on_group(medians, apart)
-    diagonal = [F.lit(0.0).alias(f"p{i}_{j}") if i != j else (1 / (F.pow(1.4826 * F.col(f"d{i}"), 2) + STATISTICS[NAMES[i]] ** 2)).alias(f"p{i}_{j}") for i in range(P) for j in range(i, P)]
-    model = scratch.save(start.select("g_lang", "g_source", *(f"m{i}" for i in range(P)), *diagonal), "model-0")
+    apart = _on_group(used, medians).groupBy("g_lang", "g_source").agg(*(F.percentile_approx(F.abs(F.col(c) - F.col(f"m{i}")), COVER, 2000).alias(f"d{i}") for i, c in enumerate(NAMES)))
+    live = sum((F.when(F.col(f"d{i}") > 0, 1 << i).otherwise(0) for i in range(P)), F.lit(0)).cast("int")
+    start = _on_group(medians, apart).withColumn("live", live)
+    normal = float(np.sqrt(chi2_quantile(COVER, 1)))  # deviation within which the share COVER of a normal statistic lies
+    own = [F.when((F.col("live") == 0) | (F.col(f"d{i}") > 0), 1 / (F.pow(F.col(f"d{i}") / normal, 2) + FLOOR**2)).otherwise(0.0) for i in range(P)]
+    diagonal = [(F.lit(0.0) if i != j else own[i]).alias(f"p{i}_{j}") for i in range(P) for j in range(i, P)]
+    model = scratch.save(start.select("g_lang", "g_source", "live", *(f"m{i}" for i in range(P)), *diagonal), "model-0")
     for step in range(1, STEPS + 1):
-        far = _on_group(used, model).withColumn("d2", F.expr(_distance())).select("g_lang", "g_source", *NAMES, "d2")
+        far = _on_group(used, model).withColumn("d2", F.expr(_distance())).select("g_lang", "g_source", *NAMES, "live", "d2")
         reach = far.groupBy("g_lang", "g_source").agg(F.percentile_approx("d2", COVER, 2000).alias("reach"))
         near = _on_group(far, scratch.save(reach, f"reach-{step}")).where("d2 <= reach")
-        sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)] + [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}_{j}") for i in range(P) for j in range(i, P)]
-        summed = near.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("n"), *sums)
-        model = scratch.save(summed.mapInPandas(lambda parts: (_model(x) for x in parts if len(x)), _MODEL), f"model-{step}")
+        model = scratch.save(_summed(near), f"model-{step}")
+
+    # The median distance gives the scale, as the steps' scatter is that of their nearest documents alone.
+    far = _on_group(used, model).withColumn("d2", F.expr(_distance())).select("g_lang", "g_source", *NAMES, "live", "d2")
+    middle = scratch.save(far.groupBy("g_lang", "g_source").agg(F.percentile_approx("d2", 0.5, 2000).alias("middle")), "middle")
+    wide = [chi2_quantile(INLIERS, p) / chi2_quantile(0.5, p) for p in [P, *range(1, P + 1)]]
+    within = F.element_at(F.array(*map(F.lit, wide)), F.bit_count("live") + 1)
+    inliers = _on_group(far, middle).where(F.col("d2") <= F.col("middle") * within)
+    model = scratch.save(_summed(inliers, reweighted=True), "reweighted")
+    inlying = _on_group(inliers.drop("live"), model).withColumn("d", F.sqrt(F.greatest(F.lit(0.0), F.expr(_distance()))))
+    cutoff, tail = (float(np.sqrt(chi2_quantile(x, P))) for x in (1 - REJECT, INLIERS))
+    edge = F.greatest(F.lit(1.0), F.percentile_approx("d", INLIERS, 2000) / tail)
+    cutoffs = inlying.groupBy("g_lang", "g_source").agg((cutoff * edge).alias("cutoff"))
     sizes = used.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("size_of_group"))
-    judged = _on_group(grouped, scratch.save(_on_group(model, sizes), "final"))
+    judged = _on_group(grouped, scratch.save(_on_group(_on_group(model, sizes), cutoffs), "final"))
     distance = F.when(~F.col("base_failed") & (F.col("size_of_group") >= 2 * P), F.sqrt(F.greatest(F.lit(0.0), F.expr(_distance()))))
-    cutoff = float(np.sqrt(chi2_quantile(1 - REJECT, P)))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("cutoff"), F.lit(True))
     return judged.withColumn("distance", distance).select("doc_id", *(c.split()[0] for c in _BASE.split(", ")), "base_failed", kept.alias("kept"), "distance")
 
 
