@@ -105,7 +105,7 @@ def _runs(flags: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def scan(texts: list[str]) -> tuple[list[list[tuple[int, int, int]]], list[list[tuple[int, int, int, int]]]]:
-    """For each text its base spans (start, kind, end) and its other runs (start, end, level, band)."""
+    """For each text its base spans (start, kind, end) and the runs outside of them (start, end, level, band)."""
     base: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     other: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
     for k, t in enumerate(texts):
@@ -122,11 +122,13 @@ def scan(texts: list[str]) -> tuple[list[list[tuple[int, int, int]]], list[list[
     starts, ends = _runs((flags & 1).astype(bool), LEAST_HEX)
     for k, a, b in zip((np.searchsorted(first, starts, "right") - 1).tolist(), starts.tolist(), ends.tolist(), strict=True):
         base[k].append((a - int(first[k]), 2, b - int(first[k])))
+    for k, spans in enumerate(base):
+        for x, _, y in spans:
+            flags[first[k] + x : first[k] + y] = 0  # what is left of a run on either side is tested by itself
     starts, ends = _runs((flags & 2).astype(bool), LEAST_RUN)
     for k, a, b in zip((np.searchsorted(first, starts, "right") - 1).tolist(), starts.tolist(), ends.tolist(), strict=True):
         a, b = a - int(first[k]), b - int(first[k])
-        if not any(x < b and a < y for x, _, y in base[k]):
-            other[k].append((a, b, ordinary_level(texts[k][a:b]), sum(b - a >= x for x in BANDS)))
+        other[k].append((a, b, ordinary_level(texts[k][a:b]), sum(b - a >= x for x in BANDS)))
     return [sorted(x) for x in base], other
 
 
