@@ -214,3 +214,27 @@ def test_quantiles_are_exact(spark):
         low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
         assert abs(splits.exact_quantile(df, "v", q) - (low + (at - int(at)) * (high - low))) < 1e-3
     assert splits.exact_quantile(df.where("v is null"), "v", 0.5) is None
+
+
+def test_bare_names_equal_a_loop(spark):
+    rng = random.Random(7)
+    names = sorted({"".join(rng.choice(["a", "b", "_", "__"]) for _ in range(rng.randint(0, 7))) for _ in range(300)})
+    known = ["a", "ab", "a_b", "b", "b_", "aa__b", ""]
+    got = columns.bare_names(spark.createDataFrame([(n,) for n in names * 2], "n string"), spark.createDataFrame([(k,) for k in known * 2], "s string"), "n", "s")
+    assert sorted(map(tuple, got.collect())) == [(n, columns.bare_name(n, known)) for n in names]
+
+
+def test_clocks_resolve_as_columns(spark):
+    rows = [(5, 15, None), (15, 5, None), (5, None, None), (5, 0, None), (15, 5, 3), (5, 15, 6)]
+    clock, warning = clocks.resolve_clock(F.col("m"), F.col("d"), F.col("o"))
+    got = spark.createDataFrame(rows, "m int, d int, o int").select(clock, warning).collect()
+    assert [r[0] for r in got] == [15, 15, 5, 5, 3, 6]
+    assert [r[1] for r in got] == [None, "declared 5 is faster than measured 15", None, None, "override 3 is faster than measured 15", None]
+
+
+def test_lookups_stay_on_spark(spark):
+    from conftest import SF
+
+    from tidemark.plans import lookups
+
+    assert lookups.p04(spark, SF).inputFiles() and lookups.q05(spark, SF).inputFiles()

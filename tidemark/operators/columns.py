@@ -38,6 +38,15 @@ def bare_name(column: str, sources: list[str]) -> str:
     return column
 
 
+def bare_names(names: DataFrame, sources: DataFrame, name: str, source: str) -> DataFrame:
+    """name, bare: bare_name of every distinct name, joined by each head of it that an underscore ends."""
+    heads = names.select(F.col(name).alias("name")).distinct().withColumn("at", F.explode_outer(F.expr("filter(sequence(1, length(name)), p -> substr(name, p, 1) = '_')")))
+    known = sources.select(F.col(source).alias("head")).distinct()
+    met = heads.withColumn("head", F.expr("substr(name, 1, at - 1)")).join(known.withColumn("known", F.lit(True)), "head", "left")
+    last = met.groupBy("name").agg(F.max(F.when(F.col("known"), F.col("at"))).alias("at"))
+    return last.select("name", F.expr("case when at is null then name when substr(name, at, 2) = '__' then substr(name, at + 2) else substr(name, at + 1) end").alias("bare"))
+
+
 def resolve_drops(columns: list[str], drops: list[str]) -> tuple[list[str], list[str]]:
     """Full names of columns to drop, bare or prefixed, and those that aren't there; refuses a name that fits several."""
     found, missing = [], []

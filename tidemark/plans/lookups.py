@@ -20,10 +20,8 @@ def s04(spark, d):
 
 @query("p04_bare_names", "SELECT DISTINCT p_type || '__' || p_name AS \"column\", p_name AS bare FROM part")
 def p04(spark, d):
-    kinds = [r[0] for r in table(spark, d, "part").select("p_type").distinct().collect()]  # a handful of sources
-    pairs = table(spark, d, "part").select(F.concat_ws("__", "p_type", "p_name").alias("column"), "p_type").distinct()
-    names = [r["column"] for r in pairs.collect()]  # column names of a catalog
-    return spark.createDataFrame([(n, N.bare_name(n, kinds)) for n in names], "column string, bare string")
+    part = table(spark, d, "part")
+    return N.bare_names(part.select(F.concat_ws("__", "p_type", "p_name").alias("column")), part, "column", "p_type").withColumnRenamed("name", "column")
 
 
 @query("p20_schema_changes", "SELECT 'removed' AS what, 'o_extra' AS \"column\" WHERE (SELECT count(*) FROM orders) > 0 UNION ALL SELECT 'retyped', 'o_custkey' WHERE (SELECT count(*) FROM orders) > 0")
@@ -82,6 +80,5 @@ def a39(spark, d):
 
 @query("q05_resolved_clocks", "SELECT p_partkey, CAST(greatest(p_size, 30) AS INTEGER) AS clock, p_size > 30 AS warned FROM part WHERE p_partkey < 50")
 def q05(spark, d):
-    own = table(spark, d, "part").where("p_partkey < 50").select("p_partkey", "p_size").collect()  # a catalog of sources
-    made = [(r.p_partkey, *C.resolve_clock(r.p_size, 30)) for r in own]
-    return spark.createDataFrame([(k, c, bool(w)) for k, c, w in made], "p_partkey long, clock int, warned boolean")
+    clock, warning = C.resolve_clock(F.col("p_size"), F.lit(30))
+    return table(spark, d, "part").where("p_partkey < 50").select("p_partkey", clock.cast("int").alias("clock"), warning.isNotNull().alias("warned"))
