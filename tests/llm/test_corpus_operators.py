@@ -42,7 +42,6 @@ def real():
 
 def ids_of(name, texts, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return [x.ids + [end] for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -264,7 +263,6 @@ def test_remembered_pieces_equal_whole_texts(name):
 
     enc = Encoder(name)
     whole = Tokenizer.from_file(public_tokenizers.path(name))
-    whole.encode_special_tokens = True
     alphabet = st.sampled_from(list("abZé'sdt ½²٣1,.!#\n\t\u00a0\u0301αΣςǅ中\x1c\x85\u2028ﬁß") + ["'ll", "  ", "'s", "<|endoftext|>", "\r\n", "don't"])
 
     @settings(max_examples=400, deadline=None)

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from test_operators import SF, ids_of, packed, print_by_hand
+from test_corpus_operators import SF, ids_of, packed, print_by_hand
 
 from tidemark.llm import mixing, toxicity
 from tidemark.llm.common import Scratch
@@ -40,7 +40,7 @@ def test_stages_one_by_one(spark):
 
     before, after = out["secret scans"]
     clean = {r.doc_id: r for r in after.collect()}
-    from test_operators import base_spans
+    from test_corpus_operators import base_spans
 
     for r in before.collect():
         got = clean[r.doc_id]
