@@ -7,9 +7,13 @@ reader verify what it puts together.
 
 Files below `path`:
   entries/kind=chunk    digest, payload: ids as little-endian unsigned 16-bit integers (32-bit for large vocabularies)
-  entries/kind=recipe   doc_id, n_tokens, digests, as encoded
-  recipes               ascending doc_id: shard, doc_id, n_tokens, digests (16 bytes each, joined), root
+  entries/kind=recipe   doc_id, n_tokens, digests, ends, as encoded
+  recipes               ascending doc_id: shard, pos (place in the shard), doc_id, n_tokens, first (the shard's ids before),
+                        digests (16 bytes each, joined), ends (in ids, of each chunk), root, leaf
   manifest              a row for each shard: n_docs, n_tokens, and the Merkle root of its documents' leaves
+
+A chunk proves itself by its digest, a document's chunks and their ends by its root, its id, place and
+sizes by its leaf, and all leaves of a shard by the manifest. Reading checks every one of these.
 """
 
 from __future__ import annotations
@@ -24,8 +28,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, shuffle_partitions, slices, total_of_ranges
+from tidemark.llm.common import Scratch, shuffle_partitions, slices
 from tidemark.llm.tokens import encoder
 
 DIGEST = 16  # bytes
@@ -88,7 +93,7 @@ def cut_points(n: int, candidates: list[int]) -> list[int]:
     return ends
 
 
-_ENTRY = "kind string, digest binary, payload binary, doc_id long, n_tokens long, digests binary, row long"
+_ENTRY = "kind string, digest binary, payload binary, doc_id long, n_tokens long, digests binary, ends array<int>, row long"
 
 
 def _entries(tokenizer: str, end_id: int):
@@ -96,17 +101,18 @@ def _entries(tokenizer: str, end_id: int):
         enc, row = encoder(tokenizer), 0
         size = enc.dtype.itemsize
         end, seen = np.array([end_id], dtype=enc.dtype).tobytes(), set()
-        schema = pa.schema([("kind", pa.string()), ("digest", pa.binary()), ("payload", pa.binary()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.binary()), ("row", pa.int64())])
+        schema = pa.schema([("kind", pa.string()), ("digest", pa.binary()), ("payload", pa.binary()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.binary()), ("ends", pa.list_(pa.int32())), ("row", pa.int64())])
         for batch in slices(batches):
             ids_of = [ids + end for ids in enc.encode([t or "" for t in batch.column(1).to_pylist()])]
             firsts = np.cumsum([0, *(len(x) // size for x in ids_of)])
             cuts = cut_candidates(np.frombuffer(b"".join(ids_of), dtype=enc.dtype))
             edges = np.searchsorted(cuts, firsts, "right")
             chunks: tuple[list, list] = ([], [])
-            recipes = []
+            recipes, ends_of = [], []
             for k, data in enumerate(ids_of):
-                at, digests, n = 0, [], len(data) // size
-                for to in cut_points(n, (cuts[edges[k] : edges[k + 1]] - firsts[k]).tolist()):
+                ends = cut_points(len(data) // size, (cuts[edges[k] : edges[k + 1]] - firsts[k]).tolist())
+                at, digests = 0, []
+                for to in ends:
                     piece = data[at * size : to * size]
                     digests.append(key := _digest(piece))
                     if key not in seen:
@@ -117,22 +123,52 @@ def _entries(tokenizer: str, end_id: int):
                         chunks[1].append(piece)
                     at = to
                 recipes.append(b"".join(digests))
+                ends_of.append(ends)
             n, m = len(chunks[0]), len(recipes)
-            columns = (["chunk"] * n + ["recipe"] * m, chunks[0] + [_digest(x) for x in recipes], chunks[1] + [None] * m, [None] * n + batch.column(0).to_pylist(), [None] * n + np.diff(firsts).tolist(), [None] * n + recipes, [None] * n + list(range(row, row + m)))
+            columns = (["chunk"] * n + ["recipe"] * m, chunks[0] + [_digest(x) for x in recipes], chunks[1] + [None] * m, [None] * n + batch.column(0).to_pylist(), [None] * n + np.diff(firsts).tolist(), [None] * n + recipes, [None] * n + ends_of, [None] * n + list(range(row, row + m)))
             row += m
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
 
-def _doc_root(digests: bytes) -> bytes:
-    return merkle_root([digests[i : i + DIGEST] for i in range(0, len(digests), DIGEST)])
+_RECIPE = "shard int, pos long, doc_id long, n_tokens long, first long, digests binary, ends array<int>, root binary, leaf binary"
+
+
+def _root(digests: bytes, ends: list[int]) -> bytes:
+    """Merkle root over a document's chunks, each with its end."""
+    return merkle_root([b"%s/%d" % (digests[k * DIGEST : (k + 1) * DIGEST], end) for k, end in enumerate(ends)])
+
+
+def _leaf(pos: int, doc_id: int | None, n: int, first: int, root: bytes) -> bytes:
+    return _digest(b"%d/%s/%d/%d/" % (pos, str(doc_id).encode(), n, first) + root)
 
 
-def _with_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's recipes, which come in order and all to one task, with their places, roots and leaves."""
+    pos = first = 0
     for batch in batches:
-        roots = [_doc_root(x) for x in batch.column("digests").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(roots, pa.binary())], names=[*batch.schema.names, "root"])
+        firsts, roots, leaves = [], [], []
+        at = range(pos, pos + batch.num_rows)
+        for p, doc_id, n, digests, ends in zip(at, *(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "digests", "ends")), strict=True):
+            firsts.append(first)
+            roots.append(root := _root(digests, ends))
+            leaves.append(_leaf(p, doc_id, n, first, root))
+            first += n
+        pos += batch.num_rows
+        new = {"pos": pa.array(at, pa.int64()), "first": pa.array(firsts, pa.int64()), "root": pa.array(roots, pa.binary()), "leaf": pa.array(leaves, pa.binary())}
+        named = dict(zip(batch.schema.names, batch.columns, strict=True)) | new
+        names = [c.split()[0] for c in _RECIPE.split(", ")]
+        yield pa.RecordBatch.from_arrays([named[c] for c in names], names=names)
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Recipes, whether each gives its own root and leaf."""
+    for batch in slices(batches, 4096):
+        whole = []
+        for pos, doc_id, n, first, digests, ends, root, leaf in zip(*(batch.column(c).to_pylist() for c in ("pos", "doc_id", "n_tokens", "first", "digests", "ends", "root", "leaf")), strict=True):
+            whole.append(len(digests) == DIGEST * len(ends) and ends[-1:] == [n] and _root(digests, ends) == root and _leaf(pos, doc_id, n, first, root) == leaf)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(whole, pa.bool_())], names=[*batch.schema.names, "whole"])
 
 
 def _shard_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,16 +189,22 @@ def _shard_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pylist([{"shard": shard, "n_docs": n_docs, "n_tokens": n_tokens, "root": root}], schema=schema)
 
     for batch in batches:
-        for s, doc_id, n, root in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "n_tokens", "root")), strict=True):
+        for s, n, leaf in zip(*(batch.column(c).to_pylist() for c in ("shard", "n_tokens", "leaf")), strict=True):
             if s != shard and shard is not None:
                 yield done()
                 n_docs, n_tokens, spine = 0, 0, []
             shard, n_docs, n_tokens = s, n_docs + 1, n_tokens + n
-            add(_digest(b"%s/%d/" % (str(doc_id).encode(), n) + root))
+            add(leaf)
     if shard is not None:
         yield done()
 
 
+def _manifest(recipes: DataFrame) -> DataFrame:
+    """shard, n_docs, n_tokens, root of every shard, from its leaves."""
+    leaves = recipes.select("shard", "pos", "n_tokens", "leaf").repartition(shuffle_partitions(recipes.sparkSession), "shard").sortWithinPartitions("shard", "pos")
+    return leaves.mapInArrow(_shard_roots, "shard int, n_docs long, n_tokens long, root binary")
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text whole, append end_id, and write the store's files below path.
 
@@ -174,19 +216,16 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     entries = source.mapInArrow(_entries(tokenizer, end_id), _ENTRY)
     # Chunks meet by digest, after each map task has kept one of each; a recipe is alone under its key.
-    unique = entries.groupBy("kind", "digest", "row", "doc_id").agg(F.first("payload").alias("payload"), F.first("n_tokens").alias("n_tokens"), F.first("digests").alias("digests"), F.count(F.lit(1)).alias("copies"))
+    kept = ("payload", "n_tokens", "digests", "ends")
+    unique = entries.groupBy("kind", "digest", "row", "doc_id").agg(*(F.first(c).alias(c) for c in kept), F.count(F.lit(1)).alias("copies"))
     unique.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/entries")
-    entry = "digest binary, row long, doc_id long, payload binary, n_tokens long, digests binary, copies long, kind string"
-    recipes = spark.read.schema(entry).parquet(f"{path}/entries").where("kind = 'recipe'")
+    recipes = spark.read.schema(f"{_ENTRY}, copies long").parquet(f"{path}/entries").where("kind = 'recipe'")
     # Tasks count rows on their own: equal rows of two tasks are one document repeated, and stay as many.
-    recipes = recipes.select("doc_id", "n_tokens", "digests", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    recipes = recipes.select("doc_id", "n_tokens", "digests", "ends", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
     ordered = recipes.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "digests")
-    ordered = ordered.withColumn("shard", F.spark_partition_id())
-    rooted = ordered.mapInArrow(_with_roots, "doc_id long, n_tokens long, digests binary, shard int, root binary")
-    rooted.write.option("compression", "zstd").parquet(f"{path}/recipes")
-    read = spark.read.schema(rooted.schema).parquet(f"{path}/recipes")
-    shards = read.repartition(parts, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n_tokens", "digests")
-    shards.mapInArrow(_shard_roots, "shard int, n_docs long, n_tokens long, root binary").write.parquet(f"{path}/manifest")
+    placed = ordered.withColumn("shard", F.spark_partition_id()).mapInArrow(_placed, _RECIPE)
+    placed.write.option("compression", "zstd").parquet(f"{path}/recipes")
+    _manifest(_recipes(spark, path)).write.parquet(f"{path}/manifest")
 
 
 # --- reading -------------------------------------------------------------------------------------
@@ -232,90 +271,83 @@ def crc_after(crc: np.ndarray, bytes_after: np.ndarray) -> np.ndarray:
 
 def _chunk_facts(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each chunk's CRC as 32-bit ids, its ids, and whether its digest is that of its payload."""
+        wide, narrow = np.dtype("<u4"), np.dtype(f"<u{size}")
         for batch in batches:
             crcs, counts, sound = [], [], []
-            keys, payloads = batch.column("digest").to_pylist(), batch.column("payload").to_pylist()
-            for key, data in zip(keys, payloads, strict=True):
-                ids = np.frombuffer(data, dtype=f"<u{size}")
-                crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                counts.append(len(ids))
-                sound.append(_digest(data) == key)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(crcs, pa.int64()), pa.array(counts, pa.int64()), pa.array(sound, pa.bool_())], names=["digest", "crc", "n", "sound"])
+            for key, data in zip(batch.column("digest").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+                good = data is not None and len(data) % size == 0 and _digest(data) == key
+                crcs.append(zlib.crc32(np.frombuffer(data, narrow).astype(wide)) if good else 0)
+                counts.append(len(data) // size if good else 0)
+                sound.append(good)
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(crcs, pa.int64()), pa.array(counts, pa.int64()), pa.array(sound, pa.bool_())], names=["digest", "crc", "got", "sound"])
 
     return run
 
 
-def _recipe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each chunk of each document, and whether the recipe gives the document's root."""
-    for batch in slices(batches, 4096):
-        key, seq, digest, whole = [], [], [], []
-        for k, digests, root in zip(*(batch.column(c).to_pylist() for c in ("key", "digests", "root")), strict=True):
-            parts = [digests[i : i + DIGEST] for i in range(0, len(digests), DIGEST)]
-            key += [k] * len(parts)
-            seq += range(len(parts))
-            digest += parts
-            whole += [merkle_root(parts) == root] * len(parts)
-        yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(seq, pa.int32()), pa.array(digest, pa.binary()), pa.array(whole, pa.bool_())], names=["key", "seq", "digest", "whole"])
-
-
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("digest binary, payload binary, kind string").parquet(f"{path}/entries").where("kind = 'chunk'").select("digest", "payload")
 
 
 def _recipes(spark: SparkSession, path: str) -> DataFrame:
-    read = spark.read.schema("doc_id long, n_tokens long, digests binary, shard int, root binary").parquet(f"{path}/recipes")
-    return read.withColumn("key", F.monotonically_increasing_id())
+    return spark.read.schema(_RECIPE).parquet(f"{path}/recipes")
+
+
+def _parts(recipes: DataFrame, *keep: str) -> DataFrame:
+    """A row for each chunk of each document: the columns to keep, digest, end, n (ids) and after (the document's ids that follow)."""
+
+    def part(end, k):
+        before = F.when(k > 0, F.element_at("ends", k)).otherwise(0)
+        return F.struct(F.substring(F.col("digests"), k * DIGEST + 1, F.lit(DIGEST)).alias("digest"), end.alias("end"), (end - before).alias("n"), (F.col("n_tokens") - end).alias("after"))
+
+    return recipes.select(*keep, F.inline(F.transform("ends", part)))
+
+
+def _shards(spark: SparkSession, path: str, recipes: DataFrame) -> DataFrame:
+    """shard, sound (its leaves give the manifest's root and sizes) and before (ids of the shards before), from a row for each shard."""
+    kept = spark.read.schema("shard int, n_docs long, n_tokens long, root binary").parquet(f"{path}/manifest")
+    again = _manifest(recipes).select("shard", *(F.col(c).alias(f"{c}_again") for c in ("n_docs", "n_tokens", "root")))
+    same = [F.col(c) == F.col(f"{c}_again") for c in ("n_docs", "n_tokens", "root")]
+    before = F.coalesce(F.sum("n_tokens").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return kept.join(again, "shard", "full").select("shard", F.coalesce(same[0] & same[1] & same[2], F.lit(False)).alias("sound"), before.alias("before"))
 
 
 def verify_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A row for each shard: shard, sound (its documents, recomputed from the recipes, give the manifest's root)."""
-    read = _recipes(spark, path).drop("key", "root").mapInArrow(_with_roots, "doc_id long, n_tokens long, digests binary, shard int, root binary")
-    shards = read.repartition(shuffle_partitions(spark), "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n_tokens", "digests")
-    again = shards.mapInArrow(_shard_roots, "shard int, n_docs long, n_tokens long, root binary")
-    kept = spark.read.schema(again.schema).parquet(f"{path}/manifest")
-    return kept.join(again.select("shard", F.col("root").alias("again")), "shard", "full").select("shard", F.coalesce(F.col("root") == F.col("again"), F.lit(False)).alias("sound"))
+    recipes = _recipes(spark, path).mapInArrow(_checked, f"{_RECIPE}, whole boolean")
+    whole = recipes.groupBy("shard").agg(F.min("whole").alias("whole"))
+    return _shards(spark, path, recipes).join(whole, "shard", "left").select("shard", (F.col("sound") & F.coalesce("whole", F.lit(False))).alias("sound"))
 
 
-def read_documents(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned integers of id_bytes): every document, put together from its chunks."""
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned integers, as wide as in the store): every document, put together from its chunks."""
     recipes = _recipes(spark, path)
-    rows = recipes.select("key", "digests", "root").mapInArrow(_recipe_rows, "key long, seq int, digest binary, whole boolean")
-    parts = rows.join(_chunks(spark, path), "digest").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("seq", "payload"))).alias("parts"))
+    parts = _parts(recipes, "shard", "pos").join(_chunks(spark, path), "digest").groupBy("shard", "pos").agg(F.array_sort(F.collect_list(F.struct("end", "payload"))).alias("parts"))
     joined = F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["payload"]))
-    return recipes.join(parts, "key").select("doc_id", "n_tokens", joined.alias("ids"))
+    return recipes.join(parts, ["shard", "pos"]).select("doc_id", "n_tokens", joined.alias("ids"))
 
 
 def read_digest(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the store's files alone.
 
-    Each unique chunk is read and checked against its digest once. A document's CRC is the xor of
-    what its chunks add, so no payload is shuffled. A chunk or recipe that fails its check, or is
-    missing, leaves ids_crc32 null.
+    Each unique chunk is read and checked against its digest once, each recipe against its root and
+    leaf, and each shard's leaves against the manifest. A document's CRC is the xor of what its
+    chunks add, so no payload is shuffled. Where a chunk, recipe or shard fails its check, or a
+    chunk is missing, ids_crc32 is null.
     """
-    parts = shuffle_partitions(spark)
-    facts = _chunks(spark, path).mapInArrow(_chunk_facts(id_bytes), "digest binary, crc long, n long, sound boolean")
-    recipes = _recipes(spark, path)
-    rows = recipes.select("key", "digests", "root").mapInArrow(_recipe_rows, "key long, seq int, digest binary, whole boolean")
-    found = rows.join(facts, "digest").select("key", "seq", "crc", "n", (F.col("whole") & F.col("sound")).alias("good"))
+    facts = _chunks(spark, path).mapInArrow(_chunk_facts(id_bytes), "digest binary, crc long, got long, sound boolean")
+    shards = _shards(spark, path, _recipes(spark, path)).withColumnRenamed("sound", "listed")
+    docs = _recipes(spark, path).mapInArrow(_checked, f"{_RECIPE}, whole boolean").join(shards, "shard")
+    docs = docs.withColumns({"start": F.col("before") + F.col("first"), "whole": F.col("whole") & F.col("listed")})
 
     @F.pandas_udf("long")
-    def document_crc(pieces: pd.Series) -> pd.Series:
-        counts = np.array([len(x) for x in pieces], dtype=np.int64)
-        flat = [p for doc in pieces for p in doc]
-        crc = np.array([p["crc"] for p in flat], dtype=np.uint32)
-        size = np.array([p["n"] for p in flat], dtype=np.int64) * 4
-        doc = np.repeat(np.arange(len(counts)), counts)
-        done = np.cumsum(size)
-        total = done[np.cumsum(counts) - 1]
-        added = crc_after(crc, total[doc] - done)
-        return pd.Series(np.bitwise_xor.reduceat(added, np.cumsum(counts) - counts).astype(np.int64) if len(flat) else np.zeros(0, np.int64))
-
-    pieces = F.array_sort(F.collect_list(F.struct("seq", "crc", "n")))
-    docs = found.groupBy("key").agg(pieces.alias("pieces"), F.sum("n").alias("got"), F.min("good").alias("good"))
-    crcs = docs.select("key", "got", "good", document_crc("pieces").alias("crc"))
-    started = total_of_ranges(recipes.withColumn("_range", F.col("shard")).select("_range", "doc_id", "n_tokens", "key"), "doc_id", "n_tokens", "start")
-    sound = F.col("good") & (F.col("got") == F.col("n_tokens"))
-    return started.join(crcs, "key", "left").select("doc_id", "start", "n_tokens", F.when(sound, F.col("crc")).alias("ids_crc32"))
+    def added(crc: pd.Series, after: pd.Series) -> pd.Series:
+        return pd.Series(crc_after(crc.to_numpy(dtype=np.uint32), after.to_numpy(dtype=np.int64) * 4).astype(np.int64))
+
+    found = _parts(docs, "shard", "pos", "doc_id", "start", "n_tokens", "whole").join(facts, "digest", "left")
+    found = found.withColumns({"added": added(F.coalesce("crc", F.lit(0)), "after"), "good": F.col("whole") & F.coalesce(F.col("sound") & (F.col("got") == F.col("n")), F.lit(False))})
+    whole = found.groupBy("shard", "pos", "doc_id", "start", "n_tokens").agg(F.bit_xor("added").alias("crc"), F.min("good").alias("good"))
+    return whole.select("doc_id", "start", "n_tokens", F.when(F.col("good"), F.col("crc")).alias("ids_crc32"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

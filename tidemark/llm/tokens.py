@@ -6,6 +6,7 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -20,8 +21,12 @@ _PIECES = {
 }
 #: Characters that Python holds to be white space and the tokenizers don't.
 _UNSURE = re.compile("[\x1c-\x1f]")
-#: Pieces that a worker remembers (about 100 bytes each).
-REMEMBERED = 800_000
+#: A piece of one kind of letters, which the pre-tokenizers leave whole.
+_LETTERS = re.compile(rf" ?[{_L}]+").fullmatch
+#: White space but for the space and the line feed.
+_OTHER_SPACE = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Pieces and units of text that a worker remembers (100 to 200 bytes each), and the longest of them.
+REMEMBERED, LONGEST = 600_000, 64
 
 
 def tokenizer_file(name: str) -> str:
@@ -33,6 +38,22 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Remembered(dict):
+    """Ids by text, found by `find` when first asked for."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.find(text)
+        if len(text) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class Encoder:
     """Ids as little-endian unsigned 16- or 32-bit bytes; equal to encoding each text whole."""
 
@@ -42,16 +63,24 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         path = tokenizer_file(name)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.added = [x["content"] for x in spec.get("added_tokens") or []]
         self.kind = self._kind(spec)
-        self.known: dict[str, bytes] = {}
+        if self.kind:
+            self.bytes_as = dict(enumerate(self._byte_characters()))
+            self.model_ids = self.tokenizer.model.tokenize
+            self.cut = _PIECES[self.kind].findall
+            self.pieces = _Remembered(self._piece)
+            self.units = _Remembered(self._unit)
 
     @staticmethod
     def _kind(spec: dict) -> str | None:
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+        if any(x["normalized"] for x in spec.get("added_tokens") or []):
+            return None  # may be met in a text only once that is normalized
         if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
             return "byte"
         steps = [x.get("type") for x in (norm or {}).get("normalizers", [])]
@@ -59,35 +88,53 @@ class Encoder:
             return "word"
         return None
 
+    @staticmethod
+    def _byte_characters() -> list[str]:
+        """What byte-level vocabularies write for each byte: itself where it prints, else the next character from 256."""
+        prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        others = iter(range(0x100, 0x200))
+        return [chr(b if b in prints else next(others)) for b in range(256)]
+
     def _whole(self, texts: list[str]) -> list[bytes]:
-        code = "H" if self.dtype.itemsize == 2 else "I"
-        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, text: str) -> bytes:
+        """A piece of letters goes straight to the merges, as the steps before them leave it whole."""
+        if self.kind == "word":
+            text = text.lower()
+        if not text.isascii():
+            text = text.encode("utf-8").decode("latin-1").translate(self.bytes_as)
+        elif text[0] == " ":
+            text = self.bytes_as[0x20] + text[1:]
+        return array(self.code, [t.id for t in self.model_ids(text)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        return self._letters(piece) if _LETTERS(piece) else self._whole([piece])[0]
+
+    def _joined(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut(text)))
+
+    def _unit(self, unit: str) -> bytes:
+        """What stands between spaces; in byte vocabularies with the space before it, unless a line begins there."""
+        text = unit if self.kind == "word" or unit[:1] == "\n" else f" {unit}"
+        return self._letters(text) if _LETTERS(text) else self._joined(text)
+
+    def _encode(self, text: str) -> bytes:
+        if self.kind == "word":
+            return b"".join(map(self.units.__getitem__, text.split()))
+        # A space goes with the word after it and a line feed stands alone, unless more white space is next to either.
+        if "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith("\n\n") or any(c in text for c in _OTHER_SPACE):
+            return self._joined(text)
+        units = text.replace("\n", " \n").split(" ")
+        return self._joined(units[0]) + b"".join(map(self.units.__getitem__, units[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Texts that hold an added token's string, or characters that Python takes otherwise, are encoded as they are."""
         if self.kind is None:
             return self._whole(texts)
-        pieces_of, known, out = _PIECES[self.kind].findall, self.known, [b""] * len(texts)
-        unsure = [i for i, t in enumerate(texts) if _UNSURE.search(t)]
-        for i, ids in zip(unsure, self._whole([texts[i] for i in unsure]), strict=True):
-            out[i] = ids
-        skip, waiting, new = set(unsure), [], {}
-        for i, text in enumerate(texts):
-            if i not in skip:
-                pieces = pieces_of(text)
-                ids = list(map(known.get, pieces))
-                if None in ids:
-                    waiting.append((i, pieces, ids))
-                    new.update((p, None) for p, x in zip(pieces, ids, strict=True) if x is None)
-                else:
-                    out[i] = b"".join(ids)
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-            new = dict(zip(new, self._whole(list(new)), strict=True))
-            known.update(new)
-            for i, pieces, ids in waiting:
-                out[i] = b"".join([new[p] if x is None else x for p, x in zip(pieces, ids, strict=True)])
-        return out
+        whole = [i for i, t in enumerate(texts) if _UNSURE.search(t) or any(x in t for x in self.added)]
+        out = dict(zip(whole, self._whole([texts[i] for i in whole]), strict=True))
+        return [out[i] if i in out else self._encode(t) for i, t in enumerate(texts)]
 
 
 @lru_cache(maxsize=2)
