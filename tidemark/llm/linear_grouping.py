@@ -1,8 +1,10 @@
 """Packing by linear grouping: pieces of documents into few sequences of bounded length.
 
-Large lengths are rounded up within groups of equal cardinality, patterns over these few sizes are
-chosen, actual pieces take the patterns' places in order, and small pieces then go where they fit
-best. Everything the driver plans with is a histogram of lengths (at most `capacity` entries), so
+Large lengths are rounded up within groups of equal cardinality. Over these few sizes, a linear
+program finds the configurations (how many of each size share a sequence) that need the fewest
+sequences; its columns are generated by a knapsack over its dual prices. Whole multiples of the
+configurations are used, what is left over is filled up greedily, actual pieces take the places in
+order, and small pieces then go where they fit best. Everything the driver plans with is a histogram of lengths (at most `capacity` entries), so
 its work doesn't grow with the input; ranks and places of the rows are computed by Spark.
 """
 
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, ranked, shuffle_partitions, slices
+from tidemark.llm.common import Scratch, local_table, ranked, shuffle_partitions, slices
 from tidemark.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -28,7 +30,7 @@ SMALL = 8  # lengths up to capacity / SMALL are small
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary"
 
 
-def _pieces(tokenizer: str, end_id: int, capacity: int):
+def _pieces(tokenizer: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end = np.array([end_id], dtype=enc.dtype)
@@ -42,7 +44,7 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
                 piece = 0
                 while at < len(ids):
                     part = ids[at:to]
-                    rows.append((doc_id, piece, at, len(part), zlib.crc32(part.astype("<u4").tobytes()), part.tobytes()))
+                    rows.append((doc_id, piece, at, len(part), zlib.crc32(part.astype("<u4").tobytes()), part.tobytes() if with_ids else None))
                     at, to, piece = to, to + capacity, piece + 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -92,6 +94,68 @@ def _pattern(sizes: list[int], left: list[int], capacity: int) -> dict[int, int]
     return out
 
 
+def _knapsack(sizes: list[int], prices: np.ndarray, capacity: int) -> list[np.ndarray]:
+    """For each size the dearest configuration that has it; sizes may be repeated."""
+    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    rooms = np.arange(capacity + 1)
+    while True:  # one more piece at a time, as many as the smallest size allows
+        offers = np.stack([np.concatenate((np.full(x, -1.0), best[: capacity + 1 - x] + p)) for x, p in zip(sizes, prices, strict=True)])
+        g = offers.argmax(axis=0)
+        offer = offers[g, rooms]
+        better = offer > best + 1e-12
+        if not better.any():
+            break
+        best, last = np.where(better, offer, best), np.where(better, g, last)
+    out = []
+    for first, x in enumerate(sizes):
+        column, room = np.zeros(len(sizes)), capacity - x
+        column[first] = 1
+        while room >= 0 and last[room] >= 0:
+            column[last[room]] += 1
+            room -= sizes[last[room]]
+        out.append(column)
+    return out
+
+
+def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 40) -> list[tuple[dict[int, int], int]]:
+    """Configurations of the sizes and how often each is used (whole times only), by column generation.
+
+    The simplex method starts from sequences of one size each. Its duals price the sizes, and the
+    knapsack gives configurations that are worth more than the sequence they take, until there are
+    none. Work follows the number of sizes, not the demand.
+    """
+    m = len(sizes)
+    if not m:
+        return []
+    columns = np.diag([float(capacity // x) for x in sizes])
+    basis, b = np.arange(m), np.asarray(demand, dtype=float)
+    for _ in range(rounds):
+        for _ in range(20 * m):
+            matrix = columns[:, basis]
+            prices = np.linalg.solve(matrix.T, np.ones(m))
+            worth = prices @ columns
+            enter = int(worth.argmax())
+            if worth[enter] <= 1 + 1e-7:
+                break
+            step, now = np.linalg.solve(matrix, np.stack([columns[:, enter], b], axis=1)).T
+            ratio = np.where(step > 1e-9, np.maximum(now, 0) / np.where(step > 1e-9, step, 1), np.inf)
+            basis[int(ratio.argmin())] = enter
+        found = [c for c in _knapsack(sizes, prices, capacity) if c @ prices > 1 + 1e-6]
+        new = {tuple(c) for c in found} - set(map(tuple, columns.T))
+        if not new:
+            break
+        columns = np.concatenate((columns, np.array(sorted(new)).T), axis=1)
+    times = np.linalg.solve(columns[:, basis], b)
+    left, out = np.asarray(demand, dtype=np.int64).copy(), []
+    for k, x in zip(basis.tolist(), times.tolist(), strict=True):
+        column = columns[:, k].astype(np.int64)
+        n = min(int(x + 1e-6), *(int(left[g] // column[g]) for g in np.flatnonzero(column)), *[1 << 62])
+        if n > 0:
+            left -= n * column
+            out.append(({int(g): int(column[g]) for g in np.flatnonzero(column)}, n))
+    return out
+
+
 def _groups(histogram: dict[int, int], count: int) -> list[list[tuple[int, int, int]]]:
     """Lengths in descending order as groups of equal cardinality: (length, first rank, end rank) runs."""
     total = sum(histogram.values())
@@ -132,9 +196,12 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, groups: in
         cursor[g] = (k, used)
         return out
 
+    optimal = iter(configurations(sizes, left, capacity))
     while any(left):
-        pattern = _pattern(sizes, left, capacity)
-        times = min(left[g] // m for g, m in pattern.items())
+        pattern, times = next(optimal, (None, 0))
+        if pattern is None:
+            pattern = _pattern(sizes, left, capacity)
+            times = min(left[g] // m for g, m in pattern.items())
         first = plan.open(times)
         filled = np.zeros(1, dtype=np.int64)
         starts = np.zeros(1, dtype=np.int64)  # runs of sequences that hold equal lengths so far
@@ -189,14 +256,13 @@ def pack(docs: DataFrame, scratch: Scratch, tokenizer: str = "byte_bpe_50k.json"
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    encoded = source.mapInArrow(_pieces(tokenizer, end_id, capacity), _PIECES).withColumn("uid", F.monotonically_increasing_id())
+    encoded = source.mapInArrow(_pieces(tokenizer, end_id, capacity, with_ids), _PIECES).withColumn("uid", F.monotonically_increasing_id())
     pieces = scratch.save(encoded, "pieces")
     open_ = pieces.where(F.col("length") < capacity).select("uid", "doc_id", "piece", "start", "length", "ids_crc32")
     histogram = {r["length"]: r["n"] for r in open_.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = plan_packing(histogram, capacity, groups)
-    # Plan rows follow the lengths and patterns, not the documents: a bound that broadcast() may rest on.
-    places = spark.createDataFrame([(int(a), int(b), int(c), int(d)) for a, b, c, d in plan.places] or [(-1, 0, 0, 0)], "of int, first long, end long, at long")
-    places = F.broadcast(places)
+    # Plan rows follow the lengths and patterns, not the documents; Spark knows how many they are.
+    places = local_table(spark, plan.places, of=pa.int32(), first=pa.int64(), end=pa.int64(), at=pa.int64())
     at_rank = ranked(open_, ["length"], ["uid"], F.col("uid"), 2 * shuffle_partitions(spark), "rank")
     placed = at_rank.join(places, (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
     placed = placed.select("uid", "doc_id", "piece", "start", "length", "ids_crc32", (F.col("at") + F.col("rank") - F.col("first")).alias("sequence_id"))
