@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from tidemark.llm import common, content_store, exact_topk, golay, line_crf, linear_grouping, mixing, robust_outliers, secret_scan, simhash, toxicity, url_rules
+from tidemark.llm import common, content_store, exact_topk, golay, line_crf, linear_grouping, mixing, robust_outliers, secret_scan, simhash, tails, toxicity, url_rules
 from tidemark.llm.common import Scratch
 
 SF = "/root/testdata/sf0.001"
@@ -101,6 +101,59 @@ def test_outliers_go_by_the_scatter_of_their_group(spark):
     assert got.loc[range(400)].kept.all() and not got.loc[range(400, 424)].kept.any()
 
 
+def mcd_by_hand(x, noise, rng, starts=400):
+    """Distances and cutoff of one group, its least determinant searched from many random starts."""
+    n, p, ro = len(x), x.shape[1], robust_outliers
+    at = lambda v, share: np.sort(v)[int(np.ceil(share * len(v))) - 1]
+    centre = np.array([at(c, 0.5) for c in x.T])
+    live = np.array([at(np.abs(c - m), ro.COVER) > 0 for c, m in zip(x.T, centre, strict=True)])
+    y, best = x[:, live], (np.inf, None)
+    for _ in range(starts):
+        rows = rng.choice(n, live.sum() + 2, replace=False)
+        for _ in range(30):
+            cov = np.cov(y[rows].T, bias=True) + 1e-12 * np.eye(live.sum())
+            d2 = np.einsum("ij,jk,ik->i", y - y[rows].mean(0), np.linalg.inv(cov), y - y[rows].mean(0))
+            near = np.flatnonzero(d2 <= at(d2, ro.COVER))
+            if np.array_equal(near, rows):
+                break
+            rows = near
+        det = np.linalg.slogdet(np.cov(y[rows].T, bias=True))[1]
+        if det < best[0]:
+            best = (det, d2)
+    q, dof = tails.chi2_quantile, int(live.sum())
+    inliers = best[1] <= at(best[1], 0.5) * q(ro.INLIERS, dof) / q(0.5, dof)
+    cov = np.cov(x[inliers].T, bias=True)
+    cov += np.diag(np.maximum(0, noise[inliers].mean(0) - np.diag(cov)))
+    d = np.sqrt(np.einsum("ij,jk,ik->i", x - x[inliers].mean(0), np.linalg.inv(cov), x - x[inliers].mean(0)))
+    return d, np.sqrt(q(1 - ro.REJECT, p)) * max(1.0, at(d[inliers], ro.INLIERS) / np.sqrt(q(ro.INLIERS, p)))
+
+
+def test_outliers_equal_the_least_determinant_of_many_starts(spark):
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(3000)]
+    marks = [".", ",", ";", "!", "#"]
+
+    def text(k):
+        n, odd = int(rng.integers(30, 400)), k % 9 == 0
+        w = [x.capitalize() if rng.random() < (0.5 if odd else 0.1) else x for x in rng.choice(words, n)]
+        w = [x + (marks[int(rng.integers(0, 5))] if rng.random() < (0.6 if odd else 0.15) else "") for x in w]
+        return "\n".join(" ".join(w[i : i + 12]) for i in range(0, n, 12))
+
+    rows = [(k, text(k), "en" if k < 80 else "de", "s") for k in range(140)] + [(500 + k, text(k), "fr", f"tiny{k}") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = robust_outliers.judge(docs, Scratch(spark, "t")).toPandas().set_index("doc_id")
+    names = [*robust_outliers.NAMES, *(f"e{k}" for k in range(7))]
+    stats = docs.mapInArrow(robust_outliers._statistics("text"), f"doc_id long, lang string, source string, {robust_outliers._BASE}, " + ", ".join(f"{c} double" for c in (*robust_outliers.NAMES, *robust_outliers._INVERSE)))
+    stats = stats.selectExpr("doc_id", *robust_outliers.NAMES, *(f"{e} as e{k}" for k, e in enumerate(robust_outliers._NOISE))).toPandas().set_index("doc_id")[names]
+    for ids in (range(80), range(80, 140)):
+        own = [i for i in ids if not got.base_failed[i]]
+        x = stats.loc[own].to_numpy()
+        d, cutoff = mcd_by_hand(x[:, :7], x[:, 7:], rng)
+        assert np.allclose(got.distance[own], d, rtol=1e-6) and (got.kept[own] == (d <= cutoff)).all()
+        assert 0 < (~got.kept[own]).sum() < len(own) / 4
+    assert got.loc[[500, 501, 502]].distance.isna().all() and got.loc[[500, 501, 502]].kept.all()  # too few for an estimate, alone or pooled
+
+
 def test_outliers_on_odd_rows(spark, odd, none):
     got = robust_outliers.judge(odd, Scratch(spark, "t")).toPandas()
     assert len(got) == len(ODD)
@@ -179,6 +232,39 @@ def test_store_on_odd_rows_and_in_full(spark, odd, none):
     assert content_store.read_digest(spark, empty).count() == 0
 
 
+def test_special_strings_in_a_text_are_their_ids():
+    from tidemark.llm.tokens import Encoder
+
+    for name, end in (("word_bpe_49k.json", 49407), ("byte_bpe_50k.json", 50256)):
+        text = "x <|endoftext|> y"
+        want = Tokenizer.from_file(public_tokenizers.path(name)).encode(text, add_special_tokens=False).ids
+        assert end in want and np.frombuffer(Encoder(name).encode([text])[0], "<u2").tolist() == want
+
+
+@pytest.mark.parametrize("bend", ["doc_id + 1 as doc_id", "n_tokens - 1 as n_tokens", "first + 1 as first", "reverse(ends) as ends", "digest as leaf", None])
+def test_store_refuses_changed_recipes_and_manifests(spark, odd, bend):
+    path, bent = Scratch(spark, "t").root, Scratch(spark, "t").root
+    content_store.write_store(odd, path, "word_bpe_49k.json", 1)
+    for part in ("entries", "recipes", "manifest"):
+        rows = spark.read.parquet(f"{path}/{part}")
+        if part == "recipes" and bend:
+            name = bend.split()[-1]
+            of = bend.replace("digest as", "substring(digests, 1, 16) as").rsplit(" as ", 1)[0]
+            rows = rows.withColumn(name, F.when(F.col("doc_id") == 6, F.expr(of)).otherwise(F.col(name)))
+        elif part == "recipes":
+            rows = rows.where("doc_id is null or doc_id <> 6")
+        (rows.write.partitionBy("kind") if part == "entries" else rows.write).parquet(f"{bent}/{part}")
+    good = {r.doc_id: r.ids_crc32 for r in content_store.read_digest(spark, path).collect()}
+    got = content_store.read_digest(spark, bent).collect()
+    shard = spark.read.parquet(f"{path}/recipes").where("doc_id = 6").first().shard
+    same = {r.doc_id for r in spark.read.parquet(f"{path}/recipes").where(f"shard = {shard}").collect()}
+    assert all(r.ids_crc32 is None for r in got if r.doc_id in (6, 7) and (r.doc_id == 6 or (bend is None and 7 in same)))
+    if bend is None:
+        assert all((r.ids_crc32 is None) == (r.doc_id in same) for r in got)
+        assert not all(r.sound for r in content_store.verify_manifest(spark, bent).collect())
+    assert all(x is not None for x in good.values())
+
+
 def test_store_refuses_changed_chunks(spark, odd):
     path, bent = Scratch(spark, "t").root, Scratch(spark, "t").root
     content_store.write_store(odd, path, "word_bpe_49k.json", 1)
@@ -312,8 +398,8 @@ def test_urls_on_odd_rows(spark):
 
 
 def test_url_plan_has_no_python(spark):
-    plan = url_rules.op5(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+    run = url_rules.op5(spark, SF)._jdf.queryExecution()
+    assert not re.search("Python|Pandas|Arrow", run.executedPlan().toString() + run.toRdd().toDebugString())
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -327,6 +413,28 @@ def test_top_k_blocks_equal_brute_force(seed):
         assert [(-int(s), int(i)) for i, s in zip(got, score, strict=True)] == want
 
 
+@pytest.mark.parametrize("big", [(1 << 29) + 1, 3])
+def test_top_k_is_exact_beyond_doubles(big):
+    ids = np.array([2, 3, 9, 50])
+    v = np.array([[big, 1], [big, 2], [big, 3], [big, 1]], dtype=np.int64)
+    (got, score), = exact_topk.Lists(ids, v).best(v[3:], ids[3:], 3)
+    assert got.tolist() == [9, 3, 2] and score.tolist() == [big * big + k for k in (3, 2, 1)]
+
+
+def test_top_k_refuses_scores_beyond_64_bits():
+    v = np.array([[1 << 31, 1]], dtype=np.int64)
+    with pytest.raises(ValueError):
+        exact_topk.Lists(np.array([1]), v).best(v, np.array([2]), 5)
+
+
+def test_top_k_reads_less_than_its_lists():
+    rng = np.random.default_rng(5)
+    v = np.round(rng.normal(size=(3000, 8)) * 100).astype(int)
+    lists = exact_topk.Lists(np.arange(3000), v)
+    lists.best(v[:50], np.arange(50), 5)
+    assert lists.read[0] < 0.5 * lists.read[1]
+
+
 def test_top_k_on_odd_rows(spark):
     nan = float("nan")
     rows = [(0, [1.0, 2.0], 1), (50, [0.5, -1.0], 1), (1, None, 1), (2, [None, 1.0], 1), (3, [nan, 1.0], 1), (4, [float("inf"), 1.0], 1), (5, [1.0, 2.0], 1), (5, [1.0, 2.0], 1), (None, [9.0, 9.0], 1), (6, [], 1), (7, [1.0], 1), (100, [0.0, 0.0], 1)]
@@ -436,6 +544,16 @@ def test_components_of_a_long_chain(spark):
     assert got == {n: 0 for n in range(200)} | {1000: 1000, 1001: 1000}
 
 
+def test_one_row_of_each_component_stays(spark, odd, none):
+    rows = simhash.without_near_duplicates(odd, Scratch(spark, "t")).collect()
+    prints, ids = [print_by_hand(t) for _, t, _, _ in ODD], [10**6 if i is None else i for i, *_ in ODD]
+    groups = components_by_hand(np.array(prints, dtype=np.uint64), ids)
+    assert sorted(10**6 if r.doc_id is None else r.doc_id for r in rows) == sorted(set(groups))
+    unlike = spark.createDataFrame([(5, "one text of its own here", 1), (5, "quite another matter for us all", 2), (None, "a third thing that has no number", 3), (None, "a fourth thing nobody numbered yet", 4), (None, "a fourth thing nobody numbered yet", 4)], "doc_id long, text string, uid long")
+    assert sorted(r.uid for r in simhash.without_near_duplicates(unlike, Scratch(spark, "t")).collect()) == [1, 2, 3, 4]
+    assert simhash.without_near_duplicates(none, Scratch(spark, "t")).count() == 0
+
+
 def test_near_duplicates_on_odd_rows(spark, odd, none):
     got = simhash.near_duplicates(odd, Scratch(spark, "t")).collect()
     assert Counter((r.doc_id, r.fingerprint) for r in got) == Counter((i, f"{print_by_hand(t):016x}") for i, t, _, _ in ODD)

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from test_corpus_operators import SF, ids_of, packed, print_by_hand
 
 from tidemark.llm import mixing, toxicity
@@ -58,5 +59,23 @@ def test_stages_one_by_one(spark):
 
 def test_run_gives_the_stages_rows(spark):
     a = corpus_pipeline.run(spark, SF)
-    assert a.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    assert a.count() > 100
+    assert a.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"]
+    rows = a.collect()
+    assert len(rows) > 100 and all(len(r.ids) == 2 * r.length for r in rows)
+
+
+NAMES = "score features raw prediction probability rawPrediction secret_base secret_runs secret_spans _source _times _copy _cut _passes _features fp uid component _0 _1 n_chars source lang start Score2".split()
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.select("doc_id", *(F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in NAMES if n != "n_chars"), F.length("text").alias("n_chars"), "text")
+    scratch = Scratch(spark, "t")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = scratch.save(stage(spark, docs, SF), f"named-{name}".replace(" ", "-"))
+    assert docs.columns == ["doc_id", *(n for n in NAMES if n != "n_chars"), "n_chars", "text"]
+    rows = docs.collect()
+    assert len(rows) > 100
+    for r in rows:
+        assert all(r[n] == f"{n}-{r.doc_id}" for n in NAMES if n != "n_chars") and r.n_chars == len(r.text or "")
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= len(rows)

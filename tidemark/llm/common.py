@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,19 +18,36 @@ SLICE = 256
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that all machines share: spark.checkpoint.dir. A cluster must set it; only a local master has a folder of its own instead."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         root = f"/tmp/checkpoints/tidemark-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+_OPEN: list[Scratch] = []
+
+
+def release() -> None:
+    """Delete every scratch table that is left, once no result that reads one is needed any more."""
+    while _OPEN:
+        _OPEN.pop().close()
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, list[str], list[Column]]:
+    """docs with columns _0, _1, ..., which no operator uses, these names, and the columns that give back docs' own names."""
+    names = [f"_{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), names, [F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)]
+
+
 class Scratch:
     """Tables written to the shared folder, to cut lineage; each can be dropped once nothing reads it."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+        _OPEN.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -43,10 +61,24 @@ class Scratch:
         reader = self.spark.read
         return (reader.schema(like.schema) if like is not None else reader).parquet(self.path(name))
 
+    def _folder(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def drop(self, name: str) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(conf).delete(path, True)
+        files, path = self._folder(self.path(name))
+        files.delete(path, True)
+
+    def keep(self, *names: str) -> None:
+        """Drop all tables but these."""
+        files, root = self._folder(self.root)
+        if files.exists(root):
+            for found in files.listStatus(root):
+                if found.getPath().getName() not in names:
+                    files.delete(found.getPath(), True)
+
+    def close(self) -> None:
+        self.drop("")
 
 
 def local_table(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
@@ -55,6 +87,12 @@ def local_table(spark: SparkSession, rows: list[tuple], **columns: pa.DataType)
     return spark.createDataFrame(pa.table({n: pa.array(c, t) for (n, t), c in zip(columns.items(), by_column, strict=True)}))
 
 
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table; where it comes in fewer parts than there are cores, as a file with few row groups does, its rows are dealt out."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -81,27 +119,7 @@ def ranked(df: DataFrame, group: list[str], order: list[str], salt_on: Column, s
     return at.join(first, [*group, "_salt"]).withColumn(name, F.col("_first") + F.col("_at") - 1).drop("_salt", "_first", "_at")
 
 
-def running_total(df: DataFrame, order: str, value: str, name: str, partitions: int) -> DataFrame:
-    """df with the sum of `value` over all rows before in ascending `order` (nulls first).
-
-    Two levels: rows are dealt to ranges of `order`, each range is summed on its own, and the
-    ranges' totals (a row for each range) give each range's start.
-    """
-    dealt = df.repartitionByRange(partitions, F.col(order).asc_nulls_first()).withColumn("_range", F.spark_partition_id())
-    return total_of_ranges(dealt, order, value, name)
-
-
-def total_of_ranges(dealt: DataFrame, order: str, value: str, name: str) -> DataFrame:
-    """As running_total, for rows that already carry the number of their range in `_range`."""
-    totals = dealt.groupBy("_range").agg(F.sum(value).alias("_total"))
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
-    within = W.partitionBy("_range").orderBy(F.col(order).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
-    inner = dealt.withColumn("_inner", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return inner.join(starts, "_range").withColumn(name, (F.col("_start") + F.col("_inner")).cast("long")).drop("_start", "_inner", "_range")
-
-
-def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component): the smallest node reachable over `edges` (u, v: long), for every node that has an edge.
 
     Each round, nodes and their current labels take the smallest label seen across an edge, then
@@ -110,7 +128,7 @@ def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     both = scratch.save(both, "edges")
     labels = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "labels-0")
-    for k in range(1, max_rounds + 1):
+    for k in count(1):
         of_u = labels.select(F.col("node").alias("u"), F.col("label").alias("lu"))
         of_v = labels.select(F.col("node").alias("v"), F.col("label").alias("lv"))
         seen = both.join(of_v, "v").join(of_u, "u").where("lv < lu")
@@ -128,6 +146,5 @@ def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
         labels = now.select("node", "label")
         if not moved:
             break
-    else:
-        raise RuntimeError(f"components need more than {max_rounds} rounds")
+    scratch.drop("edges")
     return labels.select("node", F.col("label").alias("component"))

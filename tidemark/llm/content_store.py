@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, shuffle_partitions, slices
+from tidemark.llm.common import Scratch, shuffle_partitions, slices, table
 from tidemark.llm.tokens import encoder
 
 DIGEST = 16  # bytes
@@ -342,7 +342,8 @@ def read_digest(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
 
     @F.pandas_udf("long")
     def added(crc: pd.Series, after: pd.Series) -> pd.Series:
-        return pd.Series(crc_after(crc.to_numpy(dtype=np.uint32), after.to_numpy(dtype=np.int64) * 4).astype(np.int64))
+        bytes_after = np.maximum(after.to_numpy(dtype=np.int64), 0) * 4  # negative only in recipes that fail their check
+        return pd.Series(crc_after(crc.to_numpy(dtype=np.uint32), bytes_after).astype(np.int64))
 
     found = _parts(docs, "shard", "pos", "doc_id", "start", "n_tokens", "whole").join(facts, "digest", "left")
     found = found.withColumns({"added": added(F.coalesce("crc", F.lit(0)), "after"), "good": F.col("whole") & F.coalesce(F.col("sound") & (F.col("got") == F.col("n")), F.lit(False))})
@@ -353,6 +354,6 @@ def read_digest(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through the store and back."""
     scratch = Scratch(spark, "content-store")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     write_store(docs, scratch.root, "word_bpe_49k.json", 1)
     return read_digest(spark, scratch.root)

@@ -1,11 +1,12 @@
 """Exact top-k inner products by aggregation without random access (NRA).
 
-Vectors are dealt to blocks; in a block, each dimension is a list of components in sorted order. For
-a query, the lists are read from the end that helps it most, a stretch at a time and all in step.
-What has been read of a vector gives a lower bound (unread components count as the list's worst)
-and an upper bound (unread ones count as the last read). Reading stops when no vector outside the k
-best lower bounds can still reach them; the vectors that could are then scored in full. Each block's
-k best per query are merged by Spark.
+Vectors are dealt to blocks; in a block, each dimension is a list of components in sorted order. A
+query reads a list downwards where its weight is positive and upwards where it is negative, a
+stretch at a time and all lists in step. What has been read of a vector raises its lower bound
+(unread components count as the list's worst), which is kept as an exact integer; its upper bound
+lets unread ones count as the last that was read. Reading stops when few vectors but the k best
+lower bounds can still qualify, and these few are then scored in full. Each block's k best per
+query are merged by Spark.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import Window as W
 from tidemark.llm.common import Scratch
 
 SCALE = 256
-BLOCK, QUERIES = 4096, 1024  # vectors in a block, queries in a block, about
-STEP = 256  # queries that a task bounds at once
-DEPTHS = (0.4, 0.6, 0.75, 0.88)  # shares of the lists after which bounds are compared
-FEW = 20  # times k candidates that are worth resolving
+BLOCK, QUERIES = 4096, 32768  # vectors in a block, queries in a block, about
+STEP = 64  # queries that a task bounds at once
+STRETCHES = 12  # in which a list is read
+FEW = 20  # times k vectors, or one in FEW of the block, that are worth resolving
+LIMIT = 2.0**61  # that a score's parts may sum to in 64-bit integers
 
 
 def usable(vector: Column) -> Column:
@@ -43,47 +45,58 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 class Lists:
-    """A block's vectors as sorted lists, one for each dimension, that all queries of a block read in step.
-
-    A list is read downwards for positive weights and upwards for negative ones, so its reading is
-    the same for every query; bounds of all queries and vectors are then sums of products.
-    """
+    """A block's vectors as sorted lists, one for each dimension, that queries read in step."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors.astype(np.float64)
-        ascending = np.argsort(vectors, axis=0, kind="stable")
-        self.place = np.empty_like(ascending)  # of each vector in each list, upwards
-        np.put_along_axis(self.place, ascending, np.arange(len(ids))[:, None], axis=0)
-        self.sorted = np.take_along_axis(self.vectors, ascending, axis=0)
-
-    def bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds after `depth` entries of each list: unread components count as the list's worst, and as the last read."""
+        self.ids, self.vectors = ids, vectors.astype(np.int64)
+        self.order = np.argsort(self.vectors, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.vectors, self.order, axis=0)
+        self.read = np.zeros(2, dtype=np.int64)  # entries that queries read, and entries that their lists have
+
+    def _stretches(self) -> list[int]:
         n = len(self.ids)
-        high, low = self.place >= n - depth, self.place < depth  # read downwards, read upwards
-        lower = up @ np.where(high, self.vectors, self.sorted[0]).T + down @ np.where(low, self.vectors, self.sorted[-1]).T
-        if depth >= n:
-            return lower, lower
-        return lower, up @ np.where(high, self.vectors, self.sorted[n - depth]).T + down @ np.where(low, self.vectors, self.sorted[depth - 1]).T
+        return sorted({-(-n * k // STRETCHES) for k in range(1, STRETCHES + 1)})
 
     def best(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the ids and scores of its k best, ties to the smaller id, without the query's own id."""
-        n, out = len(self.ids), [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
-        queries = queries.astype(np.float64)
-        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-        open_ = np.arange(len(queries))
-        for depth in sorted({max(1, int(n * x)) for x in DEPTHS} | {n}):
-            lower, upper = self.bounds(up[open_], down[open_], depth)
-            own = self.ids[None, :] == query_ids[open_][:, None]
-            lower[own] = -np.inf
-            kth = np.partition(lower, -k, axis=1)[:, -k] if n > k else np.full(len(open_), -np.inf)
-            may = (upper >= kth[:, None]) & ~own  # others cannot qualify any more
-            done = (may.sum(axis=1) <= FEW * k) if depth < n else np.ones(len(open_), dtype=bool)
-            for at in np.flatnonzero(done).tolist():
-                rows = np.flatnonzero(may[at])
-                score = (self.vectors[rows] @ queries[open_[at]]).astype(np.int64)
-                top = np.lexsort((self.ids[rows], -score))[:k]
-                out[open_[at]] = (self.ids[rows][top], score[top])
-            open_ = open_[~done]
+        (n, width), out = self.vectors.shape, [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
+        queries = queries.astype(np.int64)
+        if not n or not len(queries):
+            return out
+        bound = float(np.abs(queries).max(axis=0).astype(float) @ np.abs(self.vectors).max(axis=0).astype(float))
+        if bound >= LIMIT:
+            raise ValueError("inner products go beyond 64-bit integers")
+        kind = np.float64 if bound < 2.0**51 else np.int64  # sums of integers below 2**53 are exact in either
+        ways = np.stack([np.maximum(queries, 0).T, np.minimum(queries, 0).T]).astype(kind)  # weights that read downwards and upwards
+        worst = np.stack([self.sorted[0], self.sorted[-1]])  # the entry that a list ends with, for each direction
+        over = [(self.vectors - w).astype(kind) for w in worst]  # what an entry is better by
+        lower = np.repeat((worst[0] @ ways[0] + worst[1] @ ways[1]).astype(kind)[None, :], n, axis=0)  # by vector and query
+        unread = np.ones((2, n, width))  # by direction, vector and list
+        open_, at = np.arange(len(queries)), 0
+        for to in self._stretches():
+            gap = [(self.sorted[n - to] - worst[0]).astype(float), (self.sorted[to - 1] - worst[1]).astype(float)]
+            upper = lower.astype(float)
+            for way, new in enumerate((slice(n - to, n - at), slice(at, to))):
+                fresh = np.zeros((n, width), dtype=kind)
+                np.put_along_axis(fresh, self.order[new], np.take_along_axis(over[way], self.order[new], axis=0), axis=0)
+                np.put_along_axis(unread[way], self.order[new], 0, axis=0)
+                lower += fresh @ ways[way]
+                upper += fresh.astype(float) @ ways[way].astype(float)
+                upper += unread[way] @ (gap[way][:, None] * ways[way])  # unread entries are at most the last that was read
+            at = to
+            upper += 1 + bound * 1e-12  # outweighs rounding
+            own = self.ids[:, None] == query_ids[open_]
+            upper[own] = -np.inf
+            known = np.where(own, np.iinfo(np.int64).min // 2, lower)
+            may = upper >= np.partition(known, -k, axis=0)[-k] if n > k else ~own  # others cannot qualify any more
+            done = (may.sum(axis=0) <= max(FEW * k, n // FEW)) | (at == n)
+            for column in np.flatnonzero(done).tolist():
+                few = np.flatnonzero(may[:, column])
+                score = self.vectors[few] @ queries[open_[column]]
+                top = np.lexsort((self.ids[few], -score))[:k]
+                out[open_[column]] = (self.ids[few][top], score[top])
+            self.read += int(done.sum()) * width * np.array([at, n])
+            open_, lower, ways = open_[~done], lower[:, ~done], ways[:, :, ~done]
             if not len(open_):
                 break
         return out

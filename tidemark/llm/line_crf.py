@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text_stats as ts
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, table
 
 SAMPLE = 1500  # labelled documents that the field is fitted on, at most
+LONGEST = 50_000  # characters of a text that the field is fitted on, at most
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 OWN = 14  # features of a line by itself
@@ -176,9 +177,9 @@ def fold(id_col: str = "doc_id", folds: int = FOLDS) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, label of at most `most` labelled rows outside the held-out fold, those with the smallest hashes."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (fold(id_col, folds) != held_out))
-    known = known.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
+    """doc_id, text, label of at most `most` rows with a label (in labels: doc_id and it) outside the held-out fold, those with the smallest hashes."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_out))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.join(F.broadcast(chosen), "doc_id")  # at most `most` rows
@@ -197,10 +198,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_c
     """docs' id and text columns with score (0 to 1), for every row.
 
     The field is fitted on at most `sample` labelled documents outside the held-out fold, which
-    the driver holds; all else is scored where it lies. Null and empty texts have no good text.
+    the driver holds, none of them of more than LONGEST characters; all else is scored where it lies. Null and empty texts have no good text.
     Labels that are null or not 0 or 1 are not used; of repeated labels the larger counts.
     """
-    rows = labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT, sample, id_col, text_col).orderBy("doc_id", "text").toPandas()
+    rows = labelled_sample(docs.where(F.coalesce(F.length(text_col), F.lit(0)) <= LONGEST), labels, "quality", FOLDS, HELD_OUT, sample, id_col, text_col).orderBy("doc_id", "text").toPandas()
     field = train([t or "" for t in rows["text"]], rows["label"].tolist())
     own = docs.select(id_col, text_col)
     return own.mapInArrow(_score(field, text_col), f"`{id_col}` {own.schema[id_col].dataType.simpleString()}, `{text_col}` string, score double")
@@ -208,7 +209,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_c
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     scored = score_quality(docs, labels)
     return scored.select("doc_id", (fold() == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

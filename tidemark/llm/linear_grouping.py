@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, local_table, ranked, shuffle_partitions, slices
+from tidemark.llm.common import Scratch, local_table, ranked, shuffle_partitions, slices, table
 from tidemark.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -279,5 +279,5 @@ def pack(docs: DataFrame, scratch: Scratch, tokenizer: str = "byte_bpe_50k.json"
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return pack(docs, Scratch(spark, "packing"), with_ids=False)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import WORD, Scratch, local_table
+from tidemark.llm.common import WORD, Scratch, local_table, numbered, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times its source's size that a target may be, and its own size that a document may give
@@ -115,14 +115,16 @@ def mixed_documents(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...]
     """docs' rows as often as the mix has them, by a filter on each row's own hash; see mix for the rules."""
     sized = scratch.save(_sized(docs, id_col, text_col, source_col), "sized")
     plan = _plan(docs.sparkSession, sized, weights, most).select("_source", "_passes", "_cut")
-    times = F.col("_passes") + (hash48(F.col(id_col).cast("long")) < F.col("_cut")).cast("long")
-    placed = docs.join(plan, docs[source_col].cast("string").eqNullSafe(F.col("_source"))).withColumn("_times", times.cast("int")).where("_times > 0")
-    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    own, names, back = numbered(docs)
+    source, doc_id = (names[docs.columns.index(c)] for c in (source_col, id_col))
+    times = F.col("_passes") + (hash48(F.col(doc_id).cast("long")) < F.col("_cut")).cast("long")
+    placed = own.join(plan, own[source].cast("string").eqNullSafe(F.col("_source"))).withColumn("_times", times.cast("int")).where("_times > 0")
+    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*back)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix over all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     return mix(docs, Scratch(spark, "mixing")).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, slices
+from tidemark.llm.common import Scratch, numbered, slices, table
 from tidemark.llm.tails import chi2_tail, normal_tail
 
 KINDS = ("assign", "access", "hex", "random")
@@ -210,15 +210,16 @@ def _redact(text_col: str):
 
 def redact(docs: DataFrame, scratch: Scratch, text_col: str = "text") -> DataFrame:
     """docs with every secret replaced by its kind in brackets; n_chars, if it is there, follows the new text."""
-    found = find_secrets(docs, scratch, text_col)
-    kept = [f for f in found.schema.fields if f.name not in ("secret_base", "secret_spans")]
-    out = found.mapInArrow(_redact(text_col), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept))
-    if "n_chars" in out.columns:
-        out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    own, names, back = numbered(docs)
+    text = names[docs.columns.index(text_col)]
+    found = find_secrets(own, scratch, text)
+    out = found.mapInArrow(_redact(text), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields))
+    if "n_chars" in docs.columns:
+        out = out.withColumn(names[docs.columns.index("n_chars")], F.length(text).cast(docs.schema["n_chars"].dataType))
+    return out.select(*back)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return digest(find_secrets(docs, Scratch(spark, "secrets")))

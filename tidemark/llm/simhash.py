@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import golay
-from tidemark.llm.common import Scratch, components, slices
+from tidemark.llm.common import Scratch, components, numbered, slices, table
 
 SEED = 42
 BITS = 3  # fingerprints link at so many differing bits or fewer
@@ -125,17 +125,47 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     its whole component has none. Repeated rows stay. Further columns are not read.
     """
     marked = scratch.save(fingerprints(docs, id_col, text_col), "fingerprints")
+    out = marked.join(_of_fingerprints(marked, scratch), "fp")
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _of_fingerprints(marked: DataFrame, scratch: Scratch) -> DataFrame:
+    """fp, component (one of its fingerprints) and component_id, for every fingerprint of marked (fp, doc_id)."""
     nodes = scratch.save(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     edges = scratch.save(links(nodes), "links")
     joined = components(edges, scratch)
     grouped = nodes.join(joined, nodes["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_fp = grouped.join(named, "component").select("fp", "component_id")
-    out = marked.join(of_fp, "fp")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return grouped.join(named, "component").select("fp", "component", "component_id")
+
+
+def _marked(fields: list[str], text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            bits = np.array([fingerprint(t) for t in batch.column(text).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits.view(np.int64))], names=[*fields, "fp"])
+
+    return run
+
+
+def without_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One whole row of docs for each near-duplicate component, with all its columns.
+
+    It is the row with the smallest doc_id (null last), then the smallest fingerprint and hash of
+    the text; of rows equal in all of these one stays. Rows are told apart by themselves, so
+    different texts under one doc_id, or without one, are documents like others.
+    """
+    own, names, back = numbered(docs)
+    text, doc_id = (names[docs.columns.index(c)] for c in (text_col, id_col))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
+    marked = scratch.save(own.mapInArrow(_marked(names, text), f"{fields}, fp long").withColumn("uid", F.monotonically_increasing_id()), "marked")
+    slim = marked.select("fp", "uid", F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "hash", "uid")).alias("first")
+    stays = slim.join(_of_fingerprints(slim, scratch), "fp").groupBy("component").agg(first).select("first.uid")
+    return marked.join(stays, "uid", "left_semi").select(*back)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_duplicates(docs, Scratch(spark, "simhash"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text_stats as ts
-from tidemark.llm.common import Scratch, slices
+from tidemark.llm.common import Scratch, numbered, slices, table
 from tidemark.llm.line_crf import fold, labelled_sample
 
 SAMPLE = 12_000  # labelled documents that lexicon and trees are fitted on, at most
@@ -167,14 +167,17 @@ def _ddl(df: DataFrame) -> str:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with `score` (0 to 1) for every row; columns of docs stay, but for one named score.
+    """docs with `score` (0 to 1) for every row; columns of docs stay, whatever their names, but for one named score.
 
     Lexicon, trees and calibration are fitted on at most `sample` labelled documents outside the
     held-out fold (three tenths of them calibrate). Null and empty texts score as texts without
     words. Labels that are null or not 0 or 1 are not used; of repeated labels the larger counts. If
-    one class has no example, every score is the sample's share of toxic documents (0 without any).
+    a class is missing in one of the two parts, the whole sample serves for both; if it has no
+    example at all, nothing can be told apart and every score is 0.
     """
-    own = docs.drop("score", "_features")
+    kept = docs.drop("score")
+    own, names, back = numbered(kept)
+    text = names[kept.columns.index(text_col)]
     rows = scratch.save(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, sample, id_col, text_col).select("doc_id", "text", "label"), "sample")
     lexicon = mine_lexicon(rows)
     run = _features(lexicon.words, lexicon.beginnings, "text")
@@ -182,22 +185,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample:
     fitted = scratch.save(fitted.coalesce(4), "fitted")
     scratch.drop("sample")
     calibrates = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(10)) < 3
+    learns = ~calibrates
     classes = {(r["c"], int(r["label"])): r["n"] for r in fitted.groupBy(calibrates.alias("c"), "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    featured = own.mapInArrow(_features(lexicon.words, lexicon.beginnings, text_col), f"{_ddl(own)}, _features array<double>")
-    if not all(classes.get((c, y)) for c in (True, False) for y in (0, 1)):
-        share = sum(n for (_, y), n in classes.items() if y) / max(1, sum(classes.values()))
-        return own.withColumn("score", F.lit(float(share)))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=64, seed=7, cacheNodeIds=False).fit(fitted.where(~calibrates))
+    featured = own.mapInArrow(_features(lexicon.words, lexicon.beginnings, text), f"{_ddl(own)}, _features array<double>")
+    if len({y for _, y in classes}) < 2:
+        return kept.withColumn("score", F.lit(0.0))
+    if len(classes) < 4:
+        learns = calibrates = F.lit(True)
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=64, seed=7, cacheNodeIds=False).fit(fitted.where(learns))
     probability = vector_to_array("probability")[1]
     raw = trees.transform(fitted.where(calibrates)).select("label", probability.alias("raw"))
     curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw)
     scored = trees.transform(featured.withColumn("features", array_to_vector("_features"))).withColumn("raw", probability)
-    return curve.transform(scored).select(*own.columns, F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score"))
+    return curve.transform(scored).select(*back, F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score"))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     scored = score_toxicity(docs, labels, Scratch(spark, "toxicity"))
     return scored.select("doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

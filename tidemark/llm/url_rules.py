@@ -9,11 +9,12 @@ The path prefixes of the hosts still on the stack decide, the longest rule first
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import shuffle_partitions
+from tidemark.llm.common import local_table, shuffle_partitions
 
 #: (verdict, host, path prefix without its first slash)
 RULES = (("allow", "org", ""), ("block", "example.org", "es/"), ("block", "example.org", "en/1"), ("allow", "com", "fr/"), ("block", "com", "de/"))
@@ -58,7 +59,8 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT, url_col: str =
         return dealt.select(*named, found["rule"].alias("rule"), found["verdict"].alias("verdict"))
     parts = 2 * shuffle_partitions(spark)
     dealt = dealt.withColumns({"_part": F.pmod(F.xxhash64(*keep, "host", "path"), F.lit(parts)).cast("int"), "_key": host_key(F.col("host")), "_depth": F.lit(0), "_paths": F.lit(None).cast("array<struct<path:string,rule:string,verdict:string>>")})
-    opened = spark.createDataFrame(nested, "host string, _depth int, _paths array<struct<path:string,rule:string,verdict:string>>")
+    path = pa.struct([(c, pa.string()) for c in ("path", "rule", "verdict")])
+    opened = local_table(spark, [(h, d, [dict(zip(("path", "rule", "verdict"), x, strict=True)) for x in r]) for h, d, r in nested], host=pa.string(), _depth=pa.int32(), _paths=pa.list_(path))
     opened = opened.withColumns({"_key": host_key(F.col("host")), "_part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))})
     rows = dealt.unionByName(opened, allowMissingColumns=True)
     sweep = W.partitionBy("_part").orderBy("_key", F.desc("_depth")).rowsBetween(W.unboundedPreceding, W.currentRow)
