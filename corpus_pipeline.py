@@ -5,27 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, numbered
 from tidemark.llm.linear_grouping import pack
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.secret_scan import redact
-from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.simhash import without_near_duplicates
 from tidemark.llm.toxicity import THRESHOLD, score_toxicity
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated score is below the threshold, with all their columns."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    scored = score_toxicity(docs, labels, Scratch(spark, "pipeline-toxicity"))
-    return scored.where(F.col("score") < THRESHOLD).select(*docs.columns)
+    own, names, back = numbered(docs)
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    scored = score_toxicity(own, labels, Scratch(spark, "pipeline-toxicity"), id_col=doc_id, text_col=text)
+    return scored.where(F.col("score") < THRESHOLD).select(*back)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component the document with the smallest doc_id; rows without a doc_id stay."""
-    found = near_duplicates(docs, Scratch(spark, "pipeline-simhash"))
-    stays = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One document of each near-duplicate component, the one with the smallest doc_id."""
+    return without_near_duplicates(docs, Scratch(spark, "pipeline-simhash"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing of all that was kept; see linear_grouping.pack for the columns."""
-    return pack(docs, Scratch(spark, "pipeline-packing"), with_ids=False)
+    """Best-fit packing of all that was kept, with the pieces' token ids; see linear_grouping.pack for the columns."""
+    return pack(docs, Scratch(spark, "pipeline-packing"))
 
 
 STAGES = [
