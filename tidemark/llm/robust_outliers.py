@@ -1,11 +1,19 @@
 """Quality rules by robust multivariate outliers: minimum covariance determinant for each language and source.
 
-Every document is a vector of transformed statistics. In each group, the location and scatter start
-from medians and absolute deviations; each step then takes the share COVER of the group's documents
-that lie nearest in Mahalanobis distance and estimates both anew, which never raises the
-determinant. A statistic that has one value in the share COVER of a group has no scatter there and
-takes no part in these steps. A last, reweighted estimate over all statistics rests on the documents
-within the share INLIERS of a normal group, and the distances of just these set the group's cutoff.
+Every document is a vector of transformed statistics. In each group, location and scatter start from
+medians and absolute deviations, and once more from the signs about the medians. Each concentration
+step takes the share COVER of the group's documents that lie nearest in Mahalanobis distance and
+estimates both anew. A step counts if it lowers the group's determinant; steps go on until no group's
+falls any more, and the start with the lesser determinant is taken. The nearest are cut at a
+percentile whose rank is off by at most 1/ACCURACY of the group, so that two steps' subsets may
+differ in size by as much; small groups are cut exactly.
+
+A statistic that has one value in the share COVER of a group has no scatter there and takes no part
+in these steps (where none has any, all do). A last, reweighted estimate over all statistics rests on the documents within the
+share INLIERS of a normal group, and the distances of just these set the group's cutoff. In it, a
+statistic that varies less than counting itself does (the root of a count has variance 1/4) takes
+that variance, found from the same documents' sizes; others are left as they are.
+
 Steps are aggregations over all documents of all groups at once, so a large group is summed in parts
 and nothing but a few hundred numbers for each group moves.
 """
@@ -13,25 +21,30 @@ and nothing but a few hundred numbers for each group moves.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text_stats as ts
-from tidemark.llm.common import Scratch, slices
+from tidemark.llm.common import Scratch, slices, table
 from tidemark.llm.tails import chi2_quantile, chi2_tail
 
 NAMES = ("size", "word_length", "symbols", "dup_lines", "repeats", "punctuation", "capitals")
 P = len(NAMES)
 COVER = 0.75
-STEPS = 4
-LEAST = 50  # documents of a group that estimates rest on; smaller ones are pooled
+MOST_STEPS = 20
+FALLS = 1e-3  # by which a step's log determinant has to be less
+ACCURACY = 2000  # of percentiles
+LEAST = 2 * P + 1  # documents without which a group can have no estimate; smaller ones are pooled
 REJECT = 1e-6  # share of a normal group that lies beyond the cutoff
 INLIERS = 0.99  # share of a normal group that the reweighted estimate rests on
-FLOOR = 0.01  # deviation added to every statistic's scatter, so that one that never varies can be inverted
+#: For each statistic how its counting varies: over words, characters, lines or letters.
+_NOISE = ("inv_words", "inv_words", "inv_chars / 4", "inv_lines / 4", "inv_words / 4", "inv_chars / 4", "inv_letters / 4")
+_INVERSE = ("inv_words", "inv_chars", "inv_lines", "inv_letters")
 
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -84,14 +97,24 @@ def _statistics(text_col: str):
             words, chars, lines = np.maximum(base[:, 0], 1), np.maximum(base[:, 1], 1), np.maximum(base[:, 5], 1)
             letters = np.maximum(count(ts.UPPER | ts.LOWER), 1)
             x = (np.log1p(base[:, 0]), np.log(chars / words), np.sqrt(base[:, 2] / chars), np.sqrt(base[:, 3] / lines), np.sqrt(base[:, 4] / words), np.sqrt(count(ts.PUNCT) / chars), np.sqrt(count(ts.UPPER) / letters))
+            x = (*x, 1 / words, 1 / chars, 1 / lines, 1 / letters)
             columns = [batch.column(n) for n in batch.schema.names if n != text_col]
             names = [n for n in batch.schema.names if n != text_col]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(base[:, k]) for k in range(5)), *(pa.array(v) for v in x)], names=[*names, *(c.split()[0] for c in _BASE.split(", ")), *NAMES])
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(base[:, k]) for k in range(5)), *(pa.array(v) for v in x)], names=[*names, *(c.split()[0] for c in _BASE.split(", ")), *NAMES, *_INVERSE])
 
     return run
 
 
-_MODEL = "g_lang string, g_source string, live int, " + ", ".join([*(f"m{i} double" for i in range(P)), *(f"p{i}_{j} double" for i in range(P) for j in range(i, P))])
+_GROUP = ["g_lang", "g_source"]
+_MODEL = "g_lang string, g_source string, start int, live int, logdet double, was double, " + ", ".join([*(f"m{i} double" for i in range(P)), *(f"p{i}_{j} double" for i in range(P) for j in range(i, P))])
+
+
+def _inverse(scatter: np.ndarray) -> tuple[np.ndarray, float]:
+    """Inverse and log determinant; directions without scatter, in units of the statistics' own deviations, are lifted to a billionth."""
+    unit = np.sqrt(np.maximum(np.diag(scatter), 1e-300))
+    values, vectors = np.linalg.eigh(scatter / np.outer(unit, unit))
+    values = np.maximum(values, 1e-9)
+    return vectors / values @ vectors.T / np.outer(unit, unit), float(np.log(values).sum() + 2 * np.log(unit).sum())
 
 
 def _model(rows: pd.DataFrame, reweighted: bool) -> pd.DataFrame:
@@ -101,13 +124,17 @@ def _model(rows: pd.DataFrame, reweighted: bool) -> pd.DataFrame:
     for r in rows.itertuples(index=False):
         n = max(1, r.n)
         mean = np.array([getattr(r, f"s{i}") for i in range(P)]) / n
-        scatter, inverse = np.zeros((P, P)), np.zeros((P, P))
+        scatter, inverse, logdet = np.zeros((P, P)), np.zeros((P, P)), 0.0
         for i in range(P):
             for j in range(i, P):
                 scatter[i, j] = scatter[j, i] = getattr(r, f"s{i}_{j}") / n - mean[i] * mean[j]
         own = [i for i in range(P) if reweighted or not r.live or r.live >> i & 1]
-        inverse[np.ix_(own, own)] = np.linalg.inv(scatter[np.ix_(own, own)] / share + FLOOR**2 * np.eye(len(own)))
-        out.append([r.g_lang, r.g_source, r.live, *mean, *(inverse[i, j] for i in range(P) for j in range(i, P))])
+        if reweighted or not r.live:
+            noise = np.array([getattr(r, f"e{i}") for i in range(P)]) / n
+            scatter += np.diag(np.maximum(0, noise - np.diag(scatter)))
+        if own:
+            inverse[np.ix_(own, own)], logdet = _inverse(scatter[np.ix_(own, own)] / share)
+        out.append([r.g_lang, r.g_source, r.start, r.live, logdet, r.logdet, *mean, *(inverse[i, j] for i in range(P) for j in range(i, P))])
     return pd.DataFrame(out, columns=[c.split()[0] for c in _MODEL.split(", ")])
 
 
@@ -116,28 +143,93 @@ def _distance() -> str:
     return " + ".join(f"{1 if i == j else 2} * p{i}_{j} * {centred[i]} * {centred[j]}" for i in range(P) for j in range(i, P))
 
 
+def _products(columns: list[Column], name: str) -> list[Column]:
+    return [F.sum(columns[i] * columns[j]).alias(f"{name}{i}_{j}") for i in range(P) for j in range(i, P)]
+
+
 def _summed(near: DataFrame, reweighted: bool = False) -> DataFrame:
     """The model of the documents near."""
-    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)] + [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}_{j}") for i in range(P) for j in range(i, P)]
-    summed = near.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("n"), F.max("live").alias("live"), *sums)
+    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)] + _products([F.col(c) for c in NAMES], "s")
+    noise = [F.sum(F.expr(e)).alias(f"e{i}") for i, e in enumerate(_NOISE)]
+    summed = near.groupBy(*_GROUP, "start", "live", "logdet").agg(F.count(F.lit(1)).alias("n"), *sums, *noise)
     return summed.mapInPandas(lambda parts: (_model(x, reweighted) for x in parts if len(x)), _MODEL)
 
 
-def _on_group(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:
-    return a.join(b, ["g_lang", "g_source"], how)
+class _Estimates:
+    """Location and scatter of every group of `used` (its keys and statistics)."""
+
+    def __init__(self, used: DataFrame, groups: int, scratch: Scratch):
+        self.used, self.scratch = used, scratch
+        self.files = -(-groups // 10_000) or 1
+
+    def small(self, df: DataFrame, name: str) -> DataFrame:
+        """A table with a row or two for each group, written: in as few files as its groups need, so that Spark sees how small it is and needn't deal the documents by group."""
+        return self.scratch.save(df.repartition(self.files), name)
+
+    def on_group(self, table: DataFrame, *keys: str) -> DataFrame:
+        return self.used.join(table, [*_GROUP, *keys])
+
+    def quantile(self, df: DataFrame, value: str, share: float, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
+        return self.small(df.groupBy(*_GROUP, *keys).agg(F.percentile_approx(value, share, ACCURACY).alias(name)), name)
+
+    def starts(self) -> DataFrame:
+        """Two models for each group: deviations alone, and the signs' scatter about the medians in units of these deviations."""
+        medians = self.small(self.used.groupBy(*_GROUP).agg(*(F.percentile_approx(c, 0.5, ACCURACY).alias(f"m{i}") for i, c in enumerate(NAMES))), "medians")
+        apart = self.on_group(medians).groupBy(*_GROUP).agg(*(F.percentile_approx(F.abs(F.col(c) - F.col(f"m{i}")), COVER, ACCURACY).alias(f"d{i}") for i, c in enumerate(NAMES)))
+        live = sum((F.when(F.col(f"d{i}") > 0, 1 << i).otherwise(0) for i in range(P)), F.lit(0)).cast("int")
+        centre = self.small(medians.join(apart, _GROUP).withColumn("live", live), "centre")
+        z = [F.when(F.col(f"d{i}") > 0, (F.col(c) - F.col(f"m{i}")) / F.col(f"d{i}")).otherwise(0.0) for i, c in enumerate(NAMES)]
+        length = F.sqrt(sum((F.pow(F.col(f"z{i}"), 2) for i in range(P)), F.lit(0.0)))
+        unit = self.on_group(centre).select(*_GROUP, *(x.alias(f"z{i}") for i, x in enumerate(z))).withColumn("length", length).where("length > 0")
+        signs = unit.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n"), *_products([F.col(f"z{i}") / F.col("length") for i in range(P)], "z"))
+        return self.small(centre.join(signs, _GROUP, "left").mapInPandas(_started, _MODEL), "start").drop("was")
+
+    def settled(self) -> DataFrame:
+        """The model of least determinant of each group."""
+        model, done = self.starts(), []
+        for step in range(1, MOST_STEPS + 1):
+            far = self.on_group(model).withColumn("d2", F.expr(_distance())).select(*_GROUP, *NAMES, *_INVERSE, "start", "live", "logdet", "d2")
+            reach = self.quantile(far, "d2", COVER, f"reach_{step}", ("start",)).withColumnRenamed(f"reach_{step}", "reach")
+            new = self.small(_summed(far.join(reach, [*_GROUP, "start"]).where("d2 <= reach")), f"model-{step}")
+            falls = F.col("was").isNull() | (F.col("logdet") < F.col("was") - FALLS)
+            done.append(new.where(~falls).drop("was"))
+            model = new.where(falls).drop("was")
+            if not model.limit(1).count():
+                break
+        done = reduce(DataFrame.unionByName, [*done, model])
+        best = done.groupBy(*_GROUP).agg(F.min_by(F.struct(*done.columns[2:]), F.struct("logdet", "start")).alias("best"))
+        return self.small(best.select(*_GROUP, "best.*"), "settled")
+
+
+def _started(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    normal = float(np.sqrt(chi2_quantile(COVER, 1)))  # deviation within which the share COVER of a normal statistic lies
+    for rows in parts:
+        out = []
+        for r in rows.itertuples(index=False):
+            own = [i for i in range(P) if not r.live or r.live >> i & 1]
+            unit = np.array([getattr(r, f"d{i}") if r.live else 1.0 for i in own]) / normal
+            signs = np.array([[getattr(r, f"z{min(i, j)}_{max(i, j)}") for j in own] for i in own], dtype=float).reshape(len(own), len(own))
+            for start, scatter in enumerate((np.eye(len(own)), signs / max(1, r.n if r.n == r.n and r.n else 1) * max(1, len(own)))):
+                if not np.isfinite(scatter).all():
+                    continue
+                inverse = np.zeros((P, P))
+                if own:
+                    inverse[np.ix_(own, own)] = _inverse(scatter * np.outer(unit, unit))[0]
+                out.append([r.g_lang, r.g_source, start, r.live, None, None, *(getattr(r, f"m{i}") for i in range(P)), *(inverse[i, j] for i in range(P) for j in range(i, P))])
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in _MODEL.split(", ")])
 
 
 def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept for every row.
 
     Only documents that pass the base rules are estimated from or judged by distance; all others are
-    not kept. Groups of fewer than LEAST such documents are pooled within their language, and pools
-    as small over all languages; a pool that is still smaller than twice the statistics judges
-    nothing (distance null). Null languages and sources are values like others. Null texts have no
-    words. Repeated rows count as often as they come; further columns are not read.
+    not kept. Groups of fewer than LEAST such documents, which can have no estimate, are pooled
+    within their language, and pools as small over all languages; a pool that is still smaller
+    judges nothing (distance null). Null languages and sources are values like others. Null texts
+    have no words. Repeated rows count as often as they come; further columns are not read.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.concat(F.lit("="), F.col(lang_col).cast("string")), F.lit("")).alias("lang"), F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("source"))
-    stats = source.mapInArrow(_statistics("text"), f"doc_id long, lang string, source string, {_BASE}, " + ", ".join(f"{c} double" for c in NAMES))
+    stats = source.mapInArrow(_statistics("text"), f"doc_id long, lang string, source string, {_BASE}, " + ", ".join(f"{c} double" for c in (*NAMES, *_INVERSE)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     stats = scratch.save(stats.withColumn("base_failed", failed), "statistics")
 
@@ -145,45 +237,32 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     groups = counts.withColumn("g_source", F.when(F.col("n") >= LEAST, F.col("source")).otherwise("*"))
     pools = groups.groupBy("lang", "g_source").agg(F.sum("n").alias("pool"))
     groups = groups.join(pools, ["lang", "g_source"]).withColumn("g_lang", F.when(F.col("pool") >= LEAST, F.col("lang")).otherwise("*"))
-    groups = scratch.save(groups.select("lang", "source", "g_lang", "g_source"), "groups")
-    grouped = scratch.save(stats.join(groups, ["lang", "source"], "left").drop("lang", "source"), "grouped")
-    used = grouped.where("not base_failed").select("g_lang", "g_source", *NAMES)
-
-    # Every table with a row for each group is written before it is joined, so that Spark knows its size and needn't deal the documents by group.
-    medians = used.groupBy("g_lang", "g_source").agg(*(F.percentile_approx(c, 0.5, 2000).alias(f"m{i}") for i, c in enumerate(NAMES)))
-    medians = scratch.save(medians, "medians")
-    apart = _on_group(used, medians).groupBy("g_lang", "g_source").agg(*(F.percentile_approx(F.abs(F.col(c) - F.col(f"m{i}")), COVER, 2000).alias(f"d{i}") for i, c in enumerate(NAMES)))
-    live = sum((F.when(F.col(f"d{i}") > 0, 1 << i).otherwise(0) for i in range(P)), F.lit(0)).cast("int")
-    start = _on_group(medians, apart).withColumn("live", live)
-    normal = float(np.sqrt(chi2_quantile(COVER, 1)))  # deviation within which the share COVER of a normal statistic lies
-    own = [F.when((F.col("live") == 0) | (F.col(f"d{i}") > 0), 1 / (F.pow(F.col(f"d{i}") / normal, 2) + FLOOR**2)).otherwise(0.0) for i in range(P)]
-    diagonal = [(F.lit(0.0) if i != j else own[i]).alias(f"p{i}_{j}") for i in range(P) for j in range(i, P)]
-    model = scratch.save(start.select("g_lang", "g_source", "live", *(f"m{i}" for i in range(P)), *diagonal), "model-0")
-    for step in range(1, STEPS + 1):
-        far = _on_group(used, model).withColumn("d2", F.expr(_distance())).select("g_lang", "g_source", *NAMES, "live", "d2")
-        reach = far.groupBy("g_lang", "g_source").agg(F.percentile_approx("d2", COVER, 2000).alias("reach"))
-        near = _on_group(far, scratch.save(reach, f"reach-{step}")).where("d2 <= reach")
-        model = scratch.save(_summed(near), f"model-{step}")
+    groups = scratch.save(groups.select("lang", "source", "g_lang", "g_source", "n"), "groups")
+    sizes = groups.groupBy(*_GROUP).agg(F.sum("n").alias("size_of_group"))
+    grouped = scratch.save(stats.join(groups.drop("n").repartition(1 + groups.count() // 10_000), ["lang", "source"], "left").drop("lang", "source"), "grouped")
+    used = grouped.where("not base_failed").select(*_GROUP, *NAMES, *_INVERSE)
+    estimates = _Estimates(used, sizes.count(), scratch)
+    model = estimates.settled()
 
     # The median distance gives the scale, as the steps' scatter is that of their nearest documents alone.
-    far = _on_group(used, model).withColumn("d2", F.expr(_distance())).select("g_lang", "g_source", *NAMES, "live", "d2")
-    middle = scratch.save(far.groupBy("g_lang", "g_source").agg(F.percentile_approx("d2", 0.5, 2000).alias("middle")), "middle")
+    far = estimates.on_group(model).withColumn("d2", F.expr(_distance())).select(*_GROUP, *NAMES, *_INVERSE, "start", "live", "logdet", "d2")
+    middle = estimates.quantile(far, "d2", 0.5, "middle")
     wide = [chi2_quantile(INLIERS, p) / chi2_quantile(0.5, p) for p in [P, *range(1, P + 1)]]
     within = F.element_at(F.array(*map(F.lit, wide)), F.bit_count("live") + 1)
-    inliers = _on_group(far, middle).where(F.col("d2") <= F.col("middle") * within)
-    model = scratch.save(_summed(inliers, reweighted=True), "reweighted")
-    inlying = _on_group(inliers.drop("live"), model).withColumn("d", F.sqrt(F.greatest(F.lit(0.0), F.expr(_distance()))))
+    inliers = far.join(middle, _GROUP).where(F.col("d2") <= F.col("middle") * within)
+    model = estimates.small(_summed(inliers, reweighted=True).drop("start", "live", "logdet", "was"), "reweighted")
+    inlying = inliers.select(*_GROUP, *NAMES).join(model, _GROUP).withColumn("d", F.sqrt(F.greatest(F.lit(0.0), F.expr(_distance()))))
     cutoff, tail = (float(np.sqrt(chi2_quantile(x, P))) for x in (1 - REJECT, INLIERS))
-    edge = F.greatest(F.lit(1.0), F.percentile_approx("d", INLIERS, 2000) / tail)
-    cutoffs = inlying.groupBy("g_lang", "g_source").agg((cutoff * edge).alias("cutoff"))
-    sizes = used.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("size_of_group"))
-    judged = _on_group(grouped, scratch.save(_on_group(_on_group(model, sizes), cutoffs), "final"))
-    distance = F.when(~F.col("base_failed") & (F.col("size_of_group") >= 2 * P), F.sqrt(F.greatest(F.lit(0.0), F.expr(_distance()))))
+    edges = estimates.quantile(inlying, "d", INLIERS, "edge")
+    cutoffs = edges.select(*_GROUP, (cutoff * F.greatest(F.lit(1.0), F.col("edge") / tail)).alias("cutoff"))
+    judged = grouped.join(estimates.small(model.join(sizes, _GROUP).join(cutoffs, _GROUP), "final"), _GROUP, "left")
+    scratch.keep("grouped", "final")
+    distance = F.when(~F.col("base_failed") & (F.col("size_of_group") >= LEAST), F.sqrt(F.greatest(F.lit(0.0), F.expr(_distance()))))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("cutoff"), F.lit(True))
     return judged.withColumn("distance", distance).select("doc_id", *(c.split()[0] for c in _BASE.split(", ")), "base_failed", kept.alias("kept"), "distance")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document by the base rules and by its distance."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     return judge(docs, Scratch(spark, "outliers"))
