@@ -1,5 +1,7 @@
 """Properties that no single query shows: nothing peeks, loops agree with windows, planted leaks are found, lies are refused."""
 
+import pandas as pd
+import numpy as np
 import datetime as dt
 import random
 
@@ -238,3 +240,38 @@ def test_lookups_stay_on_spark(spark):
     from tidemark.plans import lookups
 
     assert lookups.p04(spark, SF).inputFiles() and lookups.q05(spark, SF).inputFiles()
+
+
+def test_leak_screen_takes_names_first_and_then_measures(spark):
+    rng = np.random.default_rng(3)
+    n = 3000
+    price = 100 * np.exp(np.cumsum(rng.normal(0, 1e-3, n)))
+    made = {"i": range(n), "close": price, "score": np.append(price[1:] / price[:-1] - 1, 0) + rng.normal(0, 2e-4, n), "momentum": np.append(0, price[1:] / price[:-1] - 1), "event_no": np.where(rng.random(n) < 0.5, -1, np.arange(n) // 9), "minute_of_day": np.arange(n) % 375, "fwd_ret": rng.normal(0, 1, n), "state_label": ["x"] * n, "seen_on": ["2024-01-02"] * n, "noise": rng.normal(0, 1, n)}
+    df = spark.createDataFrame(pd.DataFrame(made)).withColumn("k", F.lit(1))
+    got = {r.column: (r.verdict, r.reason) for r in quality.leak_screen(df, ["k"], "close", list(made)[2:], ["i"], ("fwd_ret",)).collect()}
+    assert got["score"] == ("banned", "knows the future") and got["event_no"] == ("banned", "a running id") and got["seen_on"] == ("banned", "a date as text")
+    assert got["fwd_ret"] == ("ok", "allowed") and got["state_label"][0] == "suspect"
+    assert {got[c][0] for c in ("momentum", "minute_of_day", "noise")} == {"ok"}
+
+
+def test_bars_nest_across_midnight_or_are_taken_alone(spark):
+    from tidemark.operators import clocks
+
+    rows = [(1, dt.datetime(2024, 1, 1, 23, 50) + dt.timedelta(minutes=m), float((m // 5) * 1.0), None if m % 2 else 1.0) for m in range(40)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, five double, still double")
+    for periods in ((1, 5, 15), (1, 7)):
+        got = {(r.column, r.period): (r.n_bars, r.constant) for r in clocks.bar_constancy(df, ["k"], ["five", "still"], periods).collect()}
+        for p in periods:
+            bars_ = {}
+            for _, t, five, _ in rows:
+                m = t.hour * 60 + t.minute
+                bars_.setdefault(t - dt.timedelta(minutes=(m - 555) % p), set()).add(five)
+            assert got["five", p] == (len(bars_), all(len(x) == 1 for x in bars_.values())) and got["still", p][1]
+
+
+def test_changes_between_known_values_only(spark):
+    from tidemark.operators import clocks
+
+    rows = [(1, i, v) for i, v in enumerate([None, 1.0, 1.0, None, 2.0, 3.0, 3.0])]
+    got = clocks.value_changes(spark.createDataFrame(rows, "k int, ts int, v double"), ["k"], ["v"]).first()
+    assert (got.n_changes, got.n_rows) == (1, 7)

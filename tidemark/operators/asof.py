@@ -94,3 +94,11 @@ def drop_served_windows(spine: DataFrame, bad: DataFrame, keys: list[str], bar:
     rows = spine.withColumn("_bucket", _bucket(F.col(ts), width))
     same = reduce(lambda a, b: a & b, [rows[k] == windows[k] for k in [*keys, "_bucket"]])
     return rows.join(windows, same & (rows[ts] >= F.col("_close")) & (rows[ts] < F.col("_end")), "left_anti").drop("_bucket")
+
+
+def attach_labels(bars: DataFrame, keys: list[str], labels: DataFrame | None = None, predictions: DataFrame | None = None) -> DataFrame:
+    """bars with label and predicted (strings), from tables of keys and that column; null where there is none, or no table. Keys are unique in both tables."""
+    out = bars
+    for name, given in (("label", labels), ("predicted", predictions)):
+        out = out.withColumn(name, F.lit(None).cast("string")) if given is None else out.join(given.select(*keys, F.col(name).cast("string").alias(name)), keys, "left")
+    return out

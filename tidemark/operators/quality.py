@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -109,3 +111,51 @@ def running_id_share(df: DataFrame, keys: list[str], columns: list[str], order:
     over = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     marked = df.select(*((F.col(c) == F.max(c).over(over)).cast("double").alias(c) for c in columns))
     return unpivoted(marked, [], columns).groupBy("column").agg(F.round(F.avg("x"), 6).alias("share"))
+
+
+def running_ids(df: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
+    """(column, n_distinct, whole, share, growth): what tells a running id from a measure.
+
+    share: rows at the series' running maximum or least value; growth: how much of the running
+    maximum's rise falls into the later half of the series.
+    """
+    series = W.partitionBy(*keys, "column")
+    over = series.orderBy(*order)
+    long = unpivoted(df, [*keys, *(o for o in order if o not in keys)], columns).where("x is not null")
+    ranked = long.withColumns({"_top": F.max("x").over(over.rowsBetween(W.unboundedPreceding, 0)), "_least": F.min("x").over(series), "_at": F.row_number().over(over), "_n": F.count(F.lit(1)).over(series)})
+    early = F.max(F.when(F.col("_at") <= F.floor(F.col("_n") / 2) + 1, F.col("_top")))
+    each = ranked.groupBy(*keys, "column").agg(F.min("_top").alias("_first"), early.alias("_mid"), F.max("_top").alias("_last"))
+    growth = each.groupBy("column").agg((F.sum(F.col("_last") - F.col("_mid")) / F.greatest(F.sum(F.col("_last") - F.col("_first")), F.lit(1.0))).alias("growth"))
+    facts = ranked.groupBy("column").agg(F.count_distinct("x").alias("n_distinct"), F.bool_and(F.col("x") == F.round("x")).alias("whole"), F.avg(((F.col("x") == F.col("_top")) | (F.col("x") == F.col("_least"))).cast("int")).alias("share"))
+    return facts.join(growth, "column")
+
+
+def leak_screen(df: DataFrame, keys: list[str], price: str, columns: list[str], order: list[str], allow: tuple[str, ...] = (), horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
+    """(column, verdict, reason) for each column: what its name and type say comes first, then what was measured.
+
+    In order: allowed; a time; calendar; dates written as text; named after the future; named after
+    a label (suspect, unless the measures ban it); follows time; a running id; knows the future.
+    """
+    spark, kinds = df.sparkSession, dict(df.dtypes)
+    named = {c: name_verdict(c, kinds[c], allow) for c in columns}
+    texts = [c for c in columns if kinds[c] == "string" and named[c][1] not in ("allowed", "calendar")]
+    measured = [c for c in columns if named[c][0] != "banned" and named[c][1] != "allowed" and kinds[c] not in ("string", "boolean")]
+    said = spark.createDataFrame([(k, c, *named[c]) for k, c in enumerate(columns)], "at int, column string, said string, why string")
+    found = [spark.createDataFrame([], "column string, verdict string, reason string")]
+    if texts:
+        shares = df.select(*(F.avg(F.col(c).rlike(DATE_TEXT).cast("int")).alias(f"_t{k}") for k, c in enumerate(texts)))
+        pairs = ", ".join(f"'{c}', _t{k}" for k, c in enumerate(texts))
+        found.append(shares.selectExpr(f"stack({len(texts)}, {pairs}) as (column, share)").where("share > 0.9").selectExpr("column", "'banned' as verdict", "'a date as text' as reason"))
+    if measured:
+        verdicts = leak_verdict(leak_statistics(df, keys, price, measured, order, horizons), horizons)
+        whole = [c for c in measured if kinds[c].split("(")[0] not in ("float", "decimal")]
+        ids = running_ids(df, keys, whole, order).where("n_distinct >= 100 and whole and share > 0.95 and growth > 0.2") if whole else verdicts.select("column").where("false")
+        is_id = ids.select("column", F.lit(True).alias("is_id"))
+        first = F.col("is_id") & (F.col("reason") != "follows time")
+        judged = verdicts.join(is_id, "column", "left").select("column", F.when(first, "banned").otherwise(F.col("verdict")).alias("verdict"), F.when(first, "a running id").otherwise(F.col("reason")).alias("reason"))
+        found.append(judged.where("verdict <> 'ok'"))
+    seen = reduce(DataFrame.unionByName, found)
+    banned = (F.col("said") != "banned") & (F.col("verdict") == "banned")
+    date = F.col("reason") == "a date as text"
+    both = said.join(seen, "column", "left").withColumn("over", F.coalesce(banned | (date & (F.col("why") != "a time")) | ((F.col("said") == "ok") & F.col("verdict").isNotNull()), F.lit(False)))
+    return both.select("column", F.when(F.col("over"), F.col("verdict")).otherwise(F.col("said")).alias("verdict"), F.when(F.col("over"), F.col("reason")).otherwise(F.col("why")).alias("reason"))

@@ -15,9 +15,9 @@ def hash_rank(id_: Column, seed: int) -> Column:
 
 
 def with_session(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """df with session: the place of its day among the days that occur, from 0. Days are few, so their table is broadcast."""
+    """df with session: the place of its day among the days that occur, from 0. """
     days = df.select(F.to_date(ts).alias("_day")).where("_day is not null").distinct().select("_day", (F.dense_rank().over(W.orderBy("_day")) - 1).alias("session"))
-    return df.withColumn("_day", F.to_date(ts)).join(F.broadcast(days), "_day", "left").drop("_day")
+    return df.withColumn("_day", F.to_date(ts)).join(days, "_day", "left").drop("_day")
 
 
 def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
@@ -142,3 +142,17 @@ def groups_sample(df: DataFrame, id_col: str, true: str, pred: str, a: str, b: s
     group = F.when((t == a) & (p == b), "mistake").when((t == a) & (p == a), "a_right").when((t == b) & (p == b), "b_right")
     over = W.partitionBy("group").orderBy(hash_rank(F.col(id_col), seed), id_col)
     return df.withColumn("group", group).where("group is not null").withColumn("_n", F.row_number().over(over)).where(F.col("_n") <= n).drop("_n")
+
+
+def from_recipe(df: DataFrame, recipe: dict) -> DataFrame:
+    """df split as a recipe says: its kind (three_way, bundle_time, candles or rows) and that kind's settings; refuses others."""
+    kind, val, test = recipe.get("kind"), recipe.get("val", 0.1), recipe.get("test", 0.2)
+    if kind == "three_way":
+        return three_way(df, val, test, recipe.get("embargo", 0))
+    if kind == "bundle_time":
+        return bundle_time(df, val, test, recipe.get("embargo", 0))
+    if kind == "candles":
+        return bundle_random(df, val, test, recipe.get("seed", 0))
+    if kind == "rows":
+        return random_rows(df, recipe["id"], test, recipe.get("seed", 0))
+    raise ValueError(f"no split is called {kind}")

@@ -27,15 +27,23 @@ def grid_report(grid: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     return grid.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_bars"), F.count("sig").alias("n_matched"), F.round(F.avg((~F.col("is_gap")).cast("int")), 6).alias("coverage"), F.min(F.when(F.col("is_gap"), F.col(ts))).alias("first_missing"))
 
 
-def bar_events(grid: DataFrame, keys: list[str], versions: DataFrame, signal: str = "sig", ts: str = "ts") -> DataFrame:
+def bar_events(grid: DataFrame, keys: list[str], versions: DataFrame, signal: str = "sig", ts: str = "ts", chunk: str | None = None) -> DataFrame:
     """The grid for each version, with what the bar's fire does: is_entry, is_exit, and the fill at the next bar's open.
 
-    A fire on a series' last bar is never filled.
+    A fire on a series' last bar is never filled. With a chunk column, series are numbered and
+    looked ahead in two levels, so that none has to fit one task.
     """
-    over = W.partitionBy(*keys).orderBy(ts)
-    fired = fires(grid, keys, [ts], signal)
-    placed = fired.withColumns({"bar": F.row_number().over(over), "fill_ts": F.lead(ts).over(over), "fill_price": F.lead("open").over(over), "last_close": F.last("close").over(over.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), "last_ts": F.max(ts).over(W.partitionBy(*keys))})
-    each = placed.crossJoin(F.broadcast(versions))  # a handful of versions
+    if chunk:
+        fired = fires(grid, keys, [ts], signal, chunk)
+        counted = running(fired.withColumn("_one", F.lit(1)), keys, chunk, [ts], {"bar": ("sum", "_one")}).withColumn("bar", F.col("bar").cast("int"))
+        ahead = running(counted.withColumn("_next", F.struct(F.col(ts).alias("ts"), F.col("open").alias("open"))), keys, chunk, [ts], {"_fill": ("first", "_next")}, ahead=True, inclusive=False)
+        ends = grid.groupBy(*keys).agg(F.max_by("close", ts).alias("last_close"), F.max(ts).alias("last_ts"))
+        placed = ahead.join(ends, keys).withColumns({"fill_ts": F.col("_fill.ts"), "fill_price": F.col("_fill.open")}).drop("_one", "_next", "_fill")
+    else:
+        over = W.partitionBy(*keys).orderBy(ts)
+        fired = fires(grid, keys, [ts], signal)
+        placed = fired.withColumns({"bar": F.row_number().over(over), "fill_ts": F.lead(ts).over(over), "fill_price": F.lead("open").over(over), "last_close": F.last("close").over(over.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), "last_ts": F.max(ts).over(W.partitionBy(*keys))})
+    each = placed.crossJoin(versions)  # a handful of versions, made on the driver, so that Spark knows their size
     filled = F.col("fire") & F.col("fill_ts").isNotNull()
     return each.withColumns({"is_entry": filled & (F.col(signal) == F.col("entry")), "is_exit": filled & F.array_contains("exits", F.col(signal))})
 
@@ -66,16 +74,17 @@ def excursions(trades: DataFrame, bars: DataFrame, keys: list[str], ts: str = "t
     """
     day = F.to_date(F.col(ts))
     daily = bars.groupBy(*keys, day.alias("_day")).agg(F.max("high").alias("_hi"), F.min("low").alias("_lo"))
-    spans = trades.withColumns({"_id": F.monotonically_increasing_id(), "_from": F.to_date("entry_ts"), "_to": F.to_date("exit_ts")})
+    trade = [*keys, "version", "entry_bar"]  # one trade for each entry
+    spans = trades.withColumns({"_from": F.to_date("entry_ts"), "_to": F.to_date("exit_ts")})
     spans = spans.select("*", F.explode(F.sequence("_from", "_to")).alias("_day"))
     edge = (F.col("_day") == F.col("_from")) | (F.col("_day") == F.col("_to"))
-    inner = spans.where(~edge).join(daily, [*keys, "_day"]).select("_id", "_hi", "_lo")
+    inner = spans.where(~edge).join(daily, [*keys, "_day"]).select(*trade, "_hi", "_lo")
     single = bars.select(*keys, day.alias("_day"), F.col(ts).alias("_ts"), "high", "low")
     outer = spans.where(edge).join(single, [*keys, "_day"]).where((F.col("_ts") >= F.col("entry_ts")) & ((F.col("_ts") < F.col("exit_ts")) | ((F.col("reason") == "end_of_data") & (F.col("_ts") <= F.col("exit_ts")))))
-    reach = inner.unionByName(outer.select("_id", F.col("high").alias("_hi"), F.col("low").alias("_lo"))).groupBy("_id").agg(F.max("_hi").alias("_hi"), F.min("_lo").alias("_lo"))
-    own = spans.where("_day = _from").drop("_day", "_from", "_to").join(reach, "_id", "left")
+    reach = inner.unionByName(outer.select(*trade, F.col("high").alias("_hi"), F.col("low").alias("_lo"))).groupBy(*trade).agg(F.max("_hi").alias("_hi"), F.min("_lo").alias("_lo"))
+    own = spans.where("_day = _from").drop("_day", "_from", "_to").join(reach, trade, "left")
     high, low = F.greatest("_hi", "exit_price"), F.least("_lo", "exit_price")
-    return own.withColumns({"mfe": F.greatest(high - F.col("entry_price"), F.lit(0.0)), "mae": F.greatest(F.col("entry_price") - low, F.lit(0.0))}).drop("_id", "_hi", "_lo")
+    return own.withColumns({"mfe": F.greatest(high - F.col("entry_price"), F.lit(0.0)), "mae": F.greatest(F.col("entry_price") - low, F.lit(0.0))}).drop("_hi", "_lo")
 
 
 def equity_curve(bars: DataFrame, trades: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
@@ -83,7 +92,7 @@ def equity_curve(bars: DataFrame, trades: DataFrame, keys: list[str], ts: str =
     versions = trades.select("version").distinct()
     opened = trades.groupBy(*keys, "version", F.col("entry_ts").alias(ts)).agg(F.count(F.lit(1)).alias("_in"), F.sum("entry_price").alias("_paid"))
     closed = trades.groupBy(*keys, "version", F.col("exit_ts").alias(ts)).agg(F.count(F.lit(1)).alias("_out"), F.sum("exit_price").alias("_got"))
-    rows = bars.crossJoin(F.broadcast(versions)).join(opened, [*keys, "version", ts], "left").join(closed, [*keys, "version", ts], "left").na.fill(0, ["_in", "_out"]).na.fill(0.0, ["_paid", "_got"])
+    rows = bars.crossJoin(versions).join(opened, [*keys, "version", ts], "left").join(closed, [*keys, "version", ts], "left").na.fill(0, ["_in", "_out"]).na.fill(0.0, ["_paid", "_got"])
     over = W.partitionBy(*keys, "version").orderBy(ts).rowsBetween(W.unboundedPreceding, 0)
     lots = F.sum(F.col("_in") - F.col("_out")).over(over)
     gross = F.col("close") * lots - F.sum("_paid").over(over) + F.sum("_got").over(over)

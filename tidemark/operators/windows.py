@@ -71,7 +71,7 @@ def drawdown_episodes(df: DataFrame, keys: list[str], order: str, equity: str) -
 
 def cell_streams(df: DataFrame, pairs: DataFrame, true: str, pred: str) -> DataFrame:
     """Rows of each (t, p) cell's stream with wrong: the true class's rows; for a mistake only those predicted t or p."""
-    joined = df.join(F.broadcast(pairs), F.col(true) == F.col("t"))  # pairs of classes
+    joined = df.join(pairs, F.col(true) == F.col("t"))
     kept = joined.where((F.col("t") == F.col("p")) | F.col(pred).isin([]) | (F.col(pred) == F.col("t")) | (F.col(pred) == F.col("p")))
     return kept.withColumn("wrong", F.col(pred) != F.col("t"))
 

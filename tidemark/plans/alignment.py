@@ -167,10 +167,19 @@ for _direction in ("backward", "forward", "nearest"):
     query(f"j05_align_{_direction}", _nearest_sql(_direction))(_priced(_direction))
 
 
-@query("j06_labels_on_bars", "SELECT e.event_id, e.event_type AS label, CAST(NULL AS VARCHAR) AS predicted FROM events e")
+@query("j06_labels_on_bars", "SELECT event_id, CASE WHEN value > 5 THEN event_type END AS label, CASE WHEN user_id % 2 = 0 THEN lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) END AS predicted FROM events")
 def j06(spark, d):
-    bars = events(spark, d).select("event_id")
-    return bars.join(events(spark, d).select("event_id", F.col("event_type").alias("label")), "event_id", "left").withColumn("predicted", F.lit(None).cast("string"))
+    from tidemark.plans.evaluation import predictions
+
+    e = events(spark, d)
+    labels = e.where("value > 5").select("event_id", F.col("event_type").alias("label"))
+    return J.attach_labels(e.select("event_id"), ["event_id"], labels, predictions(spark, d).where("user_id % 2 = 0").select("event_id", F.col("pred_label").alias("predicted")))
+
+
+@query("j06_bars_without_predictions", "SELECT event_id, event_type AS label, CAST(NULL AS VARCHAR) AS predicted FROM events")
+def j06b(spark, d):
+    e = events(spark, d)
+    return J.attach_labels(e.select("event_id"), ["event_id"], e.select("event_id", F.col("event_type").alias("label")))
 
 
 @query("j08_membership", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")

@@ -90,9 +90,29 @@ def a12(spark, d):
     return E.per_class(predictions(spark, d), "true_label", "pred_label")
 
 
-@query("a12_per_class_zero", _PER_CLASS)
+_SOME = f"""{_WITH}, q AS (SELECT true_label AS t, CASE WHEN pred_label = 'click' THEN 'none' ELSE pred_label END AS p FROM p WHERE pred_label IS NOT NULL),
+k AS (SELECT t AS label FROM q UNION SELECT p FROM q),
+c AS (SELECT label, (SELECT count(*) FROM q WHERE t = label) AS support, (SELECT count(*) FROM q WHERE p = label) AS claimed, (SELECT count(*) FROM q WHERE t = label AND p = label) AS hit FROM k),
+s AS (SELECT label, support, hit * 1.0 / nullif(claimed, 0) AS pr, hit * 1.0 / nullif(support, 0) AS re FROM c),
+f AS (SELECT *, CASE WHEN pr > 0 AND re > 0 THEN 2 * pr * re / (pr + re) END AS f1 FROM s),
+"""
+_ALL_CLASSES = """ SELECT label, support, round(pr, 6) AS "precision", round(re, 6) AS recall, round(f1, 6) AS f1 FROM g
+UNION ALL SELECT 'MACRO', CAST(sum(support) AS BIGINT), round(avg(pr), 6), round(avg(re), 6), round(avg(f1), 6) FROM g"""
+
+
+def some_unclaimed(spark, d):
+    """Predictions in which one class is never predicted and one that doesn't exist is."""
+    return predictions(spark, d).withColumn("pred_label", F.when(F.col("pred_label") == "click", "none").otherwise(F.col("pred_label")))
+
+
+@query("a12_per_class_undefined", _SOME + "g AS (SELECT * FROM f)" + _ALL_CLASSES)
+def a12u(spark, d):
+    return E.per_class(some_unclaimed(spark, d), "true_label", "pred_label")
+
+
+@query("a12_per_class_zero", _SOME + "g AS (SELECT label, support, coalesce(pr, 0) AS pr, coalesce(re, 0) AS re, coalesce(f1, 0) AS f1 FROM f)" + _ALL_CLASSES)
 def a12z(spark, d):
-    return E.per_class(predictions(spark, d), "true_label", "pred_label", zero=True)
+    return E.per_class(some_unclaimed(spark, d), "true_label", "pred_label", zero=True)
 
 
 @query("a13_average_precision", """

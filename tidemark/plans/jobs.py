@@ -17,7 +17,11 @@ FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _scratch(spark, name):
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints/tidemark-{spark.sparkContext.applicationId}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        root = f"/tmp/checkpoints/tidemark-{spark.sparkContext.applicationId}"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -122,6 +126,15 @@ def s02(spark, d):
     return R.read_folder(spark, f"{d}").select("name")
 
 
+@query("s02_moved_and_orphaned", "SELECT lower(r_name) AS name, 'orphan' AS change FROM region UNION ALL SELECT unnest(['lineitem', 'orders']), 'moved' UNION ALL SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']), 'kept'")
+def s02b(spark, d):
+    """The folder against a catalogue that has two files elsewhere and one for each region."""
+    found = R.read_folder(spark, d).select("name", "path")
+    elsewhere = F.when(F.col("name").isin("lineitem", "orders"), F.concat(F.lit("old/"), "path")).otherwise(F.col("path"))
+    known = found.select("name", elsewhere.alias("path")).union(table(spark, d, "region").select(F.lower("r_name"), F.lit("gone")))
+    return R.folder_changes(found, known).select("name", "change")
+
+
 @query("s07_schema_gaps", "SELECT 'missing' AS what, 'o_extra' AS \"column\" WHERE (SELECT count(*) FROM orders) > 0 UNION ALL SELECT 'extra', 'o_orderpriority' WHERE (SELECT count(*) FROM orders) > 0")
 def s07(spark, d):
     from pyspark.sql import types as T
@@ -164,8 +177,8 @@ def s13(spark, d):
 
 @query("s14_content_hashes")
 def s14(spark, d):
-    """The distinct contents of the small tables' files."""
-    return R.content_hashes(spark, f"{d}/nation.parquet").select("sha256")
+    """The content of every file of the folder that a binary value can hold."""
+    return R.content_hashes(spark, d).select("sha256")
 
 
 @query("s15_dataset_catalogue", "SELECT 'v' || (o_custkey % 3) AS version, count(*) AS rows, CAST(1 AS INTEGER) AS n_features, CAST(count(DISTINCT o_orderstatus) AS INTEGER) AS n_classes, 'certified' AS status FROM orders GROUP BY 1")

@@ -6,7 +6,7 @@ from tidemark.operators import attribution as A
 from tidemark.operators import clocks as C
 from tidemark.operators import splits as S
 from tidemark.plans.alignment import _start
-from tidemark.plans.registry import query, table
+from tidemark.plans.registry import SQL, query, table
 
 
 def events(spark, d):
@@ -48,6 +48,12 @@ def a04(spark, d):
     return C.row_spacing(events(spark, d), ["user_id"]).select("user_id", F.round("minutes", 4).alias("minutes"))
 
 
+@query("w13_value_changes", "WITH s AS (SELECT user_id, ts, value AS v, CASE WHEN event_type = 'view' THEN value END AS seen FROM events), l AS (SELECT user_id, ts, 'v' AS \"column\", v AS x FROM s UNION ALL SELECT user_id, ts, 'seen', seen FROM s), m AS (SELECT *, x <> lag(x) OVER (PARTITION BY user_id, \"column\" ORDER BY ts) AS moved FROM l) SELECT \"column\", count(*) FILTER (WHERE moved) AS n_changes, count(*) AS n_rows FROM m GROUP BY 1")
+def w13(spark, d):
+    x = events(spark, d).select("user_id", "ts", F.col("value").alias("v"), F.when(F.col("event_type") == "view", F.col("value")).alias("seen"))
+    return C.value_changes(x, ["user_id"], ["v", "seen"])
+
+
 @query("a29_label_block_purity", f"WITH b AS (SELECT user_id, {_start(240, 0)} AS c, count(DISTINCT event_type) AS k FROM events GROUP BY 1, 2) SELECT count(*) AS n_blocks, round(avg(CASE WHEN k = 1 THEN 1.0 ELSE 0.0 END), 6) AS purity FROM b")
 def a29(spark, d):
     return C.label_block_purity(events(spark, d), ["user_id"], "event_type", 240)
@@ -104,8 +110,15 @@ def v05(spark, d):
     return folds(spark, d).select("event_id", "fold", "role")
 
 
-@query("v06_leaks", _FOLDS + " SELECT CAST(fold AS INTEGER) AS fold, role AS problem FROM a WHERE role = 'none'")
+@query("v06_leaks", _FOLDS + ", w AS (SELECT DISTINCT fold, CASE WHEN session >= lo - 1 AND session < lo THEN 'purge' WHEN session >= hi AND session < hi + 3 THEN 'embargo' END AS problem FROM s, b) SELECT CAST(fold AS INTEGER) AS fold, problem FROM w WHERE problem IS NOT NULL")
 def v06(spark, d):
+    """Folds cut without the gaps that are promised: every block's neighbours are named."""
+    return S.leaks(S.purged_folds(events(spark, d), 5, 0, 0), 1, 2)
+
+
+@query("v06_no_leaks", _FOLDS + " SELECT CAST(fold AS INTEGER) AS fold, 'near' AS problem FROM a JOIN b USING (fold) WHERE role = 'train' AND session >= lo - 1 AND session < hi + 3")
+def v06b(spark, d):
+    """Folds cut as promised have none."""
     return S.leaks(folds(spark, d), 1, 2)
 
 
@@ -124,7 +137,12 @@ def v09(spark, d):
     import json
 
     recipe = json.loads('{"kind": "three_way", "val": 0.2, "test": 0.2, "embargo": 2}')
-    return S.three_way(events(spark, d), recipe["val"], recipe["test"], recipe["embargo"]).select("event_id", "split")
+    return S.from_recipe(events(spark, d), recipe).select("event_id", "split")
+
+
+@query("v09_candles_from_recipe", SQL["v03_bundle_random_split"])
+def v09b(spark, d):
+    return S.from_recipe(events(spark, d), {"kind": "candles", "val": 0.2, "test": 0.2, "seed": 7}).select("event_id", "split")
 
 
 @query("v10_groups_sample", f"""WITH p AS (SELECT event_id, event_type AS t, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
@@ -137,11 +155,11 @@ def v10(spark, d):
 
 
 #: Vector components are contributions; the label is the class.
-_ATTR = "SELECT vec_id AS row_id, 'f' || (i - 1) AS feature, 'c' || label AS class, CAST(embedding[i] AS DOUBLE) * (1 + i % 3) AS value FROM embeddings, (SELECT unnest(range(1, 13)) AS i)"
+_ATTR = "SELECT vec_id AS row_id, 'f' || (i - 1) AS feature, 'c' || label AS class, CAST(embedding[i] AS DOUBLE) * (1 + i % 3) AS value FROM embeddings, (SELECT unnest(range(1, (SELECT max(len(embedding)) + 1 FROM embeddings))) AS i) WHERE i <= len(embedding)"
 
 
 def contributions(spark, d):
-    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("row_id"), F.concat(F.lit("c"), F.col("label")).alias("class"), F.posexplode(F.slice("embedding", 1, 12)).alias("i", "x"))
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("row_id"), F.concat(F.lit("c"), F.col("label")).alias("class"), F.posexplode("embedding").alias("i", "x"))
     return e.select("row_id", F.concat(F.lit("f"), F.col("i")).alias("feature"), "class", (F.col("x").cast("double") * (1 + (F.col("i") + 1) % 3)).alias("value"))
 
 
@@ -197,5 +215,5 @@ def w17(spark, d):
 @query("ml4_linear_contributions", f"WITH a AS ({_ATTR}), m AS (SELECT feature, avg(value) AS mean FROM a GROUP BY 1) SELECT a.row_id, feature, 'up' AS class, round(2 * (value - mean), 4) AS value FROM a JOIN m USING (feature)")
 def ml4(spark, d):
     long = contributions(spark, d).select("row_id", "feature", F.col("value").alias("x"))
-    coefficients = spark.createDataFrame([(f"f{i}", "up", 2.0) for i in range(12)], "feature string, class string, coefficient double")
+    coefficients = long.select("feature").distinct().select("feature", F.lit("up").alias("class"), F.lit(2.0).alias("coefficient"))
     return A.linear_contributions(long, coefficients).withColumn("value", F.round("value", 4))

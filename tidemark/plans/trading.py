@@ -79,7 +79,7 @@ def t03(spark, d):
 
 @query("t03_trade_pairs_two_level", _TRADES + _BOOK)
 def t03b(spark, d):
-    events = T.bar_events(bars(spark, d), KEYS, versions(spark)).withColumn("day", F.to_date("ts"))
+    events = T.bar_events(bars(spark, d).withColumn("day", F.to_date("ts")), KEYS, versions(spark), chunk="day")
     return _columns(T.pair_trades(events, KEYS, 0.5, chunk="day"))
 
 

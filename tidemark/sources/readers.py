@@ -81,6 +81,13 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     return named
 
 
+def folder_changes(found: DataFrame, known: DataFrame) -> DataFrame:
+    """(name, change) of files by name: kept, moved (another path), new (not known) or orphan (known, but not found)."""
+    both = found.select("name", F.col("path").alias("_now")).join(known.select("name", F.col("path").alias("_was")), "name", "full")
+    change = F.when(F.col("_was").isNull(), "new").when(F.col("_now").isNull(), "orphan").when(F.col("_now") != F.col("_was"), "moved").otherwise("kept")
+    return both.select("name", change.alias("change"))
+
+
 def bad_share(df: DataFrame, text: str, parsed: Column) -> float:
     """Share of non-null texts that don't parse."""
     row = df.agg(F.avg(F.when(F.col(text).isNotNull(), parsed.isNull().cast("int"))).alias("x")).first()
