@@ -622,3 +622,32 @@ def test_random_runs_glued_to_base_spans_are_found(spark):
     assert (found.loc[range(0, 40, 2)] == "random:0:41,hex:41:65,random:65:106").mean() > 0.9
     clean = {r.text for r in secret_scan.redact(docs, Scratch(spark, "t")).collect()}
     assert {"[access][random]", "[random][hex][random] x"} <= clean
+
+
+def test_random_spans_are_those_that_the_tests_by_hand_report(spark):
+    rng = np.random.default_rng(12)
+    key = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), n))
+    texts = [f"a {key(int(rng.integers(20, 90)))} b {'word-and-more/words' * 3} {i}" for i in range(60)] + ["plain words in a row only"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    runs = {(i, a, b): (band, level) for i, t in enumerate(texts) for a, b, level, band in secret_scan.scan([t])[1][0]}
+    reported = set()
+    for band in {b for b, _ in runs.values()}:  # Benjamini-Hochberg over the band's p-values, one by one
+        ordered = sorted((10 ** (-level / secret_scan.LEVELS_PER_10), run) for run, (b, level) in runs.items() if b == band)
+        last = max((k for k, (p, _) in enumerate(ordered, 1) if p <= secret_scan.FALSE_DISCOVERIES * k / len(ordered) and p < 1), default=0)
+        reported |= {run for p, run in ordered if last and p <= ordered[last - 1][0]}
+    got = set()
+    for r in secret_scan.find_secrets(docs, Scratch(spark, "t")).collect():
+        got |= {(r.doc_id, s.start, s.end) for s in r.secret_spans if secret_scan.KINDS[s.kind] == "random"}
+    assert got == reported and len(got) > 40
+
+
+def test_scratch_tables_are_deleted(spark, odd):
+    from pathlib import Path
+
+    scratch = Scratch(spark, "t")
+    scratch.save(odd, "one"), scratch.save(odd, "two")
+    folder = Path(scratch.root.removeprefix("file://"))
+    scratch.keep("two")
+    assert [p.name for p in folder.iterdir()] == ["two"]
+    scratch.close()
+    assert not folder.exists()

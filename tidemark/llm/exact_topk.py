@@ -75,16 +75,15 @@ class Lists:
         open_, at = np.arange(len(queries)), 0
         for to in self._stretches():
             gap = [(self.sorted[n - to] - worst[0]).astype(float), (self.sorted[to - 1] - worst[1]).astype(float)]
-            upper = lower.astype(float)
+            rest = np.zeros(lower.shape)
             for way, new in enumerate((slice(n - to, n - at), slice(at, to))):
                 fresh = np.zeros((n, width), dtype=kind)
                 np.put_along_axis(fresh, self.order[new], np.take_along_axis(over[way], self.order[new], axis=0), axis=0)
                 np.put_along_axis(unread[way], self.order[new], 0, axis=0)
                 lower += fresh @ ways[way]
-                upper += fresh.astype(float) @ ways[way].astype(float)
-                upper += unread[way] @ (gap[way][:, None] * ways[way])  # unread entries are at most the last that was read
+                rest += unread[way] @ (gap[way][:, None] * ways[way])  # unread entries are at most the last that was read
             at = to
-            upper += 1 + bound * 1e-12  # outweighs rounding
+            upper = lower + rest + (1 + bound * 1e-12)  # outweighs rounding
             own = self.ids[:, None] == query_ids[open_]
             upper[own] = -np.inf
             known = np.where(own, np.iinfo(np.int64).min // 2, lower)

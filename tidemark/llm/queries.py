@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import content_store, exact_topk, line_crf, linear_grouping, mixing, robust_outliers, secret_scan, simhash, toxicity, url_rules
+from tidemark.llm.common import release  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_outliers": robust_outliers.op1,
