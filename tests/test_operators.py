@@ -99,7 +99,7 @@ def test_trades_equal_a_bar_by_bar_loop(spark, seed):
     got = made.collect()
     assert sorted((r.entry_ts, r.entry_price, r.exit_ts, r.exit_price, r.reason) for r in got) == sorted(want)
     assert all(-r.mae - 1e-9 <= r.points <= r.mfe + 1e-9 for r in got)
-    last = trades.equity_curve(df.select("k", "ts", "close"), made, ["k"]).orderBy(F.desc("ts")).first()
+    last = trades.equity_curve(df.select("k", "ts", "close"), made, ["k"], trades.strategies(spark, [("V", "buy", ["sell"])])).orderBy(F.desc("ts")).first()
     assert last.lots == 0 and abs(last.gross - sum(r.points for r in got)) < 1e-6
 
 

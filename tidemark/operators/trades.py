@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -11,8 +12,9 @@ from tidemark.operators.windows import fires, wilder_atr  # noqa: F401
 
 
 def strategies(spark, rows: list[tuple[str, str, list[str]]]) -> DataFrame:
-    """(version, entry, exits) of (version, entry class, exit classes)."""
-    return spark.createDataFrame(rows, "version string, entry string, exits array<string>")
+    """(version, entry, exits) of (version, entry class, exit classes); a local table, whose size Spark knows."""
+    version, entry, exits = map(list, zip(*rows, strict=True)) if rows else ([], [], [])
+    return spark.createDataFrame(pa.table({"version": pa.array(version, pa.string()), "entry": pa.array(entry, pa.string()), "exits": pa.array(exits, pa.list_(pa.string()))}))
 
 
 def dense_grid(bars: DataFrame, signals: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
@@ -87,9 +89,9 @@ def excursions(trades: DataFrame, bars: DataFrame, keys: list[str], ts: str = "t
     return own.withColumns({"mfe": F.greatest(high - F.col("entry_price"), F.lit(0.0)), "mae": F.greatest(F.col("entry_price") - low, F.lit(0.0))}).drop("_hi", "_lo")
 
 
-def equity_curve(bars: DataFrame, trades: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
-    """(keys, version, ts, lots, gross): after each bar, open trades at its close and closed ones at their fills."""
-    versions = trades.select("version").distinct()
+def equity_curve(bars: DataFrame, trades: DataFrame, keys: list[str], versions: DataFrame, ts: str = "ts") -> DataFrame:
+    """(keys, version, ts, lots, gross): after each bar, open trades at its close and closed ones at their fills; for each of the strategies that trades."""
+    versions = versions.select("version").join(trades.select("version").distinct(), "version", "left_semi")
     opened = trades.groupBy(*keys, "version", F.col("entry_ts").alias(ts)).agg(F.count(F.lit(1)).alias("_in"), F.sum("entry_price").alias("_paid"))
     closed = trades.groupBy(*keys, "version", F.col("exit_ts").alias(ts)).agg(F.count(F.lit(1)).alias("_out"), F.sum("exit_price").alias("_got"))
     rows = bars.crossJoin(versions).join(opened, [*keys, "version", ts], "left").join(closed, [*keys, "version", ts], "left").na.fill(0, ["_in", "_out"]).na.fill(0.0, ["_paid", "_got"])

@@ -102,7 +102,7 @@ def t05(spark, d):
 SELECT user_id, version, ts, (SELECT count(*) FROM t WHERE t.user_id = r.user_id AND t.version = r.version AND t.entry_ts <= r.ts) - (SELECT count(*) FROM t WHERE t.user_id = r.user_id AND t.version = r.version AND t.exit_ts <= r.ts) AS lots,
  round((SELECT coalesce(sum(CASE WHEN t.exit_ts <= r.ts THEN exit_price ELSE r.close END - entry_price), 0) FROM t WHERE t.user_id = r.user_id AND t.version = r.version AND t.entry_ts <= r.ts), 4) AS gross FROM r""")
 def t07(spark, d):
-    return rounded(T.equity_curve(bars(spark, d).select("user_id", "ts", "close"), trades(spark, d), KEYS), "gross")
+    return rounded(T.equity_curve(bars(spark, d).select("user_id", "ts", "close"), trades(spark, d), KEYS, versions(spark)), "gross")
 
 
 @query("t08_tradebook", _REACH + " SELECT user_id, version, entry_ts, round((epoch(exit_ts) - epoch(entry_ts)) / 60, 4) AS minutes, round(CASE WHEN mfe > 0 THEN points / mfe END, 4) AS capture, net > 0 AS paid, round(sum(net) OVER (PARTITION BY user_id, version ORDER BY entry_ts, exit_ts ROWS UNBOUNDED PRECEDING), 3) AS cum_net FROM x")
