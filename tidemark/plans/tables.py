@@ -148,7 +148,9 @@ def p18(spark, d):
 @query("p19_first_source", "WITH c AS (SELECT DISTINCT p_brand AS source, p_name AS \"column\" FROM part) SELECT \"column\", max(source) AS source FROM c GROUP BY 1")
 def p19(spark, d):
     c = table(spark, d, "part").select(F.col("p_brand").alias("source"), F.col("p_name").alias("column")).distinct()
-    brands = [r[0] for r in c.select("source").distinct().orderBy(F.desc("source")).limit(1000).collect()]  # a catalogue has few sources; their order is an argument
+    brands = [r[0] for r in c.select("source").distinct().orderBy(F.desc("source")).limit(1001).collect()]  # the order of the sources is an argument
+    if len(brands) > 1000:
+        raise ValueError("more sources than an order can be stated for")
     return C.first_by_source(c, brands)
 
 
