@@ -651,3 +651,30 @@ def test_scratch_tables_are_deleted(spark, odd):
     assert [p.name for p in folder.iterdir()] == ["two"]
     scratch.close()
     assert not folder.exists()
+
+
+def test_hosts_with_the_keys_own_mark_are_judged_by_their_domain(spark):
+    urls = ["http://x.org\x01y/es/", "http://a\x01b.example.org/es/1", "http://com\x01/de/", "http://example.org\x01/en/1", "http://b.com/de/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = sorted(url_rules.judge(pages).collect())
+    assert [tuple(g)[1:] for g in got] == [judged(u) for u in urls]
+
+
+@pytest.mark.parametrize("size, most", [(3, 1 << 20), (3, 40), (100, 40), (1, 1)])
+def test_slices_keep_rows_and_bounds(size, most):
+    import pyarrow as pa
+
+    texts = ["a" * n for n in (1, 500, 3, 3, 0, 2, 2, 90, 1, 1, 1, 1)] + [None]
+    batches = pa.table({"text": texts}).to_batches(max_chunksize=8)
+    parts = list(common.slices(iter(batches), size, most))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert all(p.num_rows == 1 or (p.num_rows <= size and p.nbytes <= most) for p in parts)
+
+
+def test_a_sample_has_one_row_for_each_id(spark):
+    docs = spark.createDataFrame([(2, f"copy {k}") for k in range(50)] + [(4, None), (6, "one")], "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1), (4, 0), (6, 1)], "doc_id long, quality int")
+    rows = line_crf.labelled_sample(docs, labels, "quality", 4, 9, 2).collect()
+    assert len(rows) == 2 == len({r.doc_id for r in rows})
+    got = {r.doc_id: (r.text, r.label) for r in line_crf.labelled_sample(docs, labels, "quality", 4, 9, 9).collect()}
+    assert got == {2: ("copy 0", 1), 4: (None, 0), 6: ("one", 1)}

@@ -13,8 +13,8 @@ from pyspark.sql import Window as W
 
 #: Code points that part words: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Texts that a Python worker handles at once.
-SLICE = 256
+#: Rows that a Python worker handles at once, and bytes that they may have if they are more than one.
+SLICE, SLICE_BYTES = 256, 8 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -97,11 +97,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most `size`, so that a worker's memory doesn't follow Arrow's batch size."""
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `size` rows and `most` bytes, or of one longer row, so that a worker's memory follows neither Arrow's batch size nor how many very long texts lie together."""
     for batch in batches:
-        for at in range(0, batch.num_rows, size):
-            yield batch.slice(at, size)
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, size)
+            while part.num_rows > 1 and part.nbytes > most:
+                part = part.slice(0, part.num_rows // 2)
+            yield part
+            at += part.num_rows
 
 
 def ranked(df: DataFrame, group: list[str], order: list[str], salt_on: Column, salts: int, name: str) -> DataFrame:

@@ -177,12 +177,16 @@ def fold(id_col: str = "doc_id", folds: int = FOLDS) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, label of at most `most` rows with a label (in labels: doc_id and it) outside the held-out fold, those with the smallest hashes."""
+    """doc_id, text, label of at most `most` documents with a label (in labels: doc_id and it) outside the held-out fold, those with the smallest hashes.
+
+    However many rows share a doc_id, it comes once, with the least of their texts.
+    """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_out))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.join(F.broadcast(chosen), "doc_id")  # at most `most` rows
+    found = source.join(F.broadcast(chosen), "doc_id")  # at most `most` rows
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
 def _score(field: Field, text_col: str):

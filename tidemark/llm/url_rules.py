@@ -4,6 +4,8 @@ A host with its labels reversed is a key whose prefixes are its parent domains,
 covers an interval of keys, and such intervals nest. Rules and pages are sorted together by key; a
 sweep down the sorted rows keeps a stack with the last rule host opened at each depth. An entry is
 popped when the row's key has left its interval, that is, when the entry isn't a prefix of the key.
+A host that holds the character which ends the key's labels could stand in an interval that isn't
+its own, so an entry's host is compared with the page's before its rules count.
 The path prefixes of the hosts still on the stack decide, the longest rule first.
 """
 
@@ -64,14 +66,15 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT, url_col: str =
     opened = opened.withColumns({"_key": host_key(F.col("host")), "_part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))})
     rows = dealt.unionByName(opened, allowMissingColumns=True)
     sweep = W.partitionBy("_part").orderBy("_key", F.desc("_depth")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    entry = F.struct(F.col("_key").alias("key"), F.col("_paths").alias("paths"))
+    entry = F.struct(F.col("_key").alias("key"), F.col("host").alias("host"), F.col("_paths").alias("paths"))
     stack = {f"_open{d}": F.last(F.when(F.col("_depth") == d, entry), ignorenulls=True).over(sweep) for d in range(1, depth + 1)}
     swept = rows.withColumns(stack).where("_depth = 0")
     hits = []
     for d in range(depth, 0, -1):
         top = F.col(f"_open{d}")
         fits = F.filter(top["paths"], lambda x: F.startswith(F.col("path"), x["path"]))
-        hits.append(F.when(F.startswith(F.col("_key"), top["key"]) & (F.size(fits) > 0), F.struct(fits[0]["rule"].alias("rule"), fits[0]["verdict"].alias("verdict"))))
+        own = F.startswith(F.col("_key"), top["key"]) & ((F.col("host") == top["host"]) | F.endswith(F.col("host"), F.concat(F.lit("."), top["host"])))
+        hits.append(F.when(own & (F.size(fits) > 0), F.struct(fits[0]["rule"].alias("rule"), fits[0]["verdict"].alias("verdict"))))
     found = F.coalesce(*hits, found)
     return swept.withColumn("_found", found).select(*named, F.col("_found.rule").alias("rule"), F.col("_found.verdict").alias("verdict"))
 
