@@ -3,10 +3,11 @@
 Vectors are dealt to blocks; in a block, each dimension is a list of components in sorted order. A
 query reads a list downwards where its weight is positive and upwards where it is negative, a
 stretch at a time and all lists in step. What has been read of a vector raises its lower bound
-(unread components count as the list's worst), which is kept as an exact integer; its upper bound
-lets unread ones count as the last that was read. Reading stops when few vectors but the k best
-lower bounds can still qualify, and these few are then scored in full. Each block's k best per
-query are merged by Spark.
+(unread components count as the list's worst), which is an exact integer; its upper bound lets
+unread ones count as the last that was read. After each stretch the bounds of some vectors tell
+whether a stop is near; if so, those of all are taken, and reading stops when few vectors but the k
+best lower bounds can still qualify. These few are then scored in full, so when to look at all
+bounds decides the work and never the result. Each block's k best per query are merged by Spark.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from tidemark.llm.common import Scratch
 
 SCALE = 256
 BLOCK, QUERIES = 4096, 32768  # vectors in a block, queries in a block, about
-STEP = 64  # queries that a task bounds at once
+STEP = 256  # queries that a task bounds at once
 STRETCHES = 12  # in which a list is read
+SOME = 256  # vectors of a block that are bounded after every stretch, about
 FEW = 20  # times k vectors, or one in FEW of the block, that are worth resolving
 LIMIT = 2.0**61  # that a score's parts may sum to in 64-bit integers
 
@@ -45,12 +47,22 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 class Lists:
-    """A block's vectors as sorted lists, one for each dimension, that queries read in step."""
+    """A block's vectors as sorted lists, one for each dimension, that queries read in step.
+
+    Every list stands twice, to be read downwards and upwards; a query's weights are 0 where it
+    doesn't read that way.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors.astype(np.int64)
-        self.order = np.argsort(self.vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.vectors, self.order, axis=0)
+        n = len(ids)
+        order = np.argsort(self.vectors, axis=0, kind="stable")
+        at = np.empty_like(order)
+        np.put_along_axis(at, order, np.arange(n)[:, None], axis=0)
+        self.place = np.concatenate([n - 1 - at, at], axis=1)  # where an entry stands in its list
+        upwards = np.take_along_axis(self.vectors, order, axis=0)
+        self.sorted = np.concatenate([upwards[::-1], upwards], axis=1)
+        self.some = np.arange(0, n, -(-n // SOME) or 1)  # vectors whose bounds tell when all are worth bounding
         self.read = np.zeros(2, dtype=np.int64)  # entries that queries read, and entries that their lists have
 
     def _stretches(self) -> list[int]:
@@ -67,35 +79,39 @@ class Lists:
         if bound >= LIMIT:
             raise ValueError("inner products go beyond 64-bit integers")
         kind = np.float64 if bound < 2.0**51 else np.int64  # sums of integers below 2**53 are exact in either
-        ways = np.stack([np.maximum(queries, 0).T, np.minimum(queries, 0).T]).astype(kind)  # weights that read downwards and upwards
-        worst = np.stack([self.sorted[0], self.sorted[-1]])  # the entry that a list ends with, for each direction
-        over = [(self.vectors - w).astype(kind) for w in worst]  # what an entry is better by
-        lower = np.repeat((worst[0] @ ways[0] + worst[1] @ ways[1]).astype(kind)[None, :], n, axis=0)  # by vector and query
-        unread = np.ones((2, n, width))  # by direction, vector and list
-        open_, at = np.arange(len(queries)), 0
+        ways = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(kind)
+        worst = self.sorted[-1]
+        least = ways @ worst.astype(kind)  # all entries unread
+        over = (np.concatenate([self.vectors, self.vectors], axis=1) - worst).astype(kind)  # what an entry is better by
+        slack = 1 + bound * 1e-12  # outweighs rounding
+        enough = max(FEW * k, n // FEW)
+        open_ = np.arange(len(queries))
         for to in self._stretches():
-            gap = [(self.sorted[n - to] - worst[0]).astype(float), (self.sorted[to - 1] - worst[1]).astype(float)]
-            rest = np.zeros(lower.shape)
-            for way, new in enumerate((slice(n - to, n - at), slice(at, to))):
-                fresh = np.zeros((n, width), dtype=kind)
-                np.put_along_axis(fresh, self.order[new], np.take_along_axis(over[way], self.order[new], axis=0), axis=0)
-                np.put_along_axis(unread[way], self.order[new], 0, axis=0)
-                lower += fresh @ ways[way]
-                rest += unread[way] @ (gap[way][:, None] * ways[way])  # unread entries are at most the last that was read
-            at = to
-            upper = lower + rest + (1 + bound * 1e-12)  # outweighs rounding
-            own = self.ids[:, None] == query_ids[open_]
+            read = self.place < to
+            seen = np.where(read, over, 0)
+            unread = np.where(read, 0, (self.sorted[to - 1] - worst).astype(float))  # at most the last that was read
+
+            def bounds(asked: np.ndarray, rows: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
+                lower = ways[asked] @ seen[rows].T + least[asked, None]
+                return lower, lower + ways[asked] @ unread[rows].T + slack
+
+            near = open_
+            if to < n:
+                lower, upper = bounds(open_, self.some)
+                near = open_[(upper >= lower.max(axis=1)[:, None]).mean(axis=1) <= 2 * enough / n]
+            lower, upper = bounds(near, slice(None))
+            own = self.ids[None, :] == query_ids[near, None]
             upper[own] = -np.inf
-            known = np.where(own, np.iinfo(np.int64).min // 2, lower)
-            may = upper >= np.partition(known, -k, axis=0)[-k] if n > k else ~own  # others cannot qualify any more
-            done = (may.sum(axis=0) <= max(FEW * k, n // FEW)) | (at == n)
-            for column in np.flatnonzero(done).tolist():
-                few = np.flatnonzero(may[:, column])
-                score = self.vectors[few] @ queries[open_[column]]
+            lower[own] = np.iinfo(np.int64).min // 2
+            may = upper >= np.partition(lower, -k, axis=1)[:, -k, None] if n > k else ~own  # others cannot qualify any more
+            done = (may.sum(axis=1) <= enough) | (to == n)
+            for row in np.flatnonzero(done).tolist():
+                few = np.flatnonzero(may[row])
+                score = self.vectors[few] @ queries[near[row]]
                 top = np.lexsort((self.ids[few], -score))[:k]
-                out[open_[column]] = (self.ids[few][top], score[top])
-            self.read += int(done.sum()) * width * np.array([at, n])
-            open_, lower, ways = open_[~done], lower[:, ~done], ways[:, :, ~done]
+                out[near[row]] = (self.ids[few][top], score[top])
+            self.read += int(done.sum()) * width * np.array([to, n])
+            open_ = np.setdiff1d(open_, near[done], assume_unique=True)
             if not len(open_):
                 break
         return out
