@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import content_store, exact_topk, line_crf, linear_grouping, mixing, robust_outliers, secret_scan, simhash, toxicity, url_rules
+from tidemark.llm import content_store, exact_topk, line_crf, linear_grouping, merkle_log, mixing, robust_outliers, secret_scan, simhash, toxicity, url_rules
 from tidemark.llm.common import release  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,9 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nra_topk": exact_topk.op8,
     "op9_line_crf": line_crf.op9,
     "op10_secret_battery": secret_scan.op10,
+    "op11_merkle_log": merkle_log.op11,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_url_rules": url_rules.SQL,
     "op6_mixing": mixing.SQL,
     "op8_nra_topk": exact_topk.SQL,
+    "op11_merkle_log": merkle_log.SQL,
 }
