@@ -19,8 +19,8 @@ from pyspark.sql import Window as W
 
 from tidemark.llm.common import shuffle_partitions
 
-#: A clause ends with its punctuation; longer ones are cut, so that a length fits in LENGTH_BITS.
-CLAUSE = r"[^.!?,;:\n]{1,60000}[.!?,;:]{0,5000}|[.!?,;:]{1,60000}"
+#: A clause ends with its punctuation; longer ones are cut, so that a length fits in LENGTH_BITS. Nothing is given back, so that no match is nested.
+CLAUSE = r"[^.!?,;:\n]{1,60000}+[.!?,;:]{0,5000}+|[.!?,;:]{1,60000}+"
 LENGTH_BITS = 16
 
 
