@@ -79,3 +79,13 @@ def test_stages_leave_columns_of_any_name_alone(spark):
     for r in rows:
         assert all(r[n] == f"{n}-{r.doc_id}" for n in NAMES if n != "n_chars") and r.n_chars == len(r.text or "")
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= len(rows)
+
+
+def test_stages_leave_no_scratch_behind(spark):
+    import os
+
+    root = f"{spark.conf.get('spark.checkpoint.dir').removeprefix('file://')}"
+    before = set(os.listdir(root))
+    corpus_pipeline.run(spark, SF)
+    left = {x.split("-")[1] for x in set(os.listdir(root)) - before if os.listdir(f"{root}/{x}")}
+    assert not left & {"toxicity", "simhash", "secrets", "mixing"}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import count
 
 import pyarrow as pa
@@ -21,7 +22,7 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder that all machines share: spark.checkpoint.dir. A cluster must set it; only a local master has a folder of its own instead."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         root = f"/tmp/checkpoints/tidemark-{spark.sparkContext.applicationId}"
     return root.rstrip("/")
@@ -36,6 +37,17 @@ def release() -> None:
         _OPEN.pop().close()
 
 
+@contextmanager
+def closing() -> Iterator[None]:
+    """Delete the scratch tables that were opened within, as soon as the results that read them are themselves written."""
+    first = len(_OPEN)
+    try:
+        yield
+    finally:
+        while len(_OPEN) > first:
+            _OPEN.pop().close()
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, list[str], list[Column]]:
     """docs with columns _0, _1, ..., which no operator uses, these names, and the columns that give back docs' own names."""
     names = [f"_{k}" for k in range(len(docs.columns))]

@@ -10,10 +10,10 @@ Files below `path`:
   entries/kind=recipe   doc_id, n_tokens, digests, ends, as encoded
   recipes               ascending doc_id: shard, pos (place in the shard), doc_id, n_tokens, first (the shard's ids before),
                         digests (16 bytes each, joined), ends (in ids, of each chunk), root, leaf
-  manifest              a row for each shard: n_docs, n_tokens, and the Merkle root of its documents' leaves
+  manifest              a row for each shard: n_docs, n_tokens, the Merkle root of its documents' leaves, and id_bytes (2 or 4)
 
 A chunk proves itself by its digest, a document's chunks and their ends by its root, its id, place and
-sizes by its leaf, and all leaves of a shard by the manifest. Reading checks every one of these.
+sizes by its leaf, and all leaves of a shard by the manifest. Both readers check every one of these.
 """
 
 from __future__ import annotations
@@ -225,7 +225,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
     ordered = recipes.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "digests")
     placed = ordered.withColumn("shard", F.spark_partition_id()).mapInArrow(_placed, _RECIPE)
     placed.write.option("compression", "zstd").parquet(f"{path}/recipes")
-    _manifest(_recipes(spark, path)).write.parquet(f"{path}/manifest")
+    listed = _manifest(_recipes(spark, path)).withColumn("id_bytes", F.lit(encoder(tokenizer).dtype.itemsize))
+    listed.write.parquet(f"{path}/manifest")
 
 
 # --- reading -------------------------------------------------------------------------------------
@@ -319,15 +320,52 @@ def verify_manifest(spark: SparkSession, path: str) -> DataFrame:
     return _shards(spark, path, recipes).join(whole, "shard", "left").select("shard", (F.col("sound") & F.coalesce("whole", F.lit(False))).alias("sound"))
 
 
+def _id_bytes(spark: SparkSession, path: str) -> int:
+    """How wide the store's ids are; a store without documents has none."""
+    width = spark.read.schema("id_bytes int").parquet(f"{path}/manifest").agg(F.max("id_bytes").alias("n")).first()["n"]
+    return width or 2
+
+
+def _read_recipes(spark: SparkSession, path: str) -> DataFrame:
+    """Recipes with before (ids of the shards before theirs) and whole: they give their root and leaf, and their shard's leaves the manifest's root."""
+    shards = _shards(spark, path, _recipes(spark, path)).withColumnRenamed("sound", "listed")
+    docs = _recipes(spark, path).mapInArrow(_checked, f"{_RECIPE}, whole boolean").join(shards, "shard")
+    return docs.withColumn("whole", F.col("whole") & F.col("listed"))
+
+
+def _payloads(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Chunks whose payload has their digest, and its ids; the others' payload is null."""
+        for batch in batches:
+            sound = [data if data is not None and len(data) % size == 0 and _digest(data) == key else None for key, data in zip(batch.column("digest").to_pylist(), batch.column("payload").to_pylist(), strict=True)]
+            counts = [None if data is None else len(data) // size for data in sound]
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(sound, pa.binary()), pa.array(counts, pa.int64())], names=["digest", "payload", "got"])
+
+    return run
+
+
+def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, n_tokens, ids from the sorted payloads of a document; null if one is missing."""
+    for batch in slices(batches):
+        ids = [b"".join(p["payload"] for p in parts) if good else None for good, parts in zip(batch.column("good").to_pylist(), batch.column("parts").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned integers, as wide as in the store): every document, put together from its chunks."""
-    recipes = _recipes(spark, path)
-    parts = _parts(recipes, "shard", "pos").join(_chunks(spark, path), "digest").groupBy("shard", "pos").agg(F.array_sort(F.collect_list(F.struct("end", "payload"))).alias("parts"))
-    joined = F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["payload"]))
-    return recipes.join(parts, ["shard", "pos"]).select("doc_id", "n_tokens", joined.alias("ids"))
+    """doc_id, n_tokens, ids (little-endian unsigned integers, as wide as in the store): every document, put together from its chunks.
+
+    Chunks are checked against their digests, recipes against their roots and leaves, shards
+    against the manifest. Where a check fails or a chunk is missing, ids is null, never short.
+    """
+    chunks = _chunks(spark, path).mapInArrow(_payloads(_id_bytes(spark, path)), "digest binary, payload binary, got long")
+    found = _parts(_read_recipes(spark, path), "shard", "pos", "doc_id", "n_tokens", "whole").join(chunks, "digest", "left")
+    good = F.col("whole") & F.coalesce(F.col("got") == F.col("n"), F.lit(False))
+    listed = F.array_sort(F.collect_list(F.struct("end", "payload")))
+    whole = found.groupBy("shard", "pos", "doc_id", "n_tokens").agg(listed.alias("parts"), F.min(good).alias("good"))
+    return whole.select("doc_id", "n_tokens", "good", "parts").mapInArrow(_put_together, "doc_id long, n_tokens long, ids binary")
 
 
-def read_digest(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
+def read_digest(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the store's files alone.
 
     Each unique chunk is read and checked against its digest once, each recipe against its root and
@@ -335,10 +373,8 @@ def read_digest(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
     chunks add, so no payload is shuffled. Where a chunk, recipe or shard fails its check, or a
     chunk is missing, ids_crc32 is null.
     """
-    facts = _chunks(spark, path).mapInArrow(_chunk_facts(id_bytes), "digest binary, crc long, got long, sound boolean")
-    shards = _shards(spark, path, _recipes(spark, path)).withColumnRenamed("sound", "listed")
-    docs = _recipes(spark, path).mapInArrow(_checked, f"{_RECIPE}, whole boolean").join(shards, "shard")
-    docs = docs.withColumns({"start": F.col("before") + F.col("first"), "whole": F.col("whole") & F.col("listed")})
+    facts = _chunks(spark, path).mapInArrow(_chunk_facts(_id_bytes(spark, path)), "digest binary, crc long, got long, sound boolean")
+    docs = _read_recipes(spark, path).withColumn("start", F.col("before") + F.col("first"))
 
     @F.pandas_udf("long")
     def added(crc: pd.Series, after: pd.Series) -> pd.Series:

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,6 @@ from tidemark.llm.tails import chi2_quantile, chi2_tail
 NAMES = ("size", "word_length", "symbols", "dup_lines", "repeats", "punctuation", "capitals")
 P = len(NAMES)
 COVER = 0.75
-MOST_STEPS = 20
 FALLS = 1e-3  # by which a step's log determinant has to be less
 ACCURACY = 2000  # of percentiles
 LEAST = 2 * P + 1  # documents without which a group can have no estimate; smaller ones are pooled
@@ -185,9 +185,9 @@ class _Estimates:
         return self.small(centre.join(signs, _GROUP, "left").mapInPandas(_started, _MODEL), "start").drop("was")
 
     def settled(self) -> DataFrame:
-        """The model of least determinant of each group."""
+        """The model of least determinant of each group. Every step that goes on lowers a determinant by FALLS, so there is a last one."""
         model, done = self.starts(), []
-        for step in range(1, MOST_STEPS + 1):
+        for step in count(1):
             far = self.on_group(model).withColumn("d2", F.expr(_distance())).select(*_GROUP, *NAMES, *_INVERSE, "start", "live", "logdet", "d2")
             reach = self.quantile(far, "d2", COVER, f"reach_{step}", ("start",)).withColumnRenamed(f"reach_{step}", "reach")
             new = self.small(_summed(far.join(reach, [*_GROUP, "start"]).where("d2 <= reach")), f"model-{step}")
@@ -196,7 +196,7 @@ class _Estimates:
             model = new.where(falls).drop("was")
             if not model.limit(1).count():
                 break
-        done = reduce(DataFrame.unionByName, [*done, model])
+        done = reduce(DataFrame.unionByName, done)
         best = done.groupBy(*_GROUP).agg(F.min_by(F.struct(*done.columns[2:]), F.struct("logdet", "start")).alias("best"))
         return self.small(best.select(*_GROUP, "best.*"), "settled")
 
