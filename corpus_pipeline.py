@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, numbered
+from tidemark.llm.common import Scratch, closing, numbered
 from tidemark.llm.linear_grouping import pack
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.secret_scan import redact
@@ -54,11 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents. What a stage but the last has written for itself goes once its result stands."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        docs = scratch.save(stage(spark, docs, sf_dir), f"stage-{k}")
+        with closing():
+            docs = scratch.save(stage(spark, docs, sf_dir), f"stage-{k}")
         if k:
             scratch.drop(f"stage-{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
