@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.timebars import epoch_micros
+from tidemark.operators.order import sums_upto
 
 HORIZONS = (1, 5, 10)
 # What a column's name says about it.
@@ -56,6 +58,42 @@ def stability_index(df: DataFrame, column: str, is_test: Column, edges: list[flo
     return shares.agg(F.round(F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))), 6).alias("psi"))
 
 
+def drift(df: DataFrame, columns: list[str], is_test: Column, bins: int = 10, alpha: float = 0.05) -> DataFrame:
+    """A row for each numeric column: n_train, n_test, ks, ks_limit, drifted, psi, of the two parts' values; nulls are left out.
+
+    ks is the exact two-sample Kolmogorov-Smirnov distance: both parts' counts by value are summed
+    up to every value, all columns at once, over value ranges. Beyond ks_limit parts of these sizes
+    differ at level alpha. psi is the stability index over bins between the training part's
+    quantiles, with half a row added to each count. Both are null where a part has no value.
+    """
+    long = unpivoted(df.withColumn("_test", is_test), ["_test"], columns).where("x is not null")
+    counts = long.groupBy("column", "x").agg(F.count(F.when(~F.col("_test"), 1)).alias("_a"), F.count(F.when(F.col("_test"), 1)).alias("_b"))
+    upto = sums_upto(counts, ["column"], "x", {"_ua": "_a", "_ub": "_b"})
+    sizes = counts.groupBy("column").agg(F.sum("_a").alias("n_train"), F.sum("_b").alias("n_test"))
+    placed = upto.join(sizes, "column")
+    apart = F.abs(F.try_divide(F.col("_ua"), F.col("n_train")) - F.try_divide(F.col("_ub"), F.col("n_test")))
+    before = F.floor(F.try_divide(bins * (F.col("_ua") - F.col("_a")), F.col("n_train")))
+    binned = placed.groupBy("column", "n_train", "n_test", F.least(before, F.lit(bins - 1)).alias("_bin")).agg(F.max(apart).alias("_ks"), F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    p, q = (F.col("_a") + 0.5) / (F.col("n_train") + 0.5), (F.col("_b") + 0.5) / (F.col("n_test") + 0.5)
+    both = (F.col("n_train") > 0) & (F.col("n_test") > 0)
+    found = binned.groupBy("column", "n_train", "n_test").agg(F.round(F.max("_ks"), 6).alias("ks"), F.round(F.sum((q - p) * F.log(q / p)), 6).alias("_psi"))
+    limit = math.sqrt(-math.log(alpha / 2) / 2) * F.sqrt((F.col("n_train") + F.col("n_test")) / (F.col("n_train") * F.col("n_test")))
+    found = found.withColumn("ks_limit", F.when(both, F.round(limit, 6)))
+    return found.select("column", "n_train", "n_test", "ks", "ks_limit", (F.col("ks") > F.col("ks_limit")).alias("drifted"), F.when(both, F.col("_psi")).alias("psi"))
+
+
+def row_overlap(train: DataFrame, test: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: n_test, n_seen (rows of test whose columns equal a training row's; nulls are equal), n_seen_distinct and share.
+
+    Rows meet by two hashes of together 96 bits, counted before they meet, so a row that either part repeats is one.
+    """
+    digest = [F.xxhash64(*columns).alias("_h"), F.hash(*columns).alias("_g")]
+    known = train.select(*digest).distinct().withColumn("_seen", F.lit(True))
+    asked = test.groupBy(*digest).agg(F.count(F.lit(1)).alias("n")).join(known, ["_h", "_g"], "left")
+    counted = asked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_test"), F.coalesce(F.sum(F.when(F.col("_seen"), F.col("n"))), F.lit(0)).alias("n_seen"), F.count("_seen").alias("n_seen_distinct"))
+    return counted.withColumn("share", F.round(F.try_divide(F.col("n_seen"), F.col("n_test")), 6))
+
+
 def new_categories(train: DataFrame, test: DataFrame, column: str) -> DataFrame:
     """(column, n): values of the test part that the training part never has."""
     return test.groupBy(column).agg(F.count(F.lit(1)).alias("n")).join(train.select(column).distinct(), column, "left_anti")

@@ -1,7 +1,6 @@
 """Queries: lookups by name and pair, spans, support tables, rules on names and clocks (J09, J10, A39, P04, P20, Q05, S04, T04)."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tidemark.operators import clocks as C
 from tidemark.operators import columns as N
@@ -65,17 +64,24 @@ SELECT r.t, r.p, count(*) AS n, count(*) FILTER (WHERE wrong) AS n_wrong, round(
 FROM r LEFT JOIN k ON k.t = r.t AND k.p = r.p GROUP BY 1, 2"""
 
 
-@query("a39_support_table", _CELLS)
-def a39(spark, d):
-    rows = P.predictions(spark, d).where("pred_label is not null")
+def support(spark, d):
+    rows = P.predictions(spark, d).where("pred_label is not null").withColumn("chunk", F.floor(F.col("event_id") / 500))
     classes = E.class_names(rows, "true_label", "pred_label")
     pairs = classes.select(F.col("label").alias("t")).crossJoin(classes.select(F.col("label").alias("p")))
-    cells = O.cell_streams(rows, pairs, "true_label", "pred_label")
-    over = W.partitionBy("t", "p").orderBy("event_id").rowsBetween(W.unboundedPreceding, 0)
-    scored = cells.withColumn("s", F.sum(F.when(F.col("wrong"), -1).otherwise(1)).over(over))
-    base = scored.groupBy("t", "p").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("wrong"), 1)).alias("n_wrong"), F.round(F.avg(F.col("wrong").cast("int")), 6).alias("rate"), F.max_by("s", "event_id").alias("final_score"))
-    streaks = O.losing_streaks(cells, ["t", "p"], "event_id", "wrong").groupBy("t", "p").agg(F.count(F.lit(1)).alias("n_streaks"), F.max("length").alias("longest"))
-    return base.join(streaks, ["t", "p"], "left").na.fill(0, ["n_streaks", "longest"])
+    return O.support_table(O.cell_streams(rows, pairs, "true_label", "pred_label"), "event_id", "chunk")
+
+
+@query("a39_support_table", _CELLS)
+def a39(spark, d):
+    return support(spark, d).select("t", "p", "n", "n_wrong", "rate", "final_score", "n_streaks", "longest")
+
+
+@query("a39_cell_drawdowns", _CELLS.partition("k AS (")[0] + """h AS (SELECT *, greatest(0, max(s) OVER (PARTITION BY t, p ORDER BY event_id)) AS peak, max(s) OVER (PARTITION BY t, p) AS top FROM r),
+e AS (SELECT t, p, peak, max(peak - s) AS depth, min(event_id) AS first, max(top) > peak AS recovered FROM h WHERE s < peak GROUP BY 1, 2, 3),
+f AS (SELECT *, row_number() OVER (PARTITION BY t, p ORDER BY depth DESC, first) AS k FROM e)
+SELECT a.t, a.p, count(peak) AS n_drawdowns, CAST(coalesce(max(depth), 0) AS BIGINT) AS deepest, bool_or(recovered) FILTER (WHERE k = 1) AS recovered FROM (SELECT DISTINCT t, p FROM r) a LEFT JOIN f ON a.t = f.t AND a.p = f.p GROUP BY 1, 2""")
+def a39b(spark, d):
+    return support(spark, d).select("t", "p", "n_drawdowns", "deepest", "recovered")
 
 
 @query("q05_resolved_clocks", "SELECT p_partkey, CAST(greatest(p_size, 30) AS INTEGER) AS clock, p_size > 30 AS warned FROM part")

@@ -37,6 +37,19 @@ def w02(spark, d):
     return O.onset(events(spark, d), ["user_id"], ["ts", "event_id"], "event_type", "event_id").select("event_id", "onset")
 
 
+#: All events as one series, in chunks of ids.
+_ALL = "ORDER BY event_id"
+
+
+def one_series(spark, d):
+    return events(spark, d).withColumns({"all": F.lit(1), "chunk": F.floor(F.col("event_id") / 500)})
+
+
+@query("w02_onset_two_level", f"WITH x AS (SELECT *, lag(event_type) OVER ({_ALL}) IS DISTINCT FROM event_type AS c FROM events) SELECT event_id, last_value(CASE WHEN c THEN event_id END IGNORE NULLS) OVER ({_ALL} ROWS UNBOUNDED PRECEDING) AS onset FROM x")
+def w02b(spark, d):
+    return O.onset(one_series(spark, d), ["all"], ["event_id"], "event_type", "event_id", "chunk").select("event_id", "onset")
+
+
 _STREAKS = f"WITH x AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) - sum(CASE WHEN {_WRONG} THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events), s AS (SELECT user_id, count(*) AS length, min(ts) AS first, max(ts) AS last FROM x WHERE {_WRONG} GROUP BY user_id, g)"
 
 
@@ -45,6 +58,11 @@ def w03(spark, d):
     return O.losing_streaks(events(spark, d), ["user_id"], "ts", "wrong")
 
 
+@query("w03_losing_streaks_two_level", f"WITH x AS (SELECT *, row_number() OVER ({_ALL}) - sum(CASE WHEN {_WRONG} THEN 1 ELSE 0 END) OVER ({_ALL}) AS g FROM events), s AS (SELECT count(*) AS length, min(event_id) AS first, max(event_id) AS last FROM x WHERE {_WRONG} GROUP BY g) SELECT *, CAST(row_number() OVER (ORDER BY length DESC, first) AS INTEGER) AS place FROM s")
+def w03b(spark, d):
+    return O.losing_streaks(one_series(spark, d), ["all"], "event_id", "wrong", "chunk").drop("all")
+
+
 _SCORES = f"WITH x AS (SELECT *, sum(CASE WHEN {_WRONG} THEN -1 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM events), p AS (SELECT *, greatest(max(s) OVER (PARTITION BY user_id ORDER BY ts), 0) AS peak, max(s) OVER (PARTITION BY user_id) AS top FROM x)"
 
 
@@ -75,6 +93,13 @@ def w05(spark, d):
     return x.select("user_id", F.round("trough", 3).alias("trough"), "first", "last", "n_rows")
 
 
+@query("w05_money_drawdown_two_level", _EQUITY.replace("PARTITION BY user_id ORDER BY ts", _ALL) + f", q AS (SELECT *, equity - peak AS dd FROM p), r AS (SELECT *, sum(CASE WHEN dd < 0 THEN 0 ELSE 1 END) OVER ({_ALL}) AS g FROM q) SELECT round(min(dd), 3) AS trough, min(event_id) AS first, max(event_id) AS last, count(*) AS n_rows FROM r WHERE dd < 0 GROUP BY g")
+def w05b(spark, d):
+    gain = F.when(F.col("event_type") == "purchase", F.col("value")).when(F.col("event_type") == "error", -F.col("value")).otherwise(0.0)
+    summed = running(one_series(spark, d).withColumn("gain", gain), ["all"], "chunk", ["event_id"], {"equity": ("sum", "gain")}).withColumn("equity", F.round("equity", 4))
+    return O.drawdown_episodes(summed, ["all"], "event_id", "equity", "chunk").select(F.round("trough", 3).alias("trough"), "first", "last", "n_rows")
+
+
 @query("w06_cell_streams", """
 WITH p AS (SELECT event_id, user_id, ts, event_type AS t, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
 c AS (SELECT DISTINCT event_type AS c FROM events)
@@ -118,6 +143,16 @@ def w11(spark, d):
     return x.select("event_id", *(F.round(c, 5).alias(c) for c in ("z", "minmax", "change", "first100", "rank100")))
 
 
+@query("w11_normalised_two_level", """
+SELECT event_id, round((value - avg(value) OVER u) / stddev_pop(value) OVER u, 5) AS z, round((value - min(value) OVER u) / (max(value) OVER u - min(value) OVER u), 5) AS minmax,
+ round(CASE WHEN lag(value) OVER o <> 0 THEN value / lag(value) OVER o - 1 END, 5) AS change, round(CASE WHEN first_value(value) OVER o > 0 THEN value / first_value(value) OVER o * 100 END, 5) AS first100,
+ round((rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2.0) / count(*) OVER u * 100, 5) AS rank100
+FROM events WINDOW u AS (), o AS (ORDER BY event_id)""")
+def w11b(spark, d):
+    x = O.normalised(one_series(spark, d), ["all"], ["event_id"], "value", "chunk")
+    return x.select("event_id", *(F.round(c, 5).alias(c) for c in ("z", "minmax", "change", "first100", "rank100")))
+
+
 @query("w12_row_ids", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS unique_index FROM events")
 def w12(spark, d):
     return R.row_ids(events(spark, d).select("event_id", "ts"), ["ts", "event_id"]).select("event_id", "unique_index")

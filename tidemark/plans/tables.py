@@ -293,6 +293,27 @@ def q09b(spark, d):
     return Q.stability_index(events(spark, d), "value", F.col("user_id") % 3 == 0, [5.0, 15.0, 40.0])
 
 
+_PARTS = "l AS (UNPIVOT (SELECT l_orderkey % 4 = 0 AS test, CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice, CAST(l_discount AS DOUBLE) AS l_discount, CASE WHEN l_linenumber > 2 THEN CAST(l_suppkey + CASE WHEN l_orderkey % 4 = 0 THEN 2 ELSE 0 END AS DOUBLE) END AS moved FROM lineitem) ON l_quantity, l_extendedprice, l_discount, moved INTO NAME \"column\" VALUE x)"
+
+
+@query("q09_ks", f"WITH {_PARTS}" + """, c AS (SELECT "column", x, count(*) FILTER (WHERE NOT test) AS a, count(*) FILTER (WHERE test) AS b FROM l GROUP BY 1, 2),
+u AS (SELECT *, sum(a) OVER w AS ua, sum(b) OVER w AS ub, sum(a) OVER (PARTITION BY "column") AS na, sum(b) OVER (PARTITION BY "column") AS nb FROM c WINDOW w AS (PARTITION BY "column" ORDER BY x)),
+k AS (SELECT "column", na, nb, least(9, floor(10 * (ua - a) / na)) AS bin, max(abs(ua / na - ub / nb)) AS ks, (sum(a) + 0.5) / (na + 0.5) AS p, (sum(b) + 0.5) / (nb + 0.5) AS q FROM u GROUP BY 1, 2, 3, 4),
+r AS (SELECT "column", CAST(na AS BIGINT) AS n_train, CAST(nb AS BIGINT) AS n_test, round(max(ks), 6) AS ks, round(sqrt(-ln(0.025) / 2) * sqrt((na + nb) / (na * nb)), 6) AS ks_limit, round(sum((q - p) * ln(q / p)), 6) AS psi FROM k GROUP BY 1, na, nb)
+SELECT *, ks > ks_limit AS drifted FROM r""")
+def q09d(spark, d):
+    """Four columns of lines in one pass, the last of which moves between the parts."""
+    lines = table(spark, d, "lineitem").withColumn("test", F.col("l_orderkey") % 4 == 0)
+    moved = F.when(F.col("l_linenumber") > 2, F.col("l_suppkey") + F.when(F.col("test"), 2).otherwise(0))
+    return Q.drift(lines.withColumn("moved", moved), ["l_quantity", "l_extendedprice", "l_discount", "moved"], F.col("test"))
+
+
+@query("q09_row_overlap", "WITH k AS (SELECT DISTINCT l_suppkey, l_quantity, l_returnflag FROM lineitem WHERE l_orderkey % 4 <> 0), t AS (SELECT l_suppkey, l_quantity, l_returnflag, count(*) AS n FROM lineitem WHERE l_orderkey % 4 = 0 GROUP BY ALL), j AS (SELECT t.n, k.l_suppkey IS NOT NULL AS seen FROM t LEFT JOIN k ON t.l_suppkey = k.l_suppkey AND t.l_quantity = k.l_quantity AND t.l_returnflag = k.l_returnflag) SELECT CAST(sum(n) AS BIGINT) AS n_test, CAST(sum(n) FILTER (WHERE seen) AS BIGINT) AS n_seen, count(*) FILTER (WHERE seen) AS n_seen_distinct, round(sum(n) FILTER (WHERE seen) / sum(n), 6) AS share FROM j")
+def q09e(spark, d):
+    lines = table(spark, d, "lineitem")
+    return Q.row_overlap(lines.where("l_orderkey % 4 <> 0"), lines.where("l_orderkey % 4 = 0"), ["l_suppkey", "l_quantity", "l_returnflag"])
+
+
 @query("q09_new_categories", "SELECT p_name, count(*) AS n FROM part WHERE p_partkey % 2 = 1 AND p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 2 = 0 AND p_size < 10) GROUP BY 1")
 def q09c(spark, d):
     p = table(spark, d, "part")

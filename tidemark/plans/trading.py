@@ -209,6 +209,24 @@ def a37(spark, d):
     return counts.selectExpr("stack(3, 'bars', bars, 'gaps', gaps, 'no truth', `no truth`) as (what, n)")
 
 
-@query("w10_wilder_atr")
+def _atr_sql(bars: str, key: str) -> str:
+    over = f"PARTITION BY {key} ORDER BY ts"
+    return f"""WITH RECURSIVE {bars}, c AS (SELECT *, coalesce(lag(close) OVER ({over}), close) AS pc, row_number() OVER ({over}) AS i FROM b),
+t AS (SELECT *, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr FROM c),
+r AS (SELECT {key} AS k, CAST(14 AS BIGINT) AS i, avg(tr) AS atr FROM t WHERE i <= 14 GROUP BY 1 HAVING count(*) = 14
+      UNION ALL SELECT r.k, t.i, (r.atr * 13 + t.tr) / 14 FROM r JOIN t ON t.{key} = r.k AND t.i = r.i + 1)
+SELECT {key}, ts, round(atr, 6) AS atr FROM t LEFT JOIN r ON r.k = t.{key} AND r.i = t.i"""
+
+
+@query("w10_wilder_atr", _atr_sql(_BASE.strip().removeprefix("WITH "), "user_id"))
 def w10(spark, d):
     return T.wilder_atr(bars(spark, d), KEYS, "ts").select("user_id", "ts", F.round("atr", 6).alias("atr"))
+
+
+@query("w10_wilder_atr_two_level", _atr_sql("b AS (SELECT 1 AS \"all\", date_trunc('hour', ts) AS ts, max(value) AS high, min(value) AS low, arg_max(value, event_id) AS close FROM events GROUP BY 2)", '"all"') + "")
+def w10b(spark, d):
+    """Hourly bars of all events as one series, in chunks of days."""
+    e = table(spark, d, "events")
+    hours = e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", "event_id").alias("close"))
+    x = T.wilder_atr(hours.withColumns({"all": F.lit(1), "day": F.to_date("ts")}), ["all"], "ts", chunk="day")
+    return x.select("all", "ts", F.round("atr", 6).alias("atr"))
