@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemark.operators.order import least_hashed
+from tidemark.operators.splits import times_modulo
+
 
 def shares(attr: DataFrame, keys: list[str] = []) -> DataFrame:  # noqa: B006
     """(keys, feature, share): percent of the mean absolute contribution."""
@@ -14,18 +17,28 @@ def shares(attr: DataFrame, keys: list[str] = []) -> DataFrame:  # noqa: B006
 
 
 def stable_shares(attr: DataFrame, boots: int, share: float, seed: int, top: int = 5) -> DataFrame:
-    """(feature, mean, std, top_hits, verdict) over samples of the rows, drawn by hash.
+    """(feature, mean, std, top_hits, verdict) over samples of exactly round(share * rows) rows, drawn by hash.
 
+    Each sample orders rows by a hash of its own, and its threshold is found from histograms of all
+    hashes at once; every contribution is then read once and adds to the samples that have its row.
     solid: among the top in every sample; probable: in at least half; else noise.
     """
-    each = attr.withColumn("boot", F.explode(F.sequence(F.lit(0), F.lit(boots - 1))))
-    drawn = each.where(F.pmod((F.col("row_id") + 1) * 2654435761 + (F.col("boot") + seed) * 1_000_003 * (F.col("row_id") % 101 + 1), F.lit(1000)) < int(share * 1000))
-    by_boot = shares(drawn, ["boot"])
+    rows = attr.select("row_id").distinct()
+    hashes = {f"_h{b}": times_modulo(F.col("row_id"), sample_factor(b + seed)) for b in range(boots)}
+    drawn = least_hashed(rows, hashes, "row_id", round(share * rows.count()))
+    sums = attr.groupBy("feature").agg(*(x for h, own in drawn.items() for x in (F.sum(F.when(own, F.abs("value"))).alias(f"{h}_s"), F.count(F.when(own, F.col("value"))).alias(f"{h}_n"))))
+    each = sums.selectExpr("feature", f"stack({boots}, {', '.join(f'{b}, _h{b}_s, _h{b}_n' for b in range(boots))}) as (boot, s, n)").where("n > 0")
+    by_boot = each.select("boot", "feature", (F.col("s") / F.col("n")).alias("_m")).withColumn("share", 100 * F.try_divide(F.col("_m"), F.sum("_m").over(W.partitionBy("boot"))))
     ranked = by_boot.withColumn("_r", F.rank().over(W.partitionBy("boot").orderBy(F.desc("share"))))
     out = ranked.groupBy("feature").agg(F.avg("share").alias("mean"), F.stddev_samp("share").alias("std"), F.count(F.when(F.col("_r") <= top, 1)).alias("top_hits"))
     return out.withColumn("verdict", F.when(F.col("top_hits") == boots, "solid").when(F.col("top_hits") * 2 >= boots, "probable").otherwise("noise"))
 
 
+def sample_factor(k: int) -> int:
+    """The odd factor that orders rows for the k-th sample."""
+    return (2654435761 * (2 * k + 1) * (2 * k + 1)) % (1 << 32)
+
+
 def agreement(by_model: DataFrame, models: list[str], top: int = 5) -> DataFrame:
     """(feature, a share for each model, mean, n_models with it among their top) of (model, feature, share)."""
     ranked = by_model.withColumn("_in", F.rank().over(W.partitionBy("model").orderBy(F.desc("share"))) <= top)

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemark.operators.scan import running
 
@@ -46,8 +47,8 @@ def average_ranks(df: DataFrame, keys: list[str], column: str, name: str) -> Dat
     return both.select("a.*", (F.col("b._upto") - (F.col("b._n") - 1) / 2).alias(name), F.col("b._of").alias(f"{name}_of"))
 
 
-def order_statistic(df: DataFrame, column: str, place: int) -> tuple[int, int] | None:
-    """The value at a place (from 0) of a whole-number column's sorted values, and how many rows lie below it, by counting in ever finer bins.
+def order_statistic(df: DataFrame, column: str, place: int) -> tuple[int, int, int] | None:
+    """The value at a place (from 0) of a whole-number column's sorted values, how many lie below it and how many equal it, by counting in ever finer bins.
 
     Null if the column has no more than `place` values. At most 4097 counts come to the driver at a time.
     """
@@ -55,16 +56,16 @@ def order_statistic(df: DataFrame, column: str, place: int) -> tuple[int, int] |
     facts = own.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     if not 0 <= place < facts["n"]:
         return None
-    low, high, below = facts["lo"], facts["hi"], 0
-    while low < high:
+    found, below = facts, 0
+    while found["lo"] < found["hi"]:
+        low, high = found["lo"], found["hi"]
         width = (high - low) // 4096 + 1
         bins = own.where(F.col("v").between(low, high)).groupBy(F.floor((F.col("v") - low) / width).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        for r in sorted(bins.collect(), key=lambda r: r["b"]):
-            if below + r["n"] > place:
+        for found in sorted(bins.collect(), key=lambda r: r["b"]):
+            if below + found["n"] > place:
                 break
-            below += r["n"]
-        low, high = r["lo"], r["hi"]
-    return low, below
+            below += found["n"]
+    return found["lo"], below, found["n"]
 
 
 def first_rows(df: DataFrame, n: int, column: str, tie: str) -> Column:
@@ -72,6 +73,42 @@ def first_rows(df: DataFrame, n: int, column: str, tie: str) -> Column:
     found = order_statistic(df, column, n - 1)
     if found is None:
         return F.lit(n > 0)  # all rows, or none
-    value, below = found
-    at = order_statistic(df.where(F.col(column) == value), tie, n - 1 - below)
-    return (F.col(column) < value) | ((F.col(column) == value) & (F.col(tie) <= at[0]))
+    value, below, equal = found
+    if below + equal == n:
+        return F.col(column) <= value
+    last, _, _ = order_statistic(df.where(F.col(column) == value), tie, n - 1 - below)
+    return (F.col(column) < value) | ((F.col(column) == value) & (F.col(tie) <= last))
+
+
+BITS, STEP = 32, 12
+
+
+def least_hashed(ids: DataFrame, hashes: dict[str, Column], id_col: str, n: int) -> dict[str, Column]:
+    """For each named hash (below 2**32) of `ids`, whether a row is among the n least by (hash, id): samples of exactly n ids, all found at once.
+
+    Histograms of all hashes are counted together, and the bin in which the n-th row lies is cut
+    into finer ones until it is one hash. Only those bins come to the driver, a row for each hash.
+    """
+    total = ids.count()
+    if not 0 < n < total:
+        return {name: F.lit(n > 0) for name in hashes}
+    prefix, below, equal, seen = dict.fromkeys(hashes, 0), dict.fromkeys(hashes, 0), dict.fromkeys(hashes, 0), 0
+    hashed = ids.select(id_col, *(c.alias(name) for name, c in hashes.items()))
+    while seen < BITS:
+        step = min(STEP, BITS - seen)
+        shift = BITS - seen - step
+        inside = F.array_compact(F.array(*(F.when(F.shiftright(name, shift + step) == prefix[name], F.struct(F.lit(name).alias("name"), F.shiftright(name, shift).alias("bin"))) for name in hashes)))
+        counts = hashed.select(F.inline(inside)).groupBy("name", "bin").agg(F.count(F.lit(1)).alias("n"))
+        start = F.create_map(*(F.lit(x) for pair in below.items() for x in pair))[F.col("name")]
+        upto = start + F.sum("n").over(W.partitionBy("name").orderBy("bin"))  # a row for each bin, 4096 at most
+        reached = counts.withColumn("upto", upto).where(F.col("upto") >= n).groupBy("name").agg(F.min(F.struct("bin", "upto", "n")).alias("b"))
+        for name, b in ((r["name"], r["b"]) for r in reached.collect()):
+            prefix[name], below[name], equal[name] = b["bin"], b["upto"] - b["n"], b["n"]
+        seen += step
+    out = {}
+    for name, c in hashes.items():
+        out[name] = c <= prefix[name]
+        if below[name] + equal[name] > n:  # several ids have the last hash
+            last, _, _ = order_statistic(hashed.where(F.col(name) == prefix[name]), id_col, n - 1 - below[name])
+            out[name] = (c < prefix[name]) | ((c == prefix[name]) & (F.col(id_col) <= last))
+    return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +14,18 @@ from tidemark.functions.timebars import epoch_micros
 from tidemark.operators.order import sums_upto
 
 HORIZONS = (1, 5, 10)
-# What a column's name says about it.
-CALENDAR_NAMES = ("year", "month", "quarter", "week", "weekofyear", "day", "dayofmonth", "dayofweek", "dayofyear", "date", "time", "datetime", "timestamp", "session")
-FUTURE_NAME = r"(^|_)(fwd|forward|future|next|lead|target)(_|$)"
-LABEL_NAME = r"(^|_)(label|y_true|truth)(_|$)"
+# What a column's name says about it, in lower case. A word at the start or end is set off by _ or a dot.
+CALENDAR_NAMES = ("session", "date", "datetime", "day", "t5", "ts")
+FUTURE_FIRST_WORDS = ("fwd", "forward", "next", "ahead", "lead")
+FUTURE_LAST_WORDS = ("fwd", "future", "ahead", r"lead\d*")
+FUTURE_STARTS = ("signed_ret", "fut_ret", "future_ret")
+LABEL_NAMES = ("label", "primary_label", "weight", "weight_raw", "y")
+LABEL_STARTS = ("label_int", "label_dir", "target", "outcome", "is_label")
+LABEL_FIRST_WORDS = ("y",)
+LABEL_ENDS = ("_at_label",)
+HINTS = ("label", "target")
+HINT_ENDS = ("class",)
+LEAST_PAIRS = 1000
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}"
 
 
@@ -99,22 +108,37 @@ def new_categories(train: DataFrame, test: DataFrame, column: str) -> DataFrame:
     return test.groupBy(column).agg(F.count(F.lit(1)).alias("n")).join(train.select(column).distinct(), column, "left_anti")
 
 
-def name_verdict(name: str, kind: str, allow: tuple[str, ...] = ()) -> tuple[str, str]:
-    """(verdict, reason) of a column from its name and type alone."""
-    import re
+def _says(starts: tuple[str, ...] = (), first: tuple[str, ...] = (), last: tuple[str, ...] = (), ends: tuple[str, ...] = (), whole: tuple[str, ...] = (), within: tuple[str, ...] = ()) -> re.Pattern:
+    """A pattern that finds names by how they start and end, by a first or last word, by the whole name, or by a part."""
+    kinds = [(starts, "^(%s)"), (first, "^(%s)[_.]"), (last, "[_.](%s)$"), (ends, "(%s)$"), (whole, "^(%s)$"), (within, "(%s)")]
+    return re.compile("|".join(shape % "|".join(words) for words, shape in kinds if words))
 
-    low = name.lower().split("__")[-1]
+
+#: In the order in which they are asked.
+NAME_RULES = (
+    (_says(whole=CALENDAR_NAMES), "banned", "calendar"),
+    (_says(starts=FUTURE_STARTS, first=FUTURE_FIRST_WORDS, last=FUTURE_LAST_WORDS), "banned", "named after the future"),
+    (_says(starts=LABEL_STARTS, first=LABEL_FIRST_WORDS, ends=LABEL_ENDS, whole=LABEL_NAMES), "banned", "named after the answer"),
+    (_says(ends=HINT_ENDS, within=HINTS), "suspect", "named after a label"),
+)
+
+
+def own_name(name: str, sources: tuple[str, ...] = ()) -> str:
+    """A column's name without its source's: after the last __, or after the longest known source and _."""
+    if "__" in name:
+        return name.rpartition("__")[2]
+    known = [s for s in sources if name.lower().startswith(s.lower() + "_")]
+    return name[len(max(known, key=len)) + 1 :] if known else name
+
+
+def name_verdict(name: str, kind: str, allow: tuple[str, ...] = (), sources: tuple[str, ...] = ()) -> tuple[str, str]:
+    """(verdict, reason) of a column from its name and type alone; the name counts with its source's name and without."""
     if name in allow:
         return "ok", "allowed"
     if kind.startswith(("timestamp", "date")):
         return "banned", "a time"
-    if low in CALENDAR_NAMES:
-        return "banned", "calendar"
-    if re.search(FUTURE_NAME, low):
-        return "banned", "named after the future"
-    if re.search(LABEL_NAME, low):
-        return "suspect", "named after a label"
-    return "ok", ""
+    asked = {name.lower(), own_name(name, sources).lower()}
+    return next(((verdict, reason) for rule, verdict, reason in NAME_RULES if any(map(rule.search, asked))), ("ok", ""))
 
 
 def unpivoted(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -123,8 +147,11 @@ def unpivoted(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.selectExpr(*keys, f"stack({len(columns)}, {pairs}) as (column, x)")
 
 
-def leak_statistics(df: DataFrame, keys: list[str], price: str, columns: list[str], order: list[str], horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
-    """A row for each column: its correlation with the row number and with returns ahead and behind, in one aggregation."""
+def leak_statistics(df: DataFrame, keys: list[str], price: str, columns: list[str], order: list[str], horizons: tuple[int, ...] = HORIZONS, least: int = 0) -> DataFrame:
+    """A row for each column: its correlation with the row number and with returns ahead and behind, in one aggregation.
+
+    Correlations with returns over no more than `least` rows are null.
+    """
     over = W.partitionBy(*keys).orderBy(*order)
     p = F.col(price)
     ahead = {f"ahead_{h}": F.lead(price, h).over(over) / p - 1 for h in horizons}
@@ -132,7 +159,7 @@ def leak_statistics(df: DataFrame, keys: list[str], price: str, columns: list[st
     returned = df.withColumns({"_rn": F.row_number().over(over), **ahead, **behind})
     long = unpivoted(returned, ["_rn", *ahead, *behind], columns)
     no_nan = lambda c: F.when(~F.isnan(c), c)
-    return long.groupBy("column").agg(F.count("x").alias("n"), F.count_distinct("x").alias("n_distinct"), F.round(no_nan(F.corr("x", "_rn")), 6).alias("time_corr"), *(F.round(no_nan(F.corr("x", n)), 6).alias(n) for n in [*ahead, *behind]))
+    return long.groupBy("column").agg(F.count("x").alias("n"), F.count_distinct("x").alias("n_distinct"), F.round(no_nan(F.corr("x", "_rn")), 6).alias("time_corr"), *(F.when(F.count(F.when(F.col("x").isNotNull() & F.col(n).isNotNull(), 1)) > least, F.round(no_nan(F.corr("x", n)), 6)).alias(n) for n in [*ahead, *behind]))
 
 
 def leak_verdict(stats: DataFrame, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
@@ -152,7 +179,7 @@ def running_id_share(df: DataFrame, keys: list[str], columns: list[str], order:
 
 
 def running_ids(df: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
-    """(column, n_distinct, whole, share, growth): what tells a running id from a measure.
+    """(column, n, n_distinct, whole, share, growth): what tells a running id from a measure.
 
     share: rows at the series' running maximum or least value; growth: how much of the running
     maximum's rise falls into the later half of the series.
@@ -164,20 +191,22 @@ def running_ids(df: DataFrame, keys: list[str], columns: list[str], order: list[
     early = F.max(F.when(F.col("_at") <= F.floor(F.col("_n") / 2) + 1, F.col("_top")))
     each = ranked.groupBy(*keys, "column").agg(F.min("_top").alias("_first"), early.alias("_mid"), F.max("_top").alias("_last"))
     growth = each.groupBy("column").agg((F.sum(F.col("_last") - F.col("_mid")) / F.greatest(F.sum(F.col("_last") - F.col("_first")), F.lit(1.0))).alias("growth"))
-    facts = ranked.groupBy("column").agg(F.count_distinct("x").alias("n_distinct"), F.bool_and(F.col("x") == F.round("x")).alias("whole"), F.avg(((F.col("x") == F.col("_top")) | (F.col("x") == F.col("_least"))).cast("int")).alias("share"))
+    facts = ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("x").alias("n_distinct"), F.bool_and(F.col("x") == F.round("x")).alias("whole"), F.avg(((F.col("x") == F.col("_top")) | (F.col("x") == F.col("_least"))).cast("int")).alias("share"))
     return facts.join(growth, "column")
 
 
-def leak_screen(df: DataFrame, keys: list[str], price: str, columns: list[str], order: list[str], allow: tuple[str, ...] = (), horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
+def leak_screen(df: DataFrame, keys: list[str], price: str, columns: list[str], order: list[str], allow: tuple[str, ...] = (), horizons: tuple[int, ...] = HORIZONS, sources: tuple[str, ...] = (), least: int = LEAST_PAIRS) -> DataFrame:
     """(column, verdict, reason) for each column: what its name and type say comes first, then what was measured.
 
     In order: allowed; a time; calendar; dates written as text; named after the future; named after
-    a label (suspect, unless the measures ban it); follows time; a running id; knows the future.
+    the answer; named after a label (suspect, unless the measures ban it); follows time; a running
+    id; knows the future. Booleans are measured as numbers. Measures over no more than `least` rows
+    say nothing. `sources` are names that column names may start with.
     """
     spark, kinds = df.sparkSession, dict(df.dtypes)
-    named = {c: name_verdict(c, kinds[c], allow) for c in columns}
+    named = {c: name_verdict(c, kinds[c], allow, sources) for c in columns}
     texts = [c for c in columns if kinds[c] == "string" and named[c][1] not in ("allowed", "calendar")]
-    measured = [c for c in columns if named[c][0] != "banned" and named[c][1] != "allowed" and kinds[c] not in ("string", "boolean")]
+    measured = [c for c in columns if named[c][0] != "banned" and named[c][1] != "allowed" and kinds[c] != "string"]
     said = spark.createDataFrame([(k, c, *named[c]) for k, c in enumerate(columns)], "at int, column string, said string, why string")
     found = [spark.createDataFrame([], "column string, verdict string, reason string")]
     if texts:
@@ -185,9 +214,9 @@ def leak_screen(df: DataFrame, keys: list[str], price: str, columns: list[str],
         pairs = ", ".join(f"'{c}', _t{k}" for k, c in enumerate(texts))
         found.append(shares.selectExpr(f"stack({len(texts)}, {pairs}) as (column, share)").where("share > 0.9").selectExpr("column", "'banned' as verdict", "'a date as text' as reason"))
     if measured:
-        verdicts = leak_verdict(leak_statistics(df, keys, price, measured, order, horizons), horizons)
-        whole = [c for c in measured if kinds[c].split("(")[0] not in ("float", "decimal")]
-        ids = running_ids(df, keys, whole, order).where("n_distinct >= 100 and whole and share > 0.95 and growth > 0.2") if whole else verdicts.select("column").where("false")
+        verdicts = leak_verdict(leak_statistics(df, keys, price, measured, order, horizons, least), horizons)
+        whole = [c for c in measured if kinds[c].split("(")[0] not in ("float", "decimal", "boolean")]
+        ids = running_ids(df, keys, whole, order).where(f"n > {least} and n_distinct >= 100 and whole and share > 0.95 and growth > 0.2") if whole else verdicts.select("column").where("false")
         is_id = ids.select("column", F.lit(True).alias("is_id"))
         first = F.col("is_id") & (F.col("reason") != "follows time")
         judged = verdicts.join(is_id, "column", "left").select("column", F.when(first, "banned").otherwise(F.col("verdict")).alias("verdict"), F.when(first, "a running id").otherwise(F.col("reason")).alias("reason"))

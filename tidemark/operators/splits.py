@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.timebars import candle, epoch_micros
+from tidemark.operators.order import first_rows, order_statistic
+
+
+def times_modulo(x: Column, factor: int) -> Column:
+    """x * factor modulo 2**32, in halves of 16 bits, so that no id is too large for it."""
+    low = F.pmod(x.cast("long"), F.lit(1 << 32))
+    upper = F.pmod(F.shiftright(low, 16) * (factor % (1 << 32)), F.lit(1 << 16)) * (1 << 16)
+    return F.pmod(upper + low.bitwiseAND(0xFFFF) * (factor % (1 << 32)), F.lit(1 << 32))
 
 
 def hash_rank(id_: Column, seed: int) -> Column:
     """A number below 2**32 that scatters ids the same in every engine."""
-    return F.pmod(id_ * 2654435761 + seed * 40503, F.lit(1 << 32))
+    return F.pmod(times_modulo(id_, 2654435761) + seed * 40503, F.lit(1 << 32))
 
 
 def with_session(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -25,27 +33,15 @@ def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
 
     Null if the column has none.
     """
-    own = df.select(F.col(column).cast("long").alias("v")).where("v is not null")
-    facts = own.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    if not facts["n"]:
+    n = df.agg(F.count(F.col(column).cast("long")).alias("n")).first()["n"]
+    if not n:
         return None
-    place = share * (facts["n"] - 1)
-    rank, low, high, below = int(place), facts["lo"], facts["hi"], 0
-    while True:
-        width = (high - low) // 4096 + 1
-        bins = own.where(F.col("v").between(low, high)).groupBy(F.floor((F.col("v") - low) / width).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        for r in sorted(bins.collect(), key=lambda r: r["b"]):  # at most 4097 rows
-            if below + r["n"] > rank:
-                break
-            below += r["n"]
-        if r["lo"] == r["hi"]:
-            break
-        low, high = r["lo"], r["hi"]
-    value = r["lo"]
-    if place == rank or below + r["n"] > rank + 1:
+    place = share * (n - 1)
+    value, below, equal = order_statistic(df, column, int(place))
+    if place == int(place) or below + equal > int(place) + 1:
         return float(value)
-    above = own.where(F.col("v") > value).agg(F.min("v").alias("v")).first()["v"]
-    return value + (place - rank) * (above - value)
+    above = df.where(F.col(column) > value).agg(F.min(F.col(column).cast("long")).alias("v")).first()["v"]
+    return value + (place - int(place)) * (above - value)
 
 
 def three_way(df: DataFrame, val: float, test: float, embargo: int, ts: str = "ts") -> DataFrame:
@@ -68,29 +64,37 @@ def three_way(df: DataFrame, val: float, test: float, embargo: int, ts: str = "t
 def bundle_time(df: DataFrame, val: float, test: float, embargo: int, minutes: int = 15, ts: str = "ts") -> DataFrame:
     """df with split by whole candles in time; the last `embargo` sessions before each boundary are left out of the earlier part.
 
-    A part with no more than `embargo` sessions keeps them all.
+    A part with no more than `embargo` sessions keeps them all. Rows without a time are left out.
+    The candles at the cuts are found by counting, so that no task orders them; the driver gets
+    counts and three rows.
     """
-    own = with_session(df, ts).withColumn("_candle", candle(F.col(ts), minutes))
-    candles = own.groupBy("_candle").agg(F.max("session").alias("_s"))
-    ranked = candles.select("_candle", "_s", F.row_number().over(W.orderBy("_candle")).alias("_r"), F.count(F.lit(1)).over(W.partitionBy()).alias("_n"))
-    first, second = F.bround(F.col("_n") * (1 - val - test)), F.bround(F.col("_n") * (1 - test))
-    parted = ranked.withColumn("_p", F.when(F.col("_r") <= first, 0).when(F.col("_r") <= second, 1).otherwise(2))
-    over = W.partitionBy("_p")
-    last, sessions = F.max("_s").over(over), F.size(F.collect_set("_s").over(over))
-    cut = (F.col("_p") < 2) & (sessions > embargo) & (F.col("_s") > last - embargo)
-    named = parted.select("_candle", F.when(cut, "embargo").otherwise(F.element_at(F.array(F.lit("train"), F.lit("val"), F.lit("test")), F.col("_p") + 1)).alias("split"))
-    return own.join(named, "_candle").drop("_candle")
+    own = with_session(df, ts).withColumn("_at", F.floor(epoch_micros(candle(F.col(ts), minutes)) / 60_000_000))
+    candles = own.select("_at").distinct()
+    n = candles.count()
+    cuts = [order_statistic(candles, "_at", round(n * share) - 1) for share in (1 - val - test, 1 - test)]
+    first, second = (cut[0] if cut else -(1 << 62) for cut in cuts)
+    parted = own.withColumn("_p", F.when(F.col("_at") <= first, 0).when(F.col("_at") <= second, 1).otherwise(2))
+    facts = {r["_p"]: r for r in parted.groupBy("_p").agg(F.max("session").alias("last"), F.count_distinct("session").alias("n")).collect()}  # three rows
+    split = F.when(F.col("_at").isNotNull() & (F.col("_p") == 2), "test")
+    for k, name in enumerate(("train", "val")):
+        late = F.col("session") > facts[k]["last"] - embargo if k in facts and facts[k]["n"] > embargo else F.lit(False)
+        split = split.when((F.col("_p") == k) & late, "embargo").when(F.col("_p") == k, name)
+    return parted.where("_at is not null").withColumn("split", split).drop("_at", "_p")
 
 
 def bundle_random(df: DataFrame, val: float, test: float, seed: int, minutes: int = 15, ts: str = "ts") -> DataFrame:
-    """df with split by whole candles at random, of exact sizes."""
-    own = df.withColumn("_candle", candle(F.col(ts), minutes))
-    ids = own.select("_candle").distinct().withColumn("_h", hash_rank(F.unix_seconds(F.col("_candle").cast("timestamp")), seed))
-    n = F.count(F.lit(1)).over(W.partitionBy())
-    ranked = ids.withColumns({"_r": F.row_number().over(W.orderBy("_h", "_candle")), "_n": n})
-    n_test, n_val = F.bround(F.col("_n") * test), F.bround(F.col("_n") * val)
-    named = ranked.select("_candle", F.when(F.col("_r") <= n_test, "test").when(F.col("_r") <= n_test + n_val, "val").otherwise("train").alias("split"))
-    return own.join(named, "_candle").drop("_candle")
+    """df with split by whole candles at random, of exact sizes; rows without a time are left out.
+
+    Candles are hashed, and the hash of the last one in each part is found by counting, so that a
+    row's part follows from its own candle, and no task orders them all.
+    """
+    own = df.withColumn("_at", F.floor(epoch_micros(candle(F.col(ts), minutes)) / 60_000_000)).where("_at is not null")
+    own = own.withColumn("_h", hash_rank(F.col("_at") * 60, seed))
+    candles = own.select("_at", "_h").distinct()
+    n = candles.count()
+    n_test, n_val = round(n * test), round(n * val)
+    split = F.when(first_rows(candles, n_test, "_h", "_at"), "test").when(first_rows(candles, n_test + n_val, "_h", "_at"), "val").otherwise("train")
+    return own.withColumn("split", split).drop("_at", "_h")
 
 
 def random_rows(df: DataFrame, id_col: str, test: float, seed: int) -> DataFrame:

@@ -48,6 +48,22 @@ def a04(spark, d):
     return C.row_spacing(events(spark, d), ["user_id"]).select("user_id", F.round("minutes", 4).alias("minutes"))
 
 
+_TEXTS = f"""WITH s AS (SELECT user_id, ts, event_type AS kind, CASE WHEN event_id % 7 <> 0 THEN strftime({_start(15)}, '%H:%M') END AS quarter, day({_start(60)}) % 2 = 0 AS even FROM events),
+l AS (SELECT user_id, ts, 'kind' AS "column", kind AS x FROM s UNION ALL SELECT user_id, ts, 'quarter', quarter FROM s UNION ALL SELECT user_id, ts, 'even', CAST(even AS VARCHAR) FROM s), p(period) AS (VALUES (1), (3), (5), (15), (30), (60)),
+b AS (SELECT user_id, "column", period, date_trunc('minute', ts) - to_minutes(CAST(((hour(ts) * 60 + minute(ts) - 555) % period + period) % period AS BIGINT)) AS bar, count(DISTINCT x) AS k FROM l, p GROUP BY 1, 2, 3, 4),
+f AS (SELECT "column", period, count(*) FILTER (WHERE k > 0) AS n_bars, bool_and(k <= 1) AS constant FROM b GROUP BY 1, 2) SELECT "column", CAST(coalesce(max(period) FILTER (WHERE constant AND n_bars >= 2), 1) AS INTEGER) AS clock FROM f GROUP BY 1"""
+
+
+@query("a02_text_clocks", _TEXTS)
+def a02t(spark, d):
+    """Clocks of texts with gaps and of a boolean."""
+    from tidemark.functions.timebars import bar_start
+
+    quarter = F.when(F.col("event_id") % 7 != 0, F.date_format(bar_start(F.col("ts"), 15), "HH:mm"))
+    x = events(spark, d).select("user_id", "ts", F.col("event_type").alias("kind"), quarter.alias("quarter"), (F.dayofmonth(bar_start(F.col("ts"), 60)) % 2 == 0).alias("even"))
+    return C.column_clocks(x, ["user_id"], ["kind", "quarter", "even"])
+
+
 @query("w13_value_changes", "WITH s AS (SELECT user_id, ts, value AS v, CASE WHEN event_type = 'view' THEN value END AS seen FROM events), l AS (SELECT user_id, ts, 'v' AS \"column\", v AS x FROM s UNION ALL SELECT user_id, ts, 'seen', seen FROM s), m AS (SELECT *, x <> lag(x) OVER (PARTITION BY user_id, \"column\" ORDER BY ts) AS moved FROM l) SELECT \"column\", count(*) FILTER (WHERE moved) AS n_changes, count(*) AS n_rows FROM m GROUP BY 1")
 def w13(spark, d):
     x = events(spark, d).select("user_id", "ts", F.col("value").alias("v"), F.when(F.col("event_type") == "view", F.col("value")).alias("seen"))
@@ -173,10 +189,13 @@ def a16c(spark, d):
     return A.shares(contributions(spark, d), ["class"]).select("class", "feature", F.round("share", 4).alias("share"))
 
 
-_BOOT = f"""WITH a AS ({_ATTR}), e AS (SELECT a.*, boot FROM a, (SELECT unnest(range(6)) AS boot) WHERE (((row_id + 1) * 2654435761 + (boot + 11) * 1000003 * (row_id % 101 + 1)) % 1000 + 1000) % 1000 < 700),
+_FACTORS = ", ".join(f"({b}, {A.sample_factor(b + 11)})" for b in range(6))
+_DRAWN = f"""x AS (SELECT DISTINCT row_id FROM a), o AS (SELECT row_id, boot, row_number() OVER (PARTITION BY boot ORDER BY row_id * f % 4294967296, row_id) AS k, count(*) OVER (PARTITION BY boot) AS n FROM x, (VALUES {_FACTORS}) AS f(boot, f)),
+e AS (SELECT a.*, boot FROM a JOIN o USING (row_id) WHERE k <= round_even(0.7 * n, 0))"""
+_BOOT = f"""WITH a AS ({_ATTR}), {_DRAWN},
 m AS (SELECT boot, feature, avg(abs(value)) AS m FROM e GROUP BY 1, 2), s AS (SELECT boot, feature, 100 * m / sum(m) OVER (PARTITION BY boot) AS share FROM m), r AS (SELECT *, rank() OVER (PARTITION BY boot ORDER BY share DESC) AS r FROM s),
-o AS (SELECT feature, round(avg(share), 4) AS mean, round(stddev_samp(share), 4) AS std, count(*) FILTER (WHERE r <= 5) AS top_hits FROM r GROUP BY 1)
-SELECT *, CASE WHEN top_hits = 6 THEN 'solid' WHEN top_hits * 2 >= 6 THEN 'probable' ELSE 'noise' END AS verdict FROM o"""
+o2 AS (SELECT feature, round(avg(share), 4) AS mean, round(stddev_samp(share), 4) AS std, count(*) FILTER (WHERE r <= 5) AS top_hits FROM r GROUP BY 1)
+SELECT *, CASE WHEN top_hits = 6 THEN 'solid' WHEN top_hits * 2 >= 6 THEN 'probable' ELSE 'noise' END AS verdict FROM o2"""
 
 
 @query("a17_stable_shares", _BOOT)

@@ -247,21 +247,23 @@ def q01(spark, d):
     return Q.leak_verdict(leaky(spark, d), (1, 5)).select("column", "verdict")
 
 
-_SCREENED = """, s AS (SELECT "column", count(x) AS n, corr(x, rn) AS t, greatest(abs(corr(x, a1)), abs(corr(x, a5))) AS a, greatest(abs(corr(x, b1)), abs(corr(x, b5))) AS b FROM l GROUP BY 1)
+_NAMED = {"label_int": "banned", "dir_at_label": "banned", "signed_ret_3": "banned", "is_label_3": "banned", "outcome": "banned", "weight_raw": "banned", "y": "banned", "fut_ret_5": "banned", "ret_ahead": "banned", "x_lead5": "banned", "src__fwd_ret_5": "banned", "src__session": "banned", "up_future": "banned", "Future_option_Diff": "ok", "fut_spot_spread": "ok", "leading": "ok", "weights": "ok", "label_combined": "suspect", "Flow_State_Label": "suspect", "up_class": "suspect"}
+_SCREENED = """, s AS (SELECT "column", count(x) AS n, corr(x, rn) AS t, greatest(CASE WHEN regr_count(x, a1) > 1000 THEN abs(corr(x, a1)) END, CASE WHEN regr_count(x, a5) > 1000 THEN abs(corr(x, a5)) END, 0) AS a, greatest(CASE WHEN regr_count(x, b1) > 1000 THEN abs(corr(x, b1)) END, CASE WHEN regr_count(x, b5) > 1000 THEN abs(corr(x, b5)) END, 0) AS b FROM l GROUP BY 1)
 SELECT "column", CASE WHEN n > 1000 AND abs(t) > 0.97 THEN 'banned' WHEN a > 0.3 OR (a > 0.1 AND a > 2 * b) THEN 'banned' WHEN a > 0.05 AND a > 2 * b THEN 'suspect' ELSE 'ok' END AS verdict FROM s WHERE "column" <> 'clock'
-UNION ALL SELECT 'day', CASE WHEN avg(CASE WHEN regexp_matches(strftime(ts, '%Y-%m-%d'), '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN 1 ELSE 0 END) > 0.9 THEN 'banned' ELSE 'ok' END FROM events
-UNION ALL SELECT c, v FROM (VALUES ('ts', 'banned'), ('src__session', 'banned'), ('fwd_ret_5', 'banned'), ('state_label', 'suspect'), ('kind', 'ok'), ('clock', 'ok')) AS x(c, v) WHERE (SELECT count(*) FROM events) > 0"""
+UNION ALL SELECT 'day_text', CASE WHEN avg(CASE WHEN regexp_matches(strftime(ts, '%Y-%m-%d'), '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN 1 ELSE 0 END) > 0.9 THEN 'banned' ELSE 'ok' END FROM events
+UNION ALL SELECT c, v FROM (VALUES ('ts', 'banned'), ('kind', 'ok'), ('clock', 'ok'), """ + ", ".join(f"('{c}', '{v}')" for c, v in _NAMED.items()) + """) AS x(c, v) WHERE (SELECT count(*) FROM events) > 0"""
 
 
 @query("q01_leak_screen", _LEAK + _SCREENED)
 def q01s(spark, d):
-    """Names, types and measures together; clock is allowed by hand."""
+    """Names, types and measures together; clock is allowed by hand. Named columns hold the event type, which no measure bans."""
     o = W.partitionBy("user_id").orderBy("ts")
     from tidemark.functions.timebars import epoch_micros
 
     e = events(spark, d)
-    x = e.withColumns({"price": F.col("value") + 1, "peek": F.lead("value").over(o), "mean5": F.avg("value").over(o.rowsBetween(-4, 0)), "clock": epoch_micros(F.col("ts")) / 1e6, "day": F.date_format("ts", "yyyy-MM-dd"), "src__session": F.to_date("ts").cast("string"), "fwd_ret_5": F.lit(1.0), "state_label": F.col("event_type"), "kind": F.col("event_type")})
-    return Q.leak_screen(x, ["user_id"], "price", ["ts", "day", "src__session", "fwd_ret_5", "state_label", "kind", "clock", "peek", "mean5"], ["ts"], ("clock",), (1, 5)).select("column", "verdict")
+    made = {"price": F.col("value") + 1, "peek": F.lead("value").over(o), "mean5": F.avg("value").over(o.rowsBetween(-4, 0)), "clock": epoch_micros(F.col("ts")) / 1e6, "day_text": F.date_format("ts", "yyyy-MM-dd"), "kind": F.col("event_type")}
+    x = e.withColumns(made | {n: F.col("event_type") for n in _NAMED})
+    return Q.leak_screen(x, ["user_id"], "price", ["ts", "day_text", *_NAMED, "kind", "clock", "peek", "mean5"], ["ts"], ("clock",), (1, 5)).select("column", "verdict")
 
 
 @query("q02_price_column", "SELECT count(*) AS n, max(p_retailprice) AS top FROM part")
