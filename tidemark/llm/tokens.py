@@ -23,6 +23,8 @@ _PIECES = {
 _UNSURE = re.compile("[\x1c-\x1f]")
 #: A piece of one kind of letters, which the pre-tokenizers leave whole.
 _LETTERS = re.compile(rf" ?[{_L}]+").fullmatch
+#: Latin-1 texts, which normalizing leaves as they are but for their case.
+_LATIN = re.compile("[\x00-\xff]*").fullmatch
 #: White space but for the space and the line feed.
 _OTHER_SPACE = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Pieces and units of text that a worker remembers (100 to 200 bytes each), and the longest of them.
@@ -54,6 +56,24 @@ class _Remembered(dict):
         return ids
 
 
+class _Words(_Remembered):
+    """What stands between spaces of a lower-cased Latin-1 text, in which the letters are those that Python says are letters.
+
+    Most such units are a word, or a word and the mark that ends its clause, which is cut off by itself.
+    """
+
+    def __init__(self, word: Callable[[str], bytes], other: Callable[[str], bytes]):
+        super().__init__(self._found)
+        self.word, self.other = word, other
+
+    def _found(self, unit: str) -> bytes:
+        if unit.isalpha():
+            return self.word(unit)
+        if unit[-1] in ".,;:!?" and unit[:-1].isalpha():
+            return self[unit[:-1]] + self[unit[-1]]
+        return self.other(unit)
+
+
 class Encoder:
     """Ids as little-endian unsigned 16- or 32-bit bytes; equal to encoding each text whole."""
 
@@ -75,6 +95,7 @@ class Encoder:
             self.cut = _PIECES[self.kind].findall
             self.pieces = _Remembered(self._piece)
             self.units = _Remembered(self._unit)
+            self.words = _Words(self._merged, self._joined)
 
     @staticmethod
     def _kind(spec: dict) -> str | None:
@@ -102,6 +123,10 @@ class Encoder:
         """A piece of letters goes straight to the merges, as the steps before them leave it whole."""
         if self.kind == "word":
             text = text.lower()
+        return self._merged(text)
+
+    def _merged(self, text: str) -> bytes:
+        """Letters, of the case that the model takes, by the merges alone."""
         if not text.isascii():
             text = text.encode("utf-8").decode("latin-1").translate(self.bytes_as)
         elif text[0] == " ":
@@ -121,6 +146,8 @@ class Encoder:
 
     def _encode(self, text: str) -> bytes:
         if self.kind == "word":
+            if _LATIN(text):
+                return b"".join(map(self.words.__getitem__, text.lower().split()))
             return b"".join(map(self.units.__getitem__, text.split()))
         # A space goes with the word after it and a line feed stands alone, unless more white space is next to either.
         if "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith("\n\n") or any(c in text for c in _OTHER_SPACE):
