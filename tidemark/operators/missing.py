@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,6 +82,83 @@ def encode(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     return df.join(codes, column, "left").withColumn(f"{column}_code", F.coalesce("code", F.lit(-1))).drop("code")
 
 
+class _Prepares(HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """What a Preparer and the model fitted by it share: numbers and categories to prepare."""
+
+    categories = Param(Params._dummy(), "categories", "columns of texts that become codes", TypeConverters.toListString)
+    margin = Param(Params._dummy(), "margin", "how far below a column's range its sentinel lies", TypeConverters.toFloat)
+
+    def __init__(self, numbers: list[str] = [], categories: list[str] = [], margin: float = MARGIN):  # noqa: B006
+        super().__init__()
+        self._set(inputCols=list(numbers), categories=list(categories), margin=margin)
+
+    @property
+    def features(self) -> list[str]:
+        """The columns that a learner reads: numbers, and category_code of each category."""
+        return [*self.getOrDefault(self.inputCols), *(f"{c}_code" for c in self.getOrDefault(self.categories))]
+
+
+class Preparer(Estimator, _Prepares):
+    """Learns sentinels and category codes from a training part, as a stage of a pipeline."""
+
+    def _fit(self, dataset: DataFrame) -> PreparerModel:
+        numbers, categories = self.getOrDefault(self.inputCols), self.getOrDefault(self.categories)
+        found = sentinels(dataset, numbers, self.getOrDefault(self.margin)).first().asDict() if numbers else {}
+        model = PreparerModel(numbers, categories, self.getOrDefault(self.margin))
+        model.fitted = {"sentinels": found, "codes": {c: [r[0] for r in category_codes(dataset, c).orderBy("code").select(F.col(c).cast("string")).collect()] for c in categories}}
+        return model
+
+
+class PreparerModel(Model, _Prepares):
+    """Sentinels and codes as they were learnt; saved with a pipeline and replayed wherever it is loaded.
+
+    A category's values come to the driver, so they must be few, as a learner's categories are. A
+    model without a column's codes refuses it rather than inventing some.
+    """
+
+    fitted: dict = {}
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out, columns = dataset, set(dataset.columns)
+        for c in self.getOrDefault(self.categories):
+            if c not in self.fitted.get("codes", {}):
+                raise ValueError(f"no codes were learnt for {c}")
+            code = F.array_position(F.array(*map(F.lit, self.fitted["codes"][c])).cast("array<string>"), F.col(c).cast("string")) - 1
+            out = out.withColumn(f"{c}_code", F.coalesce(code, F.lit(-1)).cast("int"))
+        lost = [c for c in self.getOrDefault(self.inputCols) if c not in columns]
+        if lost:
+            raise ValueError(f"columns are missing: {', '.join(lost)}")
+        return fill_sentinel(out, self.fitted.get("sentinels", {}))
+
+    def write(self) -> MLWriter:
+        return _PreparerWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _PreparerReader()
+
+
+class _PreparerWriter(MLWriter):
+    """Params, and the fitted record, as one JSON object in the model's metadata folder, on whatever storage Spark reads."""
+
+    def __init__(self, model: PreparerModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata={"fitted": self.model.fitted})
+
+
+class _PreparerReader(MLReader):
+    def load(self, path: str) -> PreparerModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = PreparerModel()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        model.fitted = metadata["fitted"]
+        return model
+
+
 def flag_text(column: Column) -> Column:
     """A boolean as True or False, nulls kept."""
     return F.initcap(column.cast("string"))

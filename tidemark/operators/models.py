@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+import random
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,12 +70,71 @@ def cost(scored: DataFrame, true: str, severity: DataFrame | None) -> float:
     return E.trading_cost(E.rank_mistakes(scored, true, "predicted_label", severity)).first()["cost"]
 
 
-def search(train: DataFrame, val: DataFrame, features: list[str], label: str, severity: DataFrame | None, grid: list[dict], kind: str = "forest", weight: str | None = None) -> list[dict]:
-    """Every point of the grid with its validation cost, the cheapest first; refuses an empty validation part."""
-    if val.isEmpty():
-        raise ValueError("a search needs a validation part")
-    tried = [{**point, "cost": cost(score(pipeline(features, label, kind, weight, **point).fit(train), val, label), label, severity)} for point in grid]
-    return sorted(tried, key=lambda x: x["cost"])
+class CostEvaluator(Evaluator):
+    """The trading cost of a scored table: the mistakes' rates times their severities, summed; smaller is better.
+
+    Labels are the codes of a StringIndexer with these names, in the columns _label and prediction.
+    """
+
+    def __init__(self, names: list[str], severity: DataFrame | None = None):
+        super().__init__()
+        self.names, self.severity = names, severity
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        names = F.array(*map(F.lit, self.names))
+        named = dataset.select(*(F.get(names, F.col(c).cast("int")).alias(c) for c in ("_label", "prediction")))
+        return float(E.trading_cost(E.rank_mistakes(named, "_label", "prediction", self.severity)).first()["cost"])
+
+    def isLargerBetter(self) -> bool:
+        return False
+
+    def copy(self, extra=None) -> CostEvaluator:
+        return self  # has no params; a table of severities can't be copied deeply
+
+
+def fingerprint(df: DataFrame) -> str:
+    """Of a table's rows, whatever their order: their number and the sum of their hashes, with the columns' names and types."""
+    digest = df.select(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)").alias("h")).agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("s")).first()
+    return f"{digest['n']}:{digest['s']}:{hashlib.sha256(repr(sorted(df.dtypes)).encode()).hexdigest()[:16]}"
+
+
+def at_edges(best: dict, grid: dict[str, list]) -> list[str]:
+    """Params whose best value is the least or largest of several that were tried: the optimum may lie beyond."""
+    return [name for name, values in grid.items() if len(set(values)) > 1 and best[name] in (min(values), max(values))]
+
+
+def search(train: DataFrame, features: list[str], label: str, severity: DataFrame | None, grid: dict[str, list], fold: str, kind: str = "forest", weight: str | None = None, draw: int | None = None, seed: int = 7, known: dict | None = None, parallelism: int = 2) -> dict:
+    """Cross-validated search for the point of a grid with the least mean trading cost.
+
+    train has a column `fold` of whole numbers from 0; each fold is the validation part once. Points
+    are all of the grid, or `draw` of them at random. Returns fingerprint (of the data, the grid and
+    the folds), points (each with its mean cost and that of each fold, the cheapest first), best,
+    edges (params whose best value ends their range) and skipped: if `known`, an earlier result, has
+    the same fingerprint, it is given back and nothing is trained. Refuses fewer than two folds, as
+    there would be nothing to validate on.
+    """
+    used = train.select(*features, label, fold, *([weight] if weight else []))
+    mark = f"{fingerprint(used)}/{hashlib.sha256(repr((sorted(grid.items()), features, label, fold, kind, weight, draw, seed)).encode()).hexdigest()[:16]}"
+    if known and known.get("fingerprint") == mark:
+        return {**known, "skipped": True}
+    folds = used.agg(F.count_distinct(fold).alias("n"), F.min(fold).alias("lo"), F.max(fold).alias("hi")).first()
+    if folds["n"] < 2 or folds["lo"] != 0 or folds["hi"] != folds["n"] - 1:
+        raise ValueError("a search needs two folds or more, numbered from 0, to validate on")
+    stages = pipeline(features, label, kind, weight).getStages()
+    coder = stages[0].fit(used)  # the classes of all folds
+    ready = stages[1].transform(coder.transform(used)).withColumn("_fold", F.col(fold).cast("int"))
+    names = sorted(grid)
+    points = [dict(zip(names, values, strict=True)) for values in itertools.product(*(grid[n] for n in names))]
+    if draw is not None and draw < len(points):
+        points = random.Random(seed).sample(points, draw)
+    learner = stages[2]
+    maps = [{learner.getParam(n): v for n, v in point.items()} for point in points]
+    validator = CrossValidator(estimator=learner, estimatorParamMaps=maps, evaluator=CostEvaluator(coder.labels, severity), numFolds=folds["n"], foldCol="_fold", parallelism=parallelism)
+    trained = validator.fit(ready)
+    by_point = [{**point, "cost": mean, "spread": std} for point, mean, std in zip(points, trained.avgMetrics, trained.stdMetrics, strict=True)]
+    ordered = sorted(by_point, key=lambda x: (x["cost"], [x[n] for n in names]))
+    best = {n: ordered[0][n] for n in names}
+    return {"fingerprint": mark, "points": ordered, "best": best, "edges": at_edges(best, grid), "skipped": False}
 
 
 def importances(model: PipelineModel, features: list[str]) -> DataFrame:
@@ -90,6 +155,35 @@ def arms(df: DataFrame, splits: dict[str, DataFrame], features: list[str], label
     return out
 
 
+def holdout_scores(arms_: dict[str, DataFrame], ahead: DataFrame, features: list[str], label: str, severity: DataFrame | None, kind: str = "linear") -> list[dict]:
+    """arm, part, macro_f1, cost: one model for each development split, scored on its own test part (dev) and on rows after all of them (forward)."""
+    out = []
+    for arm, parted in arms_.items():
+        model = pipeline(features, label, kind).fit(parted.where("split = 'train'"))
+        for part, rows in (("dev", parted.where("split = 'test'")), ("forward", ahead)):
+            scored = score(model, rows, label)
+            macro = E.per_class(scored, label, "predicted_label", zero=True).where("label = 'MACRO'").first()
+            out.append({"arm": arm, "part": part, "macro_f1": float(macro["f1"] or 0.0), "cost": float(cost(scored, label, severity))})
+    return out
+
+
+#: Differences that count in a verdict: a development score this far above the forward one, and what one arm must be better by.
+INFLATED, BETTER_F1, BETTER_COST = 0.02, 0.005, 0.5
+
+
+def holdout_verdict(scores: list[dict], candidate: str, fallback: str) -> dict:
+    """inflated (the candidate's development score overstates its forward one) and keep: which arm to develop with.
+
+    The candidate must be better forward in macro F1 and in cost; otherwise the fallback is kept,
+    by right if it is better in either, else as a tie.
+    """
+    at = {(s["arm"], s["part"]): s for s in scores}
+    own, new, old = at[candidate, "dev"], at[candidate, "forward"], at[fallback, "forward"]
+    better = lambda a, b: (a["macro_f1"] > b["macro_f1"] + BETTER_F1, a["cost"] < b["cost"] - BETTER_COST)
+    keep = candidate if all(better(new, old)) else fallback
+    return {"inflated": own["macro_f1"] - new["macro_f1"] > INFLATED, "keep": keep, "tied": keep == fallback and not any(better(old, new))}
+
+
 def shuffled(df: DataFrame, label: str, id_col: str, seed: int) -> DataFrame:
     """df with its labels dealt anew: the label of the row that has the same place in another order."""
     from tidemark.operators.splits import hash_rank

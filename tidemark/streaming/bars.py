@@ -28,6 +28,20 @@ def event_stream(spark: SparkSession, path: str, schema, files_per_trigger: int
 
 
 def on_new_datasets(spark: SparkSession, folder: str, schema, checkpoint: str, handle: Callable[[DataFrame, int], None], multi_line: bool = False) -> StreamingQuery:
-    """Call handle with the manifests that are new since the last time; the checkpoint makes it once for each."""
+    """Call handle with the manifests that are new since the last time, and their batch's number.
+
+    The checkpoint makes it once for each, but for a batch whose handling broke off: it comes again,
+    with the same rows under the same number. A handler that writes should therefore write by number
+    (see by_batch).
+    """
     stream = spark.readStream.schema(schema).option("multiLine", multi_line).json(folder)
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def by_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """A handler that writes each batch as a partition batch_id of its own and writes it over if it comes again, so that no row is there twice."""
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+
+    return write
