@@ -89,16 +89,26 @@ def excursions(trades: DataFrame, bars: DataFrame, keys: list[str], ts: str = "t
     return own.withColumns({"mfe": F.greatest(high - F.col("entry_price"), F.lit(0.0)), "mae": F.greatest(F.col("entry_price") - low, F.lit(0.0))}).drop("_hi", "_lo")
 
 
-def equity_curve(bars: DataFrame, trades: DataFrame, keys: list[str], versions: DataFrame, ts: str = "ts") -> DataFrame:
-    """(keys, version, ts, lots, gross): after each bar, open trades at its close and closed ones at their fills; for each of the strategies that trades."""
+def equity_curve(bars: DataFrame, trades: DataFrame, keys: list[str], versions: DataFrame, ts: str = "ts", chunk: str | None = None, charge: float | None = None) -> DataFrame:
+    """(keys, version, ts, lots, gross): after each bar, open trades at its close and closed ones at their fills; for each of the strategies that trades.
+
+    With a charge for each trade, due when it closes, also close and net. With a chunk column of
+    bars, whose values ascend with ts, no series has to fit one task; it stays as a column.
+    """
     versions = versions.select("version").join(trades.select("version").distinct(), "version", "left_semi")
     opened = trades.groupBy(*keys, "version", F.col("entry_ts").alias(ts)).agg(F.count(F.lit(1)).alias("_in"), F.sum("entry_price").alias("_paid"))
     closed = trades.groupBy(*keys, "version", F.col("exit_ts").alias(ts)).agg(F.count(F.lit(1)).alias("_out"), F.sum("exit_price").alias("_got"))
     rows = bars.crossJoin(versions).join(opened, [*keys, "version", ts], "left").join(closed, [*keys, "version", ts], "left").na.fill(0, ["_in", "_out"]).na.fill(0.0, ["_paid", "_got"])
-    over = W.partitionBy(*keys, "version").orderBy(ts).rowsBetween(W.unboundedPreceding, 0)
-    lots = F.sum(F.col("_in") - F.col("_out")).over(over)
-    gross = F.col("close") * lots - F.sum("_paid").over(over) + F.sum("_got").over(over)
-    return rows.select(*keys, "version", ts, lots.alias("lots"), gross.alias("gross"))
+    rows = rows.withColumns({"_more": F.col("_in") - F.col("_out"), "_cash": F.col("_got") - F.col("_paid")})
+    sums = {"lots": "_more", "_flow": "_cash", "_done": "_out"}
+    if chunk:
+        rows = running(rows, [*keys, "version"], chunk, [ts], {n: ("sum", c) for n, c in sums.items()})
+    else:
+        over = W.partitionBy(*keys, "version").orderBy(ts).rowsBetween(W.unboundedPreceding, 0)
+        rows = rows.withColumns({n: F.sum(c).over(over) for n, c in sums.items()})
+    gross = F.col("close") * F.col("lots") + F.col("_flow")
+    more = [] if charge is None else [F.col("close"), (gross - F.col("_done") * charge).alias("net")]
+    return rows.select(*keys, "version", ts, "lots", gross.alias("gross"), *more, *([chunk] if chunk else []))
 
 
 def tradebook(trades: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.timebars import candle
+from tidemark.operators import ledger as L
 from tidemark.operators import quality as Q
 from tidemark.operators import trades as T
 from tidemark.plans.registry import query, table
@@ -105,6 +106,23 @@ def t07(spark, d):
     return rounded(T.equity_curve(bars(spark, d).select("user_id", "ts", "close"), trades(spark, d), KEYS, versions(spark)), "gross")
 
 
+_CURVE_SQL = """n AS (SELECT DISTINCT version FROM t), r AS (SELECT b.user_id, b.ts, b.close, n.version FROM b, n),
+c AS (SELECT user_id, version, ts, close, (SELECT count(*) FROM t WHERE t.user_id = r.user_id AND t.version = r.version AND t.entry_ts <= r.ts) - (SELECT count(*) FROM t WHERE t.user_id = r.user_id AND t.version = r.version AND t.exit_ts <= r.ts) AS lots,
+ (SELECT coalesce(sum(CASE WHEN t.exit_ts <= r.ts THEN exit_price ELSE r.close END - entry_price), 0) FROM t WHERE t.user_id = r.user_id AND t.version = r.version AND t.entry_ts <= r.ts) AS gross,
+ (SELECT 0.5 * count(*) FROM t WHERE t.user_id = r.user_id AND t.version = r.version AND t.exit_ts <= r.ts) AS charged FROM r)"""
+
+
+def curve(spark, d):
+    """Curves in chunks of days; money to 4 digits, so that equal levels are equal in every engine."""
+    b = bars(spark, d).select("user_id", "ts", "close", F.to_date("ts").alias("day"))
+    return rounded(T.equity_curve(b, trades(spark, d), KEYS, versions(spark), chunk="day", charge=0.5), "gross", "net")
+
+
+@query("t07_equity_curve_two_level", _TRADES + ", " + _CURVE_SQL + " SELECT user_id, version, ts, lots, round(gross, 4) AS gross, round(gross - charged, 4) AS net FROM c")
+def t07b(spark, d):
+    return curve(spark, d).drop("close", "day")
+
+
 @query("t08_tradebook", _REACH + " SELECT user_id, version, entry_ts, round((epoch(exit_ts) - epoch(entry_ts)) / 60, 4) AS minutes, round(CASE WHEN mfe > 0 THEN points / mfe END, 4) AS capture, net > 0 AS paid, round(sum(net) OVER (PARTITION BY user_id, version ORDER BY entry_ts, exit_ts ROWS UNBOUNDED PRECEDING), 3) AS cum_net FROM x")
 def t08(spark, d):
     t = T.tradebook(T.excursions(trades(spark, d), bars(spark, d), KEYS), KEYS)
@@ -131,6 +149,33 @@ def a21(spark, d):
     return rounded(m, "avg_win", "avg_loss", "best", "worst", "profit_factor").select("version", "n_trades", "n_wins", F.round("gross", 2).alias("gross"), F.round("net", 2).alias("net"), "avg_win", "avg_loss", "best", "worst", "n_forced", F.round("win_rate", 6).alias("win_rate"), "profit_factor")
 
 
+@query("a21_book_metrics", _REACH + """ SELECT version, count(*) AS n_trades, round(sum(net) * 10, 2) AS net_pnl, round(sum(points) * 10, 2) AS gross_pnl, round(CAST(count(*) * 5.0 AS DOUBLE), 2) AS total_charge, count(*) FILTER (WHERE points > 0) AS n_wins_gross, count(*) FILTER (WHERE points < 0) AS n_losses_gross,
+ round(count(*) FILTER (WHERE points > 0) / count(*), 6) AS win_rate_gross, round(sum(points) FILTER (WHERE points > 0) / -sum(points) FILTER (WHERE points < 0), 4) AS profit_factor_gross, round(avg(points) FILTER (WHERE points > 0) * 10, 3) AS avg_win_gross, round(-avg(points) FILTER (WHERE points < 0) * 10, 3) AS avg_loss_gross, round(avg(points) * 10, 3) AS expectancy_gross,
+ count(*) FILTER (WHERE net = 0) AS n_breakeven, round(count(*) * 500.0 / abs(sum(points) * 10), 3) AS charge_pct_of_gross, round(count(*) * 500.0 / (sum(points) FILTER (WHERE points > 0) * 10), 3) AS charge_pct_of_gross_wins,
+ round(avg(epoch(exit_ts) - epoch(entry_ts)) / 60, 3) AS avg_minutes, round(avg(mfe), 4) AS avg_mfe, round(avg(mae), 4) AS avg_mae, round(max(mfe), 4) AS best_mfe, round(max(mae), 4) AS worst_mae, round(sum(points) / sum(mfe) * 100, 3) AS capture_pct, round(avg(mfe) / avg(mae), 4) AS edge_ratio, round(avg(CASE WHEN mfe > 20 THEN 100.0 ELSE 0 END), 3) AS pct_past_breakeven FROM x GROUP BY 1""")
+def a21b(spark, d):
+    m = L.book_metrics(T.excursions(trades(spark, d), bars(spark, d), KEYS), ["version"], 10.0, 20.0)
+    digits = {2: ("net_pnl", "gross_pnl", "total_charge"), 6: ("win_rate_gross",), 4: ("profit_factor_gross", "avg_mfe", "avg_mae", "best_mfe", "worst_mae", "edge_ratio"), 3: ("avg_win_gross", "avg_loss_gross", "expectancy_gross", "charge_pct_of_gross", "charge_pct_of_gross_wins", "avg_minutes", "capture_pct", "pct_past_breakeven")}
+    for n, columns in digits.items():
+        m = rounded(m, *columns, digits=n)
+    return m.select("version", "n_trades", "n_wins_gross", "n_losses_gross", "n_breakeven", *(c for columns in digits.values() for c in columns))
+
+
+@query("a21_exposure", _TRADES + ", " + _CURVE_SQL + """ SELECT version, count(*) AS n_bars, CAST(max(lots) AS BIGINT) AS peak_lots, round(coalesce(avg(lots) FILTER (WHERE lots > 0), 0), 4) AS avg_lots_in_market, round(avg(CASE WHEN lots > 0 THEN 100.0 ELSE 0 END), 3) AS pct_bars_in_market, round(avg(CASE WHEN lots > 1 THEN 100.0 ELSE 0 END), 3) AS pct_bars_multi_lot,
+ round(max(close * lots * 10), 3) AS peak_notional, round(avg(close * lots * 10) FILTER (WHERE close * lots > 0), 3) AS avg_notional_in_market, count(DISTINCT CAST(ts AS DATE)) AS n_days, round(date_diff('hour', min(ts), max(ts)) // 24 / 365.25, 6) AS years FROM c GROUP BY 1""")
+def a21c(spark, d):
+    m = L.exposure_metrics(curve(spark, d), ["version"], 10.0)
+    m = rounded(rounded(m, "pct_bars_in_market", "pct_bars_multi_lot", "peak_notional", "avg_notional_in_market", digits=3), "avg_lots_in_market")
+    return m.withColumns({"years": F.round("years", 6), "peak_lots": F.col("peak_lots").cast("long")}).drop("days_per_year")
+
+
+@query("a21_drawdowns", _TRADES + ", " + _CURVE_SQL + """, eq AS (SELECT *, round(gross - charged, 4) AS net FROM c), p AS (SELECT *, greatest(max(net) OVER w, 0) AS peak FROM eq WINDOW w AS (PARTITION BY user_id, version ORDER BY ts)),
+q AS (SELECT *, net - peak AS dd, sum(CASE WHEN net < peak THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, version ORDER BY ts) AS g FROM p), s AS (SELECT user_id, version, g, min(dd) AS trough FROM q WHERE dd < 0 GROUP BY 1, 2, 3), a AS (SELECT user_id, version, avg(trough) AS t, count(*) AS n FROM s GROUP BY 1, 2)
+SELECT q.user_id, q.version, round(min(dd), 3) AS max_drawdown, round(coalesce(any_value(a.t), 0), 6) AS avg_drawdown, coalesce(any_value(a.n), 0) AS n_drawdowns, round(avg(CASE WHEN dd < 0 THEN 100.0 ELSE 0 END), 3) AS pct_time_in_dd FROM q LEFT JOIN a ON q.user_id = a.user_id AND q.version = a.version GROUP BY 1, 2""")
+def a21d(spark, d):
+    return rounded(L.drawdown_metrics(curve(spark, d), ["user_id", "version"], chunk="day"), "max_drawdown", "pct_time_in_dd", digits=3).withColumn("avg_drawdown", F.round("avg_drawdown", 6))
+
+
 _DAILY = _TRADES + ", y AS (SELECT version, CAST(exit_ts AS DATE) AS day, sum(net) AS net FROM t GROUP BY 1, 2), z AS (SELECT version, day, sum(net) OVER (PARTITION BY version ORDER BY day) AS equity FROM y)"
 
 
@@ -151,6 +196,21 @@ def a23(spark, d):
     return rounded(T.period_stats(trades(spark, d), ["version"], "year"), "net", digits=2)
 
 
+_MONTHS = _TRADES + ", " + _CURVE_SQL + """, eq AS (SELECT *, strftime(ts, '%Y-%m') AS period, round(gross, 4) AS g, round(gross - charged, 4) AS net FROM c), z AS (SELECT user_id, version, period, arg_max(net, ts) AS fin, arg_max(g, ts) AS fing, count(DISTINCT CAST(ts AS DATE)) AS sessions FROM eq GROUP BY 1, 2, 3),
+y AS (SELECT *, coalesce(lag(fin) OVER w, 0) AS beg, coalesce(lag(fing) OVER w, 0) AS begg FROM z WINDOW w AS (PARTITION BY user_id, version ORDER BY period)),
+hh AS (SELECT eq.*, beg, greatest(beg, max(net) OVER (PARTITION BY eq.user_id, eq.version, eq.period ORDER BY ts)) AS high FROM eq JOIN y USING (user_id, version, period)),
+l AS (SELECT user_id, version, period, min(net - high) AS dd, min((1000 + net) / (1000 + high) - 1) * 100 AS ddp FROM hh GROUP BY 1, 2, 3),
+kk AS (SELECT user_id, version, strftime(exit_ts, '%Y-%m') AS period, count(*) AS trades, count(*) FILTER (WHERE net > 0) AS wins, count(*) * 0.5 AS charges FROM t GROUP BY 1, 2, 3)
+SELECT user_id, version, period, sessions, coalesce(trades, 0) AS trades, coalesce(wins, 0) AS wins, round(CAST(coalesce(charges, 0) AS DOUBLE), 3) AS charges, round(dd, 3) AS max_dd, round(ddp, 4) AS max_dd_pct, round(fing - begg, 3) AS gross_pnl, round(fin - beg, 3) AS net_pnl, round((fin - beg) / 10, 4) AS return_pct FROM y JOIN l USING (user_id, version, period) LEFT JOIN kk USING (user_id, version, period)"""
+
+
+@query("a23_period_curves", _MONTHS)
+def a23b(spark, d):
+    """Months, as the tables have one year; each starts from where the one before ended."""
+    p = L.period_curves(curve(spark, d), trades(spark, d), ["user_id", "version"], 1000.0, "month")
+    return rounded(rounded(p, "charges", "max_dd", "gross_pnl", "net_pnl", digits=3), "max_dd_pct", "return_pct").drop("gross_return_pct", "win_rate_pct")
+
+
 @query("a24_monthly_grid", _TRADES + " SELECT version, CAST(year(exit_ts) AS INTEGER) AS year, " + ", ".join(f"round(sum(net) FILTER (WHERE month(exit_ts) = {k}), 2) AS m{k}" for k in range(1, 13)) + " FROM t GROUP BY 1, 2")
 def a24(spark, d):
     return rounded(T.month_grid(trades(spark, d), ["version"]), *(f"m{k}" for k in range(1, 13)), digits=2)
@@ -171,6 +231,22 @@ def a26(spark, d):
     return rounded(x, "wrong_cost", "missed_cost").select("user_id", "version", "n_wrong_entries", "wrong_cost", "n_missed", "missed_cost")
 
 
+@query("a26_cost_decomposition", _MISSED + """, m AS (SELECT user_id, ts, truth, sig, row_number() OVER o AS bar, lead(ts) OVER o AS fill_ts, coalesce(lead(open) OVER o, open) AS px, avg(high - low) OVER (PARTITION BY user_id ORDER BY ts ROWS 13 PRECEDING) AS atr, truth IS DISTINCT FROM lag(truth) OVER o OR row_number() OVER o = 1 AS st FROM b WINDOW o AS (PARTITION BY user_id ORDER BY ts)),
+q AS (SELECT *, last_value(CASE WHEN st THEN bar END IGNORE NULLS) OVER w AS k0, last_value(CASE WHEN st THEN px END IGNORE NULLS) OVER w AS p0, last_value(CASE WHEN st THEN atr END IGNORE NULLS) OVER w AS a0 FROM m WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING)),
+j AS (SELECT t.version, t.points, e.truth AS et, coalesce(e.truth IN ('view', 'purchase'), FALSE) OR coalesce(x.truth = 'click', FALSE) AS flip, e.bar - e.k0 AS late, entry_price - e.p0 AS dp, e.a0 FROM t LEFT JOIN q e ON t.user_id = e.user_id AND t.entry_ts = e.fill_ts LEFT JOIN q x ON t.user_id = x.user_id AND t.exit_ts = x.fill_ts AND reason = 'exit'),
+own AS (SELECT version, count(*) FILTER (WHERE et = 'signup') AS n_false, count(*) FILTER (WHERE et = 'signup') * 5.0 AS churn, count(*) FILTER (WHERE flip) AS n_flips, coalesce(sum(abs(points)) FILTER (WHERE flip), 0) * 10 AS wrong, count(*) FILTER (WHERE et = 'click' AND late > 0) AS n_delayed,
+  avg(late) FILTER (WHERE et = 'click') AS db, avg(dp) FILTER (WHERE et = 'click') AS dp, avg(dp / a0) FILTER (WHERE et = 'click' AND a0 > 0) AS da, coalesce(sum(dp) FILTER (WHERE et = 'click'), 0) * 10 AS delay FROM j GROUP BY 1),
+mm AS (SELECT s.version, count(*) AS n, sum(s.points) * 10 AS g, count(*) FILTER (WHERE q.sig = 'signup') AS n_missed, coalesce(sum(greatest(s.points, 0)) FILTER (WHERE q.sig = 'signup'), 0) * 10 AS missed, coalesce(sum(s.points) FILTER (WHERE q.sig = 'signup'), 0) * 10 AS raw FROM s LEFT JOIN q ON s.user_id = q.user_id AND s.entry_ts = q.fill_ts GROUP BY 1)
+SELECT version, n_false, round(CAST(churn AS DOUBLE), 3) AS churn_cost, n_flips, round(wrong, 3) AS wrong_direction_cost, n_delayed, round(db, 4) AS avg_delay_bars, round(dp, 4) AS avg_delay_points, round(da, 4) AS avg_delay_atr, round(delay, 3) AS delay_cost, n AS shadow_trades, round(g, 2) AS shadow_gross, n_missed, round(missed, 3) AS missed_cost, round(raw, 3) AS missed_raw, round(churn + missed + wrong, 2) AS total_error_cost FROM own JOIN mm USING (version)""")
+def a26b(spark, d):
+    """Signups are idle; bars in chunks of days."""
+    over = W.partitionBy("user_id").orderBy("ts").rowsBetween(-13, 0)
+    b = bars(spark, d).withColumns({"atr": F.avg(F.col("high") - F.col("low")).over(over), "day": F.to_date("ts")})
+    x = L.cost_decomposition(trades(spark, d), trades(spark, d, "truth"), b, KEYS, ["click"], ["view", "purchase"], ["signup"], 10.0, atr="atr", chunk="day")
+    x = rounded(rounded(x, "churn_cost", "wrong_direction_cost", "delay_cost", "missed_cost", "missed_raw", digits=3), "shadow_gross", "total_error_cost", digits=2)
+    return rounded(x, "avg_delay_bars", "avg_delay_points", "avg_delay_atr")
+
+
 @query("a27_churn", _BASE + ", x AS (SELECT user_id, sig, last_value(sig IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM b) SELECT user_id, count(sig) AS n_known, count(*) FILTER (WHERE sig <> p) AS n_changes FROM x GROUP BY 1")
 def a27(spark, d):
     return T.churn(bars(spark, d), KEYS)
