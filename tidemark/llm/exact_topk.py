@@ -5,9 +5,11 @@ query reads a list downwards where its weight is positive and upwards where it i
 stretch at a time and all lists in step. What has been read of a vector raises its lower bound
 (unread components count as the list's worst), which is an exact integer; its upper bound lets
 unread ones count as the last that was read. After each stretch the bounds of some vectors tell
-whether a stop is near; if so, those of all are taken, and reading stops when few vectors but the k
-best lower bounds can still qualify. These few are then scored in full, so when to look at all
-bounds decides the work and never the result. Each block's k best per query are merged by Spark.
+whether a stop is near; if so, what was read since the last look is added to the lower bounds of
+all that are left, and vectors that can qualify for no open query any more are dropped. A query's
+reading stops when few vectors but the k best lower bounds can still qualify. These few are then
+scored in full, so when to look at all bounds decides the work and never the result. Each block's
+k best per query are merged by Spark.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ BLOCK, QUERIES = 4096, 32768  # vectors in a block, queries in a block, about
 STEP = 256  # queries that a task bounds at once
 STRETCHES = 12  # in which a list is read
 SOME = 256  # vectors of a block that are bounded after every stretch, about
+WORTH = 0.5  # part of the open queries that must be near a stop for a look at all bounds
 FEW = 20  # times k vectors, or one in FEW of the block, that are worth resolving
 LIMIT = 2.0**61  # that a score's parts may sum to in 64-bit integers
 
@@ -64,13 +67,19 @@ class Lists:
         self.sorted = np.concatenate([upwards[::-1], upwards], axis=1)
         self.some = np.arange(0, n, -(-n // SOME) or 1)  # vectors whose bounds tell when all are worth bounding
         self.read = np.zeros(2, dtype=np.int64)  # entries that queries read, and entries that their lists have
+        self.bounded = 0  # pairs of a query and a vector whose bounds were taken
 
     def _stretches(self) -> list[int]:
+        """Ends of the stretches: short ones first, for tables in which a few entries decide."""
         n = len(self.ids)
-        return sorted({-(-n * k // STRETCHES) for k in range(1, STRETCHES + 1)})
+        return sorted({-(-n * k // STRETCHES) for k in range(1, STRETCHES + 1)} | {-(-n // 64), -(-n // 32)})
 
     def best(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query the ids and scores of its k best, ties to the smaller id, without the query's own id."""
+        """For each query the ids and scores of its k best, ties to the smaller id, without the query's own id.
+
+        `lower` holds the open queries' lower bounds of the vectors that may still qualify for any
+        of them; a look at the bounds adds the entries that were read since the last one.
+        """
         (n, width), out = self.vectors.shape, [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
         queries = queries.astype(np.int64)
         if not n or not len(queries):
@@ -81,41 +90,48 @@ class Lists:
         kind = np.float64 if bound < 2.0**51 else np.int64  # sums of integers below 2**53 are exact in either
         ways = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(kind)
         worst = self.sorted[-1]
-        least = ways @ worst.astype(kind)  # all entries unread
         over = (np.concatenate([self.vectors, self.vectors], axis=1) - worst).astype(kind)  # what an entry is better by
         slack = 1 + bound * 1e-12  # outweighs rounding
         enough = max(FEW * k, n // FEW)
-        open_ = np.arange(len(queries))
+        open_, alive, place, looked = np.arange(len(queries)), np.arange(n), self.place, 0
+        lower = np.repeat((ways @ worst.astype(kind))[:, None], n, axis=1)  # all entries unread
+
+        def unread(places: np.ndarray, to: int) -> np.ndarray:
+            return np.where(places < to, 0, (self.sorted[to - 1] - worst).astype(float))  # at most the last that was read
+
         for to in self._stretches():
-            read = self.place < to
-            seen = np.where(read, over, 0)
-            unread = np.where(read, 0, (self.sorted[to - 1] - worst).astype(float))  # at most the last that was read
-
-            def bounds(asked: np.ndarray, rows: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
-                lower = ways[asked] @ seen[rows].T + least[asked, None]
-                return lower, lower + ways[asked] @ unread[rows].T + slack
-
-            near = open_
-            if to < n:
-                lower, upper = bounds(open_, self.some)
-                near = open_[(upper >= lower.max(axis=1)[:, None]).mean(axis=1) <= 2 * enough / n]
-            lower, upper = bounds(near, slice(None))
-            own = self.ids[None, :] == query_ids[near, None]
+            asked = ways[open_]
+            if to < n and not self._near(asked, over, unread, to, 2 * enough / n):
+                continue
+            lower += asked @ np.where((place >= looked) & (place < to), over[alive], 0).T
+            looked = to
+            upper = lower + asked @ unread(place, to).T + slack
+            own = self.ids[None, alive] == query_ids[open_, None]
             upper[own] = -np.inf
-            lower[own] = np.iinfo(np.int64).min // 2
-            may = upper >= np.partition(lower, -k, axis=1)[:, -k, None] if n > k else ~own  # others cannot qualify any more
+            others = np.where(own, np.iinfo(np.int64).min // 2, lower)
+            may = upper >= np.partition(others, -k, axis=1)[:, -k, None] if len(alive) > k else ~own  # no other can qualify any more
             done = (may.sum(axis=1) <= enough) | (to == n)
             for row in np.flatnonzero(done).tolist():
-                few = np.flatnonzero(may[row])
-                score = self.vectors[few] @ queries[near[row]]
+                few = alive[may[row]]
+                score = self.vectors[few] @ queries[open_[row]]
                 top = np.lexsort((self.ids[few], -score))[:k]
-                out[near[row]] = (self.ids[few][top], score[top])
+                out[open_[row]] = (self.ids[few][top], score[top])
             self.read += int(done.sum()) * width * np.array([to, n])
-            open_ = np.setdiff1d(open_, near[done], assume_unique=True)
+            self.bounded += len(open_) * len(alive)
+            open_ = open_[~done]
             if not len(open_):
                 break
+            keep = (may | own)[~done].any(axis=0)
+            alive, place, lower = alive[keep], place[keep], lower[~done][:, keep]
         return out
 
+    def _near(self, asked: np.ndarray, over: np.ndarray, unread, to: int, share: float) -> bool:
+        """Whether some vectors' bounds say that the candidates of a part of the queries are few by now."""
+        place = self.place[self.some]
+        lower = asked @ np.where(place < to, over[self.some], 0).T
+        upper = lower + asked @ unread(place, to).T
+        return ((upper >= lower.max(axis=1)[:, None]).mean(axis=1) <= share).mean() >= WORTH
+
 
 def _block_best(k: int, width: int):
     def run(key: tuple, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
