@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,6 +166,11 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def calibration(raw: DataFrame) -> IsotonicRegressionModel:
+    """The non-decreasing step from raw probabilities to shares of label 1 that is nearest to `raw` (raw, label)."""
+    return IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw)
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with `score` (0 to 1) for every row; columns of docs stay, whatever their names, but for one named score.
 
@@ -195,7 +200,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample:
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=64, seed=7, cacheNodeIds=False).fit(fitted.where(learns))
     probability = vector_to_array("probability")[1]
     raw = trees.transform(fitted.where(calibrates)).select("label", probability.alias("raw"))
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw)
+    curve = calibration(raw)
     scored = trees.transform(featured.withColumn("features", array_to_vector("_features"))).withColumn("raw", probability)
     return curve.transform(scored).select(*back, F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score"))
 
