@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tidemark.operators import clocks as C
+from tidemark.operators import quality as Q
+
 REQUIRED = ("version", "rows", "n_features", "schema", "feature_columns", "class_distribution", "no_peek", "status", "fingerprint")  # fixed values
 
 
@@ -33,7 +36,7 @@ def selection(catalog: DataFrame, groups: list[str] = [], names: list[str] = [])
     """Sources by group or name, all if neither is given; refuses what the catalog lacks."""
     if not groups and not names:
         return catalog
-    known = {("g", r["group"]) for r in catalog.select("group").distinct().collect()} | {("n", r["name"]) for r in catalog.where(F.col("name").isin(*names)).collect()}
+    known = {(k, r[c]) for k, c, asked in (("g", "group", groups), ("n", "name", names)) if asked for r in catalog.where(F.col(c).isin(*asked)).select(c).distinct().collect()}  # of what is asked for only
     lost = [x for k, xs in (("g", groups), ("n", names)) for x in xs if (k, x) not in known]
     if lost:
         raise ValueError(f"not in the catalog: {', '.join(lost)}")
@@ -103,6 +106,39 @@ def source_rows(df: DataFrame, name: str, keys: list[str], ts: str = "ts") -> Da
     return df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.struct(F.min(ts).alias("min"), F.max(ts).alias("max")).alias("span"), F.array(*map(F.lit, own)).alias("columns"), F.array(*map(F.lit, text)).cast("array<string>").alias("categorical"), nulls.alias("nulls"))
 
 
+def inspected(df: DataFrame, name: str, keys: list[str], ts: str = "ts", price: str | None = None, order: list[str] | None = None, allow: tuple[str, ...] = (), sources: tuple[str, ...] = ()) -> DataFrame:
+    """A source's whole catalog row: name, rows, span, columns, categorical, nulls, banned, suspect, pre_aligned, clock, clocks and unsure.
+
+    Columns that the leak screen bans are on record with their reasons and in nothing else (without
+    a price column names alone are judged). A table nine tenths of whose columns carry a source's
+    name has been aligned before: its clocks aren't measured. Else clock is the longest of the row
+    spacing and all columns' clocks, and unsure are the columns that change too rarely for theirs to
+    be more than a guess. Refuses a table of which no column is left.
+    """
+    own = [c for c in df.columns if c not in [*keys, ts]]
+    kinds = dict(df.dtypes)
+    if price:
+        judged = Q.leak_screen(df, keys, price, [c for c in own if c != price], order or [ts], allow, sources=sources).where("verdict <> 'ok'").collect()  # a row for each column
+        found = {r["column"]: (r["verdict"], r["reason"]) for r in judged}
+    else:
+        found = {c: v for c in own if (v := Q.name_verdict(c, kinds[c], allow, sources))[0] != "ok"}
+    banned, suspect = ({c: why for c, (v, why) in found.items() if v == verdict} for verdict in ("banned", "suspect"))
+    safe = [c for c in own if c not in banned]
+    if not safe:
+        raise ValueError(f"every column of {name} was refused")
+    as_map = lambda pairs: F.map_from_arrays(*(F.array(*map(F.lit, x)).cast("array<string>") for x in (list(pairs), list(pairs.values()))))
+    pre = sum(Q.own_name(c, sources) != c for c in own) >= max(1, int(0.9 * len(own)))
+    row = source_rows(df.select(*keys, ts, *safe), name, keys, ts).withColumns({"banned": as_map(banned), "suspect": as_map(suspect), "pre_aligned": F.lit(pre)})
+    if pre:
+        return row.withColumns({"clock": F.lit(1), "clocks": F.lit(None).cast("map<string,int>"), "unsure": F.lit(None).cast("array<string>")})
+    clocks = C.column_clocks(df, keys, safe, ts=ts).agg(F.max("clock").alias("_longest"), F.map_from_entries(F.collect_list(F.struct("column", "clock"))).alias("clocks"))
+    unsure = C.clock_report(df, keys, safe, ts).where("not confident").agg(F.array_sort(F.collect_list("column")).alias("unsure"))
+    spacing = C.row_spacing(df, keys, ts).agg(F.max("minutes").alias("_spacing"))
+    whole = row.crossJoin(clocks).crossJoin(unsure).crossJoin(spacing)  # one row each
+    clock = F.greatest(F.ceil(F.coalesce("_spacing", F.lit(1.0))), F.coalesce("_longest", F.lit(1))).cast("int")
+    return whole.withColumn("clock", clock).select(*row.columns, "clock", "clocks", "unsure")
+
+
 def label_change(old: DataFrame, new: DataFrame, label: str) -> DataFrame:
     """(label, n_old, n_new, share_old, share_new) of two label sets."""
     def shares(df: DataFrame, tag: str) -> DataFrame:

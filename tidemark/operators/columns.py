@@ -136,6 +136,70 @@ def detect_roles(names: list[str], aliases: dict[str, list[str]]) -> dict[str, s
     return found
 
 
+# What files call the columns of each role, the likeliest name first, and words that mark a measure of a prediction.
+ROLE_NAMES = {
+    "timestamp": ("timestamp", "datetime", "date_time", "time", "bar_time", "candle_time", "date", "dt", "ts", "index"),
+    "open_interest": ("open_interest", "oi", "openinterest"),
+    "open": ("open", "open_price", "o", "op"),
+    "high": ("high", "high_price", "h", "hi"),
+    "low": ("low", "low_price", "l", "lo"),
+    "close": ("close", "close_price", "adj_close", "last_price", "last", "ltp", "c"),
+    "volume": ("volume", "vol", "traded_volume", "qty", "quantity", "v"),
+    "predicted": ("predicted_label", "predicted", "prediction", "pred_label", "pred", "y_pred", "yhat", "y_hat", "model_label", "model_output", "forecast"),
+    "target": ("target_label", "target", "true_label", "actual_label", "ground_truth", "label", "actual", "y_true", "ytrue", "y"),
+}
+MEASURE_WORDS = ("confidence", "conf", "proba", "probability", "prob", "score", "logit", "pct", "percent", "margin")
+LEAST_PART, MOST_CLASSES, MOSTLY = 3, 32, 0.8
+
+
+def _words(name: str) -> str:
+    return "_" + re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_") + "_"
+
+
+def named_like(columns: list[str], aliases: tuple[str, ...], taken: list[str]) -> list[str]:
+    """Columns that an alias fits, the best first: as the whole name, then as words of it, then (from LEAST_PART letters on) as a part."""
+    free = [(c, _words(c)) for c in columns if c not in taken]
+    single = lambda a, w: a in w.strip("_").split("_")
+    tests = (lambda a, w: w == f"_{a}_", single, lambda a, w: len(a) >= LEAST_PART and a in w)
+    return list(dict.fromkeys(c for fits in tests for a in aliases for c, w in free if fits(a, w)))
+
+
+def detect_schema(df: DataFrame) -> dict[str, str]:
+    """Role to column, by names and then by values: timestamp, prices, volume, predicted and target labels.
+
+    Open interest is claimed before prices, so that it is never an opening price, and predictions
+    before targets. Labels are no measures of a prediction: not so named, and no fractions of more
+    than MOST_CLASSES values. Without a name that says so, the first text or time column that
+    mostly reads as a time is the timestamp. Values are looked at only in columns that it depends on,
+    in one aggregation for each question.
+    """
+    kinds, found = dict(df.dtypes), {}
+
+    def claim(role: str, columns: list[str]) -> None:
+        fits = named_like(columns, ROLE_NAMES[role], list(found.values()))
+        if fits:
+            found[role] = fits[0]
+
+    for role in ("timestamp", "open_interest", "open", "high", "low", "close", "volume"):
+        claim(role, df.columns)
+    if "timestamp" not in found:
+        texts = [c for c, k in df.dtypes if k == "string"]
+        shares = df.select(*(F.avg(F.try_to_timestamp(c).isNotNull().cast("int")).alias(c) for c in texts)).first() if texts else {}
+        times = [c for c, k in df.dtypes if k.startswith(("timestamp", "date")) or (k == "string" and (shares[c] or 0) > MOSTLY)]
+        if times:
+            found["timestamp"] = times[0]
+    prices = {r: c for r, c in found.items() if r != "timestamp"}
+    labels = [c for c in df.columns if not set(_words(c).strip("_").split("_")) & set(MEASURE_WORDS)]
+    asked = {c for role in ("predicted", "target") for c in named_like(labels, ROLE_NAMES[role], []) if kinds[c] in ("double", "float")}
+    if asked:
+        counts = df.agg(*(F.count_distinct(c).alias(c) for c in sorted(asked))).first()
+        labels = [c for c in labels if c not in asked or counts[c] <= MOST_CLASSES]
+    found = {r: c for r, c in found.items() if r == "timestamp"}  # a label may have a price's name
+    for role in ("predicted", "target"):
+        claim(role, labels)
+    return prices | found
+
+
 def label_candidates(df: DataFrame, reserved: list[str], most: int = 32) -> list[str]:
     """Columns that may be labels: not reserved, not fractions, and of at most `most` values (one aggregation)."""
     names = [f.name for f in df.schema.fields if f.name not in reserved and not isinstance(f.dataType, (T.DoubleType, T.FloatType, T.ArrayType))]
@@ -143,10 +207,19 @@ def label_candidates(df: DataFrame, reserved: list[str], most: int = 32) -> list
     return [c for c in names if counts[c] <= most]
 
 
-def first_by_source(catalog: DataFrame, order: list[str], name: str = "column", source: str = "source") -> DataFrame:
-    """One row for each column name, of the source that comes first in order."""
-    place = F.array_position(F.array(*map(F.lit, order)), F.col(source))
-    return catalog.withColumn("_n", F.row_number().over(W.partitionBy(name).orderBy(place, source))).where("_n = 1").drop("_n")
+def first_by_source(catalog: DataFrame, order: list[str] | DataFrame, name: str = "column", source: str = "source") -> DataFrame:
+    """One row for each column name, of the source that comes first in order; sources that the order lacks come last, by name.
+
+    order: names, or a table (source, place) where they are many.
+    """
+    if isinstance(order, list):
+        place = F.array_position(F.array(*map(F.lit, order)), F.col(source))
+        placed = catalog.withColumn("_place", F.when(place > 0, place))
+    else:
+        placed = catalog.join(order.select(F.col("source").alias(source), F.col("place").alias("_place")), source, "left")
+    rest = [c for c in catalog.columns if c != name]
+    first = F.min_by(F.struct(*rest), F.struct(F.col("_place").isNull(), "_place", source)).alias("_first")
+    return placed.groupBy(name).agg(first).select(name, "_first.*").select(*catalog.columns)
 
 
 def schema_changes(now: list[tuple[str, str]], frozen: list[tuple[str, str]]) -> dict[str, list[str]]:

@@ -131,6 +131,17 @@ def p16(spark, d):
     return o.select("o_orderkey", F.col(role["ts"]).alias("ts"), F.col(role["label"]).alias("label"))
 
 
+@query("p16_detected_schema", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS \"timestamp\", value AS \"close\", value - 1 AS \"low\", event_type AS predicted, user_id % 3 AS target FROM events")
+def p16b(spark, d):
+    """Names that clash and values that decide: open interest is no opening price, scores and fractions are no labels, a text of times is the timestamp."""
+    e = events(spark, d)
+    x = e.select("event_id", "user_id", F.col("user_id").alias("Open Interest"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("bar ends"), F.col("value").alias("Adj Close"), (F.col("value") - 1).alias("Low Price"), (F.col("value") / 100).alias("pred_confidence"), (F.col("value") * 2).alias("prediction"), F.col("event_type").alias("Predicted Label"), (F.col("user_id") % 3).alias("label"))
+    role = C.detect_schema(x)
+    if "open" in role or role["open_interest"] != "Open Interest":
+        raise ValueError("open interest was taken for a price")
+    return x.select("event_id", *(F.col(f"`{role[r]}`").alias(r) for r in ("timestamp", "close", "low", "predicted", "target")))
+
+
 @query("p17_renamed", "SELECT r_regionkey AS b__key, r_name AS name FROM region")
 def p17(spark, d):
     r = table(spark, d, "region").select(F.col("r_regionkey").alias("a__key"), F.col("r_name").alias("name"))
@@ -147,11 +158,10 @@ def p18(spark, d):
 
 @query("p19_first_source", "WITH c AS (SELECT DISTINCT p_brand AS source, p_name AS \"column\" FROM part) SELECT \"column\", max(source) AS source FROM c GROUP BY 1")
 def p19(spark, d):
+    """Sources in falling order of their names, as a table."""
     c = table(spark, d, "part").select(F.col("p_brand").alias("source"), F.col("p_name").alias("column")).distinct()
-    brands = [r[0] for r in c.select("source").distinct().orderBy(F.desc("source")).limit(1001).collect()]  # the order of the sources is an argument
-    if len(brands) > 1000:
-        raise ValueError("more sources than an order can be stated for")
-    return C.first_by_source(c, brands)
+    order = R.row_ids(c.select("source").distinct(), ["source"], "n").select("source", (-F.col("n")).alias("place"))
+    return C.first_by_source(c, order)
 
 
 #: Quantities under 5 and one flag count as missing.
@@ -279,6 +289,30 @@ def q04(spark, d):
     return r.select("name", "rows", F.col("span.min").alias("lo"), F.col("span.max").alias("hi"), F.size("columns").alias("n_columns"))
 
 
+_INSPECTED = """WITH s AS (SELECT user_id, ts, CAST(value AS VARCHAR) AS v1, CAST(epoch(date_trunc('minute', ts) - to_minutes(CAST(((hour(ts) * 60 + minute(ts) - 555) % 60 + 60) % 60 AS BIGINT))) AS VARCHAR) AS v60, CASE WHEN event_id % 3 > 0 THEN event_type END AS kind FROM events),
+l AS (SELECT user_id, ts, 'v1' AS "column", v1 AS x FROM s UNION ALL SELECT user_id, ts, 'v60', v60 FROM s UNION ALL SELECT user_id, ts, 'kind', kind FROM s), p(period) AS (VALUES (1), (3), (5), (15), (30), (60)),
+b AS (SELECT user_id, "column", period, date_trunc('minute', ts) - to_minutes(CAST(((hour(ts) * 60 + minute(ts) - 555) % period + period) % period AS BIGINT)) AS bar, count(DISTINCT x) AS k FROM l, p GROUP BY 1, 2, 3, 4),
+f AS (SELECT "column", period, count(*) FILTER (WHERE k > 0) AS n, bool_and(k <= 1) AS constant FROM b GROUP BY 1, 2), c AS (SELECT "column", coalesce(max(period) FILTER (WHERE constant AND n >= 2), 1) AS clock FROM f GROUP BY 1),
+m AS (SELECT *, x <> lag(x) OVER (PARTITION BY user_id, "column" ORDER BY ts) AS moved FROM l),
+r AS (SELECT "column", count(*) FILTER (WHERE moved) >= 20 AND count(DISTINCT CASE WHEN moved THEN ((hour(ts) * 60 + minute(ts) - 555) % 60 + 60) % 60 END) >= 2 AS sure, count(*) FILTER (WHERE x IS NULL) AS nulls FROM m GROUP BY 1)
+SELECT "column", CAST(clock AS INTEGER) AS clock, NOT sure AS unsure, nulls, "column" = 'kind' AS categorical, 2 AS n_banned, 'state_label' AS suspected FROM c JOIN r USING ("column")
+UNION ALL SELECT 'state_label', 60, TRUE, 0, TRUE, 2, 'state_label' FROM (SELECT 1 WHERE (SELECT count(*) FROM events) > 0)"""
+
+
+@query("q04_inspected_source", _INSPECTED)
+def q04b(spark, d):
+    """A table with numbers on two clocks, a text with gaps, two columns that are banned and one that is suspect."""
+    from tidemark.functions.timebars import bar_start
+
+    e = events(spark, d)
+    still = F.unix_seconds(bar_start(F.col("ts"), 60).cast("timestamp")).cast("double")
+    x = e.select("user_id", "ts", F.col("value").alias("v1"), still.alias("v60"), F.when(F.col("event_id") % 3 > 0, F.col("event_type")).alias("kind"), F.lit("x").alias("state_label"), F.lit(1).alias("label_int"), F.lit(2.0).alias("src__fwd_ret_5"))
+    r = K.inspected(x, "events", ["user_id"])
+    each = r.select(F.explode("columns").alias("column"), "clocks", "unsure", "nulls", "categorical", F.size("banned").alias("n_banned"), F.array_join(F.map_keys("suspect"), ",").alias("suspected"))
+    has = lambda c: F.array_contains(c, F.col("column"))
+    return each.select("column", F.col("clocks")[F.col("column")].alias("clock"), has("unsure").alias("unsure"), F.col("nulls")[F.col("column")].alias("nulls"), has("categorical").alias("categorical"), "n_banned", "suspected")
+
+
 @query("q07_label_change", "WITH o AS (SELECT event_type AS label, count(*) AS n_old FROM events WHERE user_id % 2 = 0 GROUP BY 1), w AS (SELECT event_type AS label, count(*) AS n_new FROM events WHERE user_id % 2 = 1 GROUP BY 1) SELECT label, n_old, n_new, round(n_old * 1.0 / sum(n_old) OVER (), 6) AS share_old, round(n_new * 1.0 / sum(n_new) OVER (), 6) AS share_new FROM o FULL JOIN w USING (label)")
 def q07(spark, d):
     e = events(spark, d)
