@@ -73,7 +73,7 @@ def test_cells_are_supported_as_in_a_loop(spark):
             assert r.recovered == (min(falls, key=lambda x: (-falls[x][0], falls[x][1])) < peak)
 
 
-@pytest.mark.parametrize("fan", [4, 64])
+@pytest.mark.parametrize("fan", [4, 256])
 def test_affine_maps_are_a_loop(spark, monkeypatch, fan):
     monkeypatch.setattr(scan, "FAN", fan)
     rng, rows, want = random.Random(fan), [], {}

@@ -25,7 +25,7 @@ def stable_shares(attr: DataFrame, boots: int, share: float, seed: int, top: int
     """
     rows = attr.select("row_id").distinct()
     hashes = {f"_h{b}": times_modulo(F.col("row_id"), sample_factor(b + seed)) for b in range(boots)}
-    drawn = least_hashed(rows, hashes, "row_id", round(share * rows.count()))
+    drawn = least_hashed(rows, hashes, "row_id", float(share))
     sums = attr.groupBy("feature").agg(*(x for h, own in drawn.items() for x in (F.sum(F.when(own, F.abs("value"))).alias(f"{h}_s"), F.count(F.when(own, F.col("value"))).alias(f"{h}_n"))))
     each = sums.selectExpr("feature", f"stack({boots}, {', '.join(f'{b}, _h{b}_s, _h{b}_n' for b in range(boots))}) as (boot, s, n)").where("n > 0")
     by_boot = each.select("boot", "feature", (F.col("s") / F.col("n")).alias("_m")).withColumn("share", 100 * F.try_divide(F.col("_m"), F.sum("_m").over(W.partitionBy("boot"))))

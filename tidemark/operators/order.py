@@ -80,16 +80,18 @@ def first_rows(df: DataFrame, n: int, column: str, tie: str) -> Column:
     return (F.col(column) < value) | ((F.col(column) == value) & (F.col(tie) <= last))
 
 
-BITS, STEP = 32, 12
+BITS, STEP = 32, 16
 
 
-def least_hashed(ids: DataFrame, hashes: dict[str, Column], id_col: str, n: int) -> dict[str, Column]:
+def least_hashed(ids: DataFrame, hashes: dict[str, Column], id_col: str, n: int | float) -> dict[str, Column]:
     """For each named hash (below 2**32) of `ids`, whether a row is among the n least by (hash, id): samples of exactly n ids, all found at once.
 
-    Histograms of all hashes are counted together, and the bin in which the n-th row lies is cut
-    into finer ones until it is one hash. Only those bins come to the driver, a row for each hash.
+    A fraction n is that share of all ids, rounded. Histograms of all hashes are counted together,
+    and the bin in which the n-th row lies is cut into finer ones until it is one hash. Only those
+    bins come to the driver, a row for each hash.
     """
     total = ids.count()
+    n = round(n * total) if isinstance(n, float) else n
     if not 0 < n < total:
         return {name: F.lit(n > 0) for name in hashes}
     prefix, below, equal, seen = dict.fromkeys(hashes, 0), dict.fromkeys(hashes, 0), dict.fromkeys(hashes, 0), 0
@@ -100,7 +102,7 @@ def least_hashed(ids: DataFrame, hashes: dict[str, Column], id_col: str, n: int)
         inside = F.array_compact(F.array(*(F.when(F.shiftright(name, shift + step) == prefix[name], F.struct(F.lit(name).alias("name"), F.shiftright(name, shift).alias("bin"))) for name in hashes)))
         counts = hashed.select(F.inline(inside)).groupBy("name", "bin").agg(F.count(F.lit(1)).alias("n"))
         start = F.create_map(*(F.lit(x) for pair in below.items() for x in pair))[F.col("name")]
-        upto = start + F.sum("n").over(W.partitionBy("name").orderBy("bin"))  # a row for each bin, 4096 at most
+        upto = start + F.sum("n").over(W.partitionBy("name").orderBy("bin"))  # a row for each bin, 65536 at most
         reached = counts.withColumn("upto", upto).where(F.col("upto") >= n).groupBy("name").agg(F.min(F.struct("bin", "upto", "n")).alias("b"))
         for name, b in ((r["name"], r["b"]) for r in reached.collect()):
             prefix[name], below[name], equal[name] = b["bin"], b["upto"] - b["n"], b["n"]

@@ -98,7 +98,7 @@ def _run_pieces(df: DataFrame, keys: list[str], chunk: str, order: list[str], va
     return pieces, met.select(*keys, F.col(chunk), "_goes_on", F.last(own, ignorenulls=True).over(over.rowsBetween(W.unboundedPreceding, -1)).alias("_carry"))
 
 
-FAN = 64
+FAN = 256
 
 
 def affine(df: DataFrame, keys: list[str], index: str, a: str, b: str, name: str) -> DataFrame:
