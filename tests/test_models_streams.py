@@ -94,3 +94,32 @@ def test_a_batch_that_comes_again_is_written_once(spark, tmp_path):
     bars.on_new_datasets(spark, source, schema, state, breaks_off).awaitTermination()
     assert tries == [0, 0, 1]
     assert sorted((r.version, r.rows) for r in spark.read.parquet(out).collect()) == [("v1", 1), ("v2", 2), ("v3", 3)]
+
+
+def test_truth_is_that_of_the_models_label_set(spark, rows):
+    known = rows.na.fill(0.0, ["x"])
+    model = models.pipeline(["x"], "label", "forest", numTrees=2).fit(known)
+    two = known.withColumnsRenamed({"label": "label_L1"}).withColumns({"label_L1": F.concat(F.col("label_L1"), F.lit("  ")), "label_L2": F.lit("z"), "row": F.monotonically_increasing_id()})
+    t = models.scored_table(model, two, "row", "label", {"model": "m1"}, "L1", keep=["fold"])
+    assert t.columns == ["row", "fold", "split", "true_label", "predicted_label", "correct", "proba_a", "proba_b", "model"]
+    for r in t.collect():
+        assert r.true_label in ("a", "b") and r.correct == (r.true_label == r.predicted_label) and r.proba_a + r.proba_b == pytest.approx(1) and (r.split, r.model) == (None, "m1")
+    with pytest.raises(ValueError, match="trained on L3"):
+        models.scored_table(model, two, "row", "label", {}, "L3")
+    none = models.scored_table(model, two.drop("label_L1", "label_L2"), "row", "label", {}, "L1").collect()
+    assert len(none) == 210 and all(r.true_label is None and r.correct is None and r.predicted_label for r in none)
+    assert models.truth_column(["label"], "label", "L1") == "label" and models.truth_column(["label_L1"], "label", None) is None
+
+
+def test_long_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    from tidemark.sources import readers
+
+    for k, n in enumerate((1, 4096, 3_000_001)):
+        (tmp_path / f"sub {k}").mkdir()
+        (tmp_path / f"sub {k}" / "f.bin").write_bytes(bytes(range(256)) * (n // 256) + b"x" * (n % 256))
+    want = sorted(hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.rglob("*.bin"))
+    for whole in (1 << 30, 4000, -1):
+        got = readers.content_hashes(spark, str(tmp_path), whole).collect()
+        assert sorted(r.sha256 for r in got) == want and len({r.path for r in got}) == 3

@@ -66,6 +66,38 @@ def score(model: PipelineModel, df: DataFrame, true: str | None = None) -> DataF
     return out.withColumn("correct", F.col("predicted_label") == F.col(true)) if true else out
 
 
+def truth_column(columns: list[str], label: str, label_set: str | None) -> str | None:
+    """The column that holds a model's truth: label_<set> for the set that it was trained on, or the plain label.
+
+    A table that has other sets' truths and not the model's is refused, as wrong labels would look
+    like a bad model; one without any truth gives None.
+    """
+    tagged = sorted(c for c in columns if c.startswith(f"{label}_"))
+    if label_set and f"{label}_{label_set}" in columns:
+        return f"{label}_{label_set}"
+    if label_set and tagged:
+        raise ValueError(f"the model was trained on {label_set}, the table only has {', '.join(tagged)}")
+    return label if label in columns else None
+
+
+def scored_table(model: PipelineModel, df: DataFrame, id_col: str, label: str, lineage: dict[str, str], label_set: str | None = None, split: str | None = None, keep: list[str] = []) -> DataFrame:  # noqa: B006
+    """id, `keep`, split, true_label, predicted_label, correct, a proba_ column for every class that the model knows, and the lineage as columns.
+
+    The truth is that of the label set that the model was trained on (see truth_column), trimmed;
+    without one, true_label and correct are null, as rows that have no labels yet are scored too. A
+    class that the training part lacked has probability 0. Lineage (which model, on which rows)
+    is the same in every row, so that tables can be put together and told apart.
+    """
+    truth = truth_column(df.columns, label, label_set)
+    named = df.withColumn("true_label", F.trim(F.col(truth).cast("string")) if truth else F.lit(None).cast("string"))
+    coded = named.withColumn(model.stages[0].getInputCol(), F.col("true_label"))
+    scored = score(model, coded)
+    fixed = [F.coalesce(F.col("proba")[c], F.lit(0.0)).alias(f"proba_{c}") for c in model.stages[0].labels]
+    part = F.col(split).cast("string") if split else F.lit(None).cast("string")
+    said = [F.lit(v).alias(k) for k, v in lineage.items()]
+    return scored.select(id_col, *keep, part.alias("split"), "true_label", "predicted_label", (F.col("predicted_label") == F.col("true_label")).alias("correct"), *fixed, *said)
+
+
 def cost(scored: DataFrame, true: str, severity: DataFrame | None) -> float:
     return E.trading_cost(E.rank_mistakes(scored, true, "predicted_label", severity)).first()["cost"]
 

@@ -58,6 +58,16 @@ def by_shipping(spark, d):
 GRID = {"numTrees": [3], "maxDepth": [2, 3, 4]}
 
 
+@query("ml2_scored_table", "SELECT l_orderkey * 8 + l_linenumber AS id, l_returnflag AS true_label, 'forest' AS model, 'lines-v1' AS scored_dataset, 'L1' AS label_set, TRUE AS sums_to_one FROM lineitem")
+def ml2t(spark, d):
+    """All lines with the truth of the set that the model was trained on, of two that they have, every class's probability and the lineage."""
+    x, prepared, model = fitted(spark, d)
+    tagged = x.withColumns({"l_returnflag_L1": F.concat(F.col("l_returnflag"), F.lit(" ")), "l_returnflag_L2": F.lit("other")})
+    t = X.scored_table(model, prepared.apply(tagged).drop("l_returnflag"), "id", "l_returnflag", {"model": "forest", "scored_dataset": "lines-v1", "label_set": "L1"}, "L1", "split")
+    total = sum((F.col(c) for c in t.columns if c.startswith("proba_")), F.lit(0.0))
+    return t.select("id", "true_label", "model", "scored_dataset", "label_set", (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
+
+
 @query("ml3_search_by_cost")
 def ml3(spark, d):
     """Each depth's cost over the folds, which is the best, and whether it ends the grid's range; asked again, nothing is trained."""
@@ -212,6 +222,23 @@ def s14(spark, d):
     return R.content_hashes(spark, d).select("sha256")
 
 
+_NOTEBOOK_CODE = "'x = ' || r_regionkey || chr(10) || 'y = x' || chr(10) || 'print(\"' || r_name || '\")'"
+
+
+@query("s14_notebook_hashes", f"SELECT r_regionkey, sha256({_NOTEBOOK_CODE}) AS sha256 FROM region UNION ALL SELECT r_regionkey, sha256({_NOTEBOOK_CODE}) FROM region")
+def s14b(spark, d):
+    """Two runs of a notebook for each region, with other outputs and the same code."""
+    path = _scratch(spark, "notebooks")
+    source = lambda *lines: F.array(*lines)
+    cell = lambda kind, lines, note: F.struct(F.lit(kind).alias("cell_type"), lines.alias("source"), note.alias("outputs"))
+    code = (source(F.concat(F.lit("x = "), F.col("r_regionkey"), F.lit("\n")), F.lit("y = x")), source(F.concat(F.lit('print("'), F.col("r_name"), F.lit('")'))))
+    runs = table(spark, d, "region").withColumn("run", F.explode(F.array(F.lit(1), F.lit(2))))
+    note = F.concat(F.lit("out "), F.col("run"))
+    book = F.to_json(F.struct(F.array(cell("code", code[0], note), cell("markdown", source(F.lit("words")), note), cell("code", code[1], note)).alias("cells")))
+    runs.select(book.alias("value"), F.col("r_regionkey").alias("region"), "run").repartition("region", "run").write.partitionBy("region", "run").text(path)
+    return R.code_hashes(spark, path, "*.txt").select(F.regexp_extract("path", "region=([0-9]+)", 1).cast(table(spark, d, "region").schema["r_regionkey"].dataType).alias("r_regionkey"), "sha256")
+
+
 @query("s15_dataset_catalogue", "SELECT 'v' || (o_custkey % 3) AS version, count(*) AS rows, CAST(1 AS INTEGER) AS n_features, CAST(count(DISTINCT o_orderstatus) AS INTEGER) AS n_classes, 'certified' AS status FROM orders GROUP BY 1")
 def s15(spark, d):
     o = table(spark, d, "orders")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -172,17 +176,46 @@ def write_report(tables: dict[str, DataFrame], folder: str) -> None:
         df.write.mode("errorifexists").parquet(f"{folder}/{name}")
 
 
-def content_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """path, sha256 of every file below path."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("sha256"))
+WHOLE = 1 << 30  # bytes of a file that one value may hold
+CHUNK = 8 << 20
 
 
-def code_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """path, sha256 of the code cells of every notebook below path."""
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files' digests, read a piece at a time through the file systems that Arrow knows."""
+    from pyarrow import fs
+
+    for batch in batches:
+        digests = []
+        for uri in batch.column("path").to_pylist():
+            store, path = fs.FileSystem.from_uri(quote(re.sub("^file:/(?!/)", "file:///", uri), safe=":/@"))
+            digest = hashlib.sha256()
+            with store.open_input_stream(path) as stream:
+                while piece := stream.read(CHUNK):
+                    digest.update(piece)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(digests, pa.string())], names=["path", "sha256"])
+
+
+def content_hashes(spark: SparkSession, path: str, whole: int = WHOLE) -> DataFrame:
+    """path, sha256 of every file below path but empty ones, which Spark doesn't list.
+
+    Files of up to `whole` bytes are read as values, on any storage that Spark reads. Longer ones,
+    which no value can hold from 2 GB on, are streamed by the executors in pieces, a file to a task;
+    their storage must be one that Arrow reads (local, HDFS, S3, GCS), else the job fails and says so.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    small = files.where(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole).select("path")  # contents aren't read
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return small.unionByName(large.repartition(parts, "path").mapInArrow(_streamed, "path string, sha256 string"))
+
+
+def code_hashes(spark: SparkSession, path: str, glob: str = "*.ipynb") -> DataFrame:
+    """path, sha256 of the code cells of every notebook below path: outputs, counts and notes don't change it."""
     schema = "cells array<struct<cell_type: string, source: array<string>>>"
     cells = F.from_json(F.col("content").cast("string"), schema)["cells"]
     code = F.array_join(F.transform(F.filter(cells, lambda c: c["cell_type"] == "code"), lambda c: F.array_join(c["source"], "")), "\n")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.ipynb").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     return files.select("path", F.sha2(code.cast("binary"), 256).alias("sha256"))
 
 
