@@ -27,8 +27,8 @@ _LETTERS = re.compile(rf" ?[{_L}]+").fullmatch
 _LATIN = re.compile("[\x00-\xff]*").fullmatch
 #: White space but for the space and the line feed.
 _OTHER_SPACE = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Pieces and units of text that a worker remembers (100 to 200 bytes each), and the longest of them.
-REMEMBERED, LONGEST = 600_000, 64
+#: Pieces or units of text in each of the two generations that a worker remembers (100 to 200 bytes each), and the longest of them.
+REMEMBERED, LONGEST = 400_000, 64
 
 
 def tokenizer_file(name: str) -> str:
@@ -41,16 +41,17 @@ def tokenizer_file(name: str) -> str:
 
 
 class _Remembered(dict):
-    """Ids by text, found by `find` when first asked for."""
+    """Ids by text, found by `find` when first asked for; those that weren't asked for in two generations are forgotten."""
 
     def __init__(self, find: Callable[[str], bytes]):
         super().__init__()
-        self.find = find
+        self.find, self.before = find, {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.find(text)
+        ids = self.before.get(text) or self.find(text)
         if len(text) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[text] = ids
         return ids
@@ -62,13 +63,14 @@ class _Words(_Remembered):
     Most such units are a word, or a word and the mark that ends its clause, which is cut off by itself.
     """
 
-    def __init__(self, word: Callable[[str], bytes], other: Callable[[str], bytes]):
+    def __init__(self, tokenize: Callable[[str], list], code: str, bytes_as: dict[int, str], other: Callable[[str], bytes]):
         super().__init__(self._found)
-        self.word, self.other = word, other
+        self.tokenize, self.code, self.bytes_as, self.other = tokenize, code, bytes_as, other
 
     def _found(self, unit: str) -> bytes:
         if unit.isalpha():
-            return self.word(unit)
+            text = unit if unit.isascii() else unit.encode("utf-8").decode("latin-1").translate(self.bytes_as)
+            return array(self.code, [t.id for t in self.tokenize(text)]).tobytes()
         if unit[-1] in ".,;:!?" and unit[:-1].isalpha():
             return self[unit[:-1]] + self[unit[-1]]
         return self.other(unit)
@@ -95,7 +97,7 @@ class Encoder:
             self.cut = _PIECES[self.kind].findall
             self.pieces = _Remembered(self._piece)
             self.units = _Remembered(self._unit)
-            self.words = _Words(self._merged, self._joined)
+            self.words = _Words(self.model_ids, self.code, self.bytes_as, self._joined)
 
     @staticmethod
     def _kind(spec: dict) -> str | None:
