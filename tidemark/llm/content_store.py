@@ -215,9 +215,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
     parts = shuffle_partitions(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     entries = source.mapInArrow(_entries(tokenizer, end_id), _ENTRY)
-    # Chunks meet by digest, after each map task has kept one of each; a recipe is alone under its key.
+    # Chunks meet by digest; as each map task has kept one of each, they are dealt at once and sorted only where they meet. A recipe is alone under its key.
     kept = ("payload", "n_tokens", "digests", "ends")
-    unique = entries.groupBy("kind", "digest", "row", "doc_id").agg(*(F.first(c).alias(c) for c in kept), F.count(F.lit(1)).alias("copies"))
+    unique = entries.repartition(parts, "digest").groupBy("kind", "digest", "row", "doc_id").agg(*(F.first(c).alias(c) for c in kept), F.count(F.lit(1)).alias("copies"))
     unique.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/entries")
     recipes = spark.read.schema(f"{_ENTRY}, copies long").parquet(f"{path}/entries").where("kind = 'recipe'")
     # Tasks count rows on their own: equal rows of two tasks are one document repeated, and stay as many.
