@@ -123,3 +123,19 @@ def test_long_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
     for whole in (1 << 30, 4000, -1):
         got = readers.content_hashes(spark, str(tmp_path), whole).collect()
         assert sorted(r.sha256 for r in got) == want and len({r.path for r in got}) == 3
+
+
+def test_a_directory_of_parts_is_one_table(spark, tmp_path):
+    from tidemark.sources import readers
+
+    spark.range(40).repartition(3).write.parquet(f"{tmp_path}/deep/many.parquet")
+    spark.range(4).withColumn("n", F.col("id")).write.partitionBy("id").parquet(f"{tmp_path}/parted.parquet")
+    spark.range(3).toPandas().to_parquet(tmp_path / "one.parquet")
+    found = readers.read_folder(spark, str(tmp_path)).collect()
+    assert sorted((r.name, r.group, r.path.rpartition("/")[2]) for r in found) == [("many", "deep", "many.parquet"), ("one", None, "one.parquet"), ("parted", None, "parted.parquet")]
+    kept = readers.folder_changes(*[readers.read_folder(spark, str(tmp_path)).select("name", "path")] * 2).collect()
+    assert sorted((r.name, r.change) for r in kept) == [(n, "kept") for n in ("many", "one", "parted")]
+    (tmp_path / "other").mkdir()
+    spark.range(3).toPandas().to_parquet(tmp_path / "other" / "many.parquet")
+    with pytest.raises(ValueError, match="named many"):
+        readers.read_folder(spark, str(tmp_path))

@@ -72,16 +72,23 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """A row for each parquet file below folder: path, group (first sub-folder) and cleaned name; refuses equal names."""
+    """A row for each parquet table below folder: path, group (first sub-folder) and cleaned name; refuses equal names.
+
+    A table is a file, or a directory whose name ends in .parquet, however many files are in it.
+    """
     from tidemark.functions.labels import clean_name
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder).select("path")
     root = folder.rstrip("/").split(":")[-1].lstrip("/")
-    parts = F.split(F.regexp_replace("path", f"^.*{re.escape(root)}/", ""), "/")
-    named = files.select("path", F.when(F.size(parts) > 1, parts[0]).alias("group"), clean_name(F.regexp_replace(F.element_at(parts, -1), r"\.parquet$", "")).alias("name"))
+    below = F.regexp_replace("path", f"^.*{re.escape(root)}/", "")
+    inside = F.regexp_extract(below, r"^(?:[^/]+/)*?[^/]*\.parquet(/.*)?$", 1)  # of the first directory that is a table
+    cut = lambda c: F.left(c, F.length(c) - F.length(inside))
+    tables = files.select(cut(F.col("path")).alias("path"), cut(below).alias("_below")).distinct()
+    parts = F.split("_below", "/")
+    named = tables.select("path", F.when(F.size(parts) > 1, parts[0]).alias("group"), clean_name(F.regexp_replace(F.element_at(parts, -1), r"\.parquet$", "")).alias("name"))
     twice = [r["name"] for r in named.groupBy("name").count().where("count > 1").limit(5).collect()]
     if twice:
-        raise ValueError(f"several files are named {', '.join(twice)}")
+        raise ValueError(f"several tables are named {', '.join(twice)}")
     return named
 
 
