@@ -139,3 +139,16 @@ def test_a_directory_of_parts_is_one_table(spark, tmp_path):
     spark.range(3).toPandas().to_parquet(tmp_path / "other" / "many.parquet")
     with pytest.raises(ValueError, match="named many"):
         readers.read_folder(spark, str(tmp_path))
+
+
+def test_shuffled_labels_lose_no_row(spark):
+    """Ranges that are not put together again, as those of a large table are not."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        df = spark.range(0, 60_000, 1, 3).select(F.col("id"), F.concat(F.lit("k"), F.col("id") % 5).alias("label"))
+        counts = models.shuffled(df, "label", "id", 5).groupBy("label").count().collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted((r[0], r[1]) for r in counts) == [(f"k{k}", 12_000) for k in range(5)]

@@ -1,7 +1,5 @@
 """Queries: models, streams, files (ML, V08, ST, S02, S07-S09, S14, S15)."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tidemark.functions.timebars import ANCHOR
@@ -16,15 +14,6 @@ from tidemark.streaming import bars as B
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _scratch(spark, name):
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if spark.sparkContext.master.partition("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        root = f"/tmp/checkpoints/tidemark-{spark.sparkContext.applicationId}"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def lines(spark, d):
     i = table(spark, d, "lineitem")
     return i.withColumn("id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
@@ -120,7 +109,7 @@ def m08(spark, d):
     from tidemark.operators.missing import Preparer, PreparerModel
 
     g = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_quantity") != 1, F.col("l_quantity")).alias("q"), F.when(F.col("l_discount") > 0.02, F.col("l_discount")).alias("disc"), F.col("l_returnflag").alias("mode"))
-    path = _scratch(spark, "prepared")
+    path = R.scratch(spark, "prepared")
     Preparer(["q", "disc"], ["mode"]).fit(g.where("l_partkey % 5 < 4 and mode <> 'R'")).write().overwrite().save(path)
     return PreparerModel.load(path).transform(g).select("l_orderkey", "l_linenumber", F.round("q", 6).alias("q"), F.round("disc", 6).alias("disc"), "mode_code")
 
@@ -143,7 +132,7 @@ def st2(spark, d):
 def st2s(spark, d):
     """All of events as a stream; the bars that the last event leaves open never appear."""
     e = table(spark, d, "events")
-    src, out, state = (_scratch(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
+    src, out, state = (R.scratch(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
     e.write.parquet(src)
     stream = B.closed_bars(B.event_stream(spark, src, e.schema, 1000), ["user_id"], 60, "value")
     q = stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
@@ -154,7 +143,7 @@ def st2s(spark, d):
 @query("st1_new_datasets_once", "SELECT event_type AS version, count(*) AS rows FROM events GROUP BY 1")
 def st1(spark, d):
     """A manifest for each event type, handled by two runs of the stream; each is handled once."""
-    src, out, state = (_scratch(spark, n) for n in ("manifests", "handled", "manifest-state"))
+    src, out, state = (R.scratch(spark, n) for n in ("manifests", "handled", "manifest-state"))
     m = table(spark, d, "events").groupBy(F.col("event_type").alias("version")).agg(F.count(F.lit(1)).alias("rows"))
     m.write.json(src)
     for _ in range(2):
@@ -188,7 +177,7 @@ def s07(spark, d):
 
 @query("s08_stamped", "SELECT o_orderkey, o_orderstatus FROM orders")
 def s08(spark, d):
-    path = _scratch(spark, "stamped")
+    path = R.scratch(spark, "stamped")
     R.stamp(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", labels="v1").write.parquet(path)
     again = spark.read.parquet(path)
     R.read_stamp(again, "o_orderstatus", labels="v1")
@@ -197,12 +186,12 @@ def s08(spark, d):
 
 @query("s09_certified_write", "SELECT * FROM customer")
 def s09(spark, d):
-    return R.write_certified(table(spark, d, "customer"), _scratch(spark, "certified"))
+    return R.write_certified(table(spark, d, "customer"), R.scratch(spark, "certified"))
 
 
 @query("s12_report_tables", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def s12(spark, d):
-    path = _scratch(spark, "report")
+    path = R.scratch(spark, "report")
     o = table(spark, d, "orders")
     R.write_report({"summary": o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), "rows": o.limit(10)}, path)
     return spark.read.parquet(f"{path}/summary")
@@ -210,7 +199,7 @@ def s12(spark, d):
 
 @query("s13_manifest_round_trip", "SELECT 'v1' AS version, count(*) AS rows FROM orders")
 def s13(spark, d):
-    path = _scratch(spark, "manifest")
+    path = R.scratch(spark, "manifest")
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     K.manifest(o, "v1", ["o_orderkey"], "o_orderstatus", "closed bars only").write.json(path)
     return spark.read.json(path).select("version", "rows")
@@ -228,7 +217,7 @@ _NOTEBOOK_CODE = "'x = ' || r_regionkey || chr(10) || 'y = x' || chr(10) || 'pri
 @query("s14_notebook_hashes", f"SELECT r_regionkey, sha256({_NOTEBOOK_CODE}) AS sha256 FROM region UNION ALL SELECT r_regionkey, sha256({_NOTEBOOK_CODE}) FROM region")
 def s14b(spark, d):
     """Two runs of a notebook for each region, with other outputs and the same code."""
-    path = _scratch(spark, "notebooks")
+    path = R.scratch(spark, "notebooks")
     source = lambda *lines: F.array(*lines)
     cell = lambda kind, lines, note: F.struct(F.lit(kind).alias("cell_type"), lines.alias("source"), note.alias("outputs"))
     code = (source(F.concat(F.lit("x = "), F.col("r_regionkey"), F.lit("\n")), F.lit("y = x")), source(F.concat(F.lit('print("'), F.col("r_name"), F.lit('")'))))

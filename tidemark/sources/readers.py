@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -18,6 +19,32 @@ TIME_FORMATS = ("dd-MM-yyyy HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:s
 _FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc"}
 
 
+_LEFT: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in spark.checkpoint.dir, which all machines share; only a local master has a folder of its own instead."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        root = f"/tmp/checkpoints/tidemark-{spark.sparkContext.applicationId}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _LEFT.append((spark, path))
+    return path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release() -> None:
+    """Delete every scratch folder, once no result that reads one is needed any more."""
+    while _LEFT:
+        drop(*_LEFT.pop())
+
+
 def parse_time(text: Column, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
     """The first format that fits, as a zoneless time; null if none does."""
     return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats))
@@ -232,8 +259,14 @@ def most_recent(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 def row_ids(df: DataFrame, order: list[str], name: str = "unique_index") -> DataFrame:
-    """df with ids from 0 in order: ranges are numbered on their own and start where the ones before end."""
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    """df with ids from 0 in order: ranges are numbered on their own and start where the ones before end.
+
+    Ranges come from a sample, which differs each time it is drawn, so rows are written with theirs
+    before they are counted and numbered.
+    """
+    path = scratch(df.sparkSession, "ranges")
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select("_range", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_from"))
     within = F.row_number().over(W.partitionBy("_range").orderBy(*order))
