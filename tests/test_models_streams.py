@@ -141,14 +141,44 @@ def test_a_directory_of_parts_is_one_table(spark, tmp_path):
         readers.read_folder(spark, str(tmp_path))
 
 
-def test_shuffled_labels_lose_no_row(spark):
+def test_shuffled_labels_lose_no_row(spark, tmp_path):
     """Ranges that are not put together again, as those of a large table are not."""
     name = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(name)
     spark.conf.set(name, "false")
     try:
-        df = spark.range(0, 60_000, 1, 3).select(F.col("id"), F.concat(F.lit("k"), F.col("id") % 5).alias("label"))
+        spark.range(0, 60_000, 1, 3).select(F.col("id"), F.concat(F.lit("k"), F.col("id") % 5).alias("label")).write.parquet(f"{tmp_path}/t")
+        df = spark.read.parquet(f"{tmp_path}/t")
         counts = models.shuffled(df, "label", "id", 5).groupBy("label").count().collect()
     finally:
         spark.conf.set(name, before)
     assert sorted((r[0], r[1]) for r in counts) == [(f"k{k}", 12_000) for k in range(5)]
+
+
+def test_no_task_fits_more_rows_than_its_share(spark):
+    one = spark.range(0, 50_000, 1, 1)
+    assert models.dealt(one, 6_000).rdd.getNumPartitions() == 9 and models.dealt(one).rdd.getNumPartitions() == 4
+    assert models.dealt(one.limit(100)).rdd.getNumPartitions() == 1 and models.dealt(one.where("id < 0")).count() == 0
+    sizes = models.dealt(one, 6_000).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r[1] for r in sizes) == 50_000 and max(r[1] for r in sizes) <= 6_000
+
+
+def test_sessions_move_no_row(spark):
+    """Days are few and local: their join deals no rows, and folds and cuts are known before rows are read."""
+    from tidemark.operators import splits
+
+    df = spark.range(0, 2_000, 1, 3).select(F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("ts"), "id")
+    for made in (splits.with_session(df), splits.three_way(df, 0.1, 0.2, 1), splits.purged_folds(df, 3, 0, 0)):
+        assert "SortMergeJoin" not in (plan := made._jdf.queryExecution().executedPlan().toString()) and "hashpartitioning" not in plan
+    assert splits.with_session(df.where("id < 0")).count() == 0
+
+
+def test_clocks_deal_more_rows_to_more_tasks(spark, monkeypatch):
+    from tidemark.operators import clocks
+
+    df = spark.range(4_000).select((F.col("id") % 40).alias("k"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"), (F.col("id") % 7).cast("double").alias("x"))
+    want = clocks.bar_constancy(df, ["k"], ["x"]).collect()
+    monkeypatch.setattr(clocks, "CELLS", 100, raising=False)
+    many = clocks.bar_constancy(df, ["k"], ["x"])
+    assert sorted(many.collect()) == sorted(want)
+    assert "40), REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()

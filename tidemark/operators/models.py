@@ -5,18 +5,21 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import statistics
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate as E
 from tidemark.operators import missing as M
+from tidemark.sources import readers as R
 
 
 class Prepared:
@@ -46,6 +49,23 @@ def pipeline(features: list[str], label: str, kind: str = "forest", weight: str
     return Pipeline(stages=[StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep"), VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep"), learner])
 
 
+ROWS = 500_000  # of a training part that one task holds
+
+
+def dealt(df: DataFrame, rows: int = ROWS) -> DataFrame:
+    """df in parts of about `rows` rows at most, however few parts it comes in; a small table in one for each core at most."""
+    n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(-(-n // rows), min(cores, n // 10_000), 1))
+
+
+def fit(learner: Pipeline, train: DataFrame) -> PipelineModel:
+    """A pipeline() fitted on a training part, of which learners keep a row for every row, in parts of bounded size."""
+    coder, vectors, last = learner.getStages()
+    weight = [last.getWeightCol()] if last.isDefined("weightCol") else []
+    used = train.select(*dict.fromkeys([*vectors.getInputCols(), coder.getInputCol(), *weight]))
+    return Pipeline(stages=[coder.fit(used), vectors, last]).fit(dealt(used))
+
+
 def class_weights(df: DataFrame, label: str, weights: dict[str, float], name: str = "weight") -> DataFrame:
     """df with each class's weight; refuses a class without one."""
     lost = [r[0] for r in df.select(label).distinct().collect() if r[0] is not None and r[0] not in weights]
@@ -135,7 +155,7 @@ def at_edges(best: dict, grid: dict[str, list]) -> list[str]:
     return [name for name, values in grid.items() if len(set(values)) > 1 and best[name] in (min(values), max(values))]
 
 
-def search(train: DataFrame, features: list[str], label: str, severity: DataFrame | None, grid: dict[str, list], fold: str, kind: str = "forest", weight: str | None = None, draw: int | None = None, seed: int = 7, known: dict | None = None, parallelism: int = 2) -> dict:
+def search(train: DataFrame, features: list[str], label: str, severity: DataFrame | None, grid: dict[str, list], fold: str, kind: str = "forest", weight: str | None = None, draw: int | None = None, seed: int = 7, known: dict | None = None, parallelism: int = 1) -> dict:
     """Cross-validated search for the point of a grid with the least mean trading cost.
 
     train has a column `fold` of whole numbers from 0; each fold is the validation part once. Points
@@ -144,6 +164,9 @@ def search(train: DataFrame, features: list[str], label: str, severity: DataFram
     edges (params whose best value ends their range) and skipped: if `known`, an earlier result, has
     the same fingerprint, it is given back and nothing is trained. Refuses fewer than two folds, as
     there would be nothing to validate on.
+
+    Rows are coded and written once, in files of bounded length, and every fold reads them there;
+    `parallelism` points are trained at a time, each of which keeps its training part in memory.
     """
     used = train.select(*features, label, fold, *([weight] if weight else []))
     mark = f"{fingerprint(used)}/{hashlib.sha256(repr((sorted(grid.items()), features, label, fold, kind, weight, draw, seed)).encode()).hexdigest()[:16]}"
@@ -154,16 +177,27 @@ def search(train: DataFrame, features: list[str], label: str, severity: DataFram
         raise ValueError("a search needs two folds or more, numbered from 0, to validate on")
     stages = pipeline(features, label, kind, weight).getStages()
     coder = stages[0].fit(used)  # the classes of all folds
-    ready = stages[1].transform(coder.transform(used)).withColumn("_fold", F.col(fold).cast("int"))
     names = sorted(grid)
     points = [dict(zip(names, values, strict=True)) for values in itertools.product(*(grid[n] for n in names))]
     if draw is not None and draw < len(points):
         points = random.Random(seed).sample(points, draw)
     learner = stages[2]
     maps = [{learner.getParam(n): v for n, v in point.items()} for point in points]
-    validator = CrossValidator(estimator=learner, estimatorParamMaps=maps, evaluator=CostEvaluator(coder.labels, severity), numFolds=folds["n"], foldCol="_fold", parallelism=parallelism)
-    trained = validator.fit(ready)
-    by_point = [{**point, "cost": mean, "spread": std} for point, mean, std in zip(points, trained.avgMetrics, trained.stdMetrics, strict=True)]
+    evaluator, spark, path = CostEvaluator(coder.labels, severity), train.sparkSession, R.scratch(train.sparkSession, "search")
+    coded = coder.transform(used).select(*features, "_label", F.col(fold).cast("int").alias("_fold"), *([weight] if weight else []))
+    try:
+        dealt(coded, ROWS // 2).write.parquet(path)
+        ready = stages[1].transform(spark.read.parquet(path))
+
+        def tried(params: dict, k: int) -> float:
+            model = learner.fit(ready.where(F.col("_fold") != k), params)
+            return evaluator.evaluate(model.transform(ready.where(F.col("_fold") == k)))
+
+        with ThreadPool(parallelism) as pool:
+            costs = pool.starmap(inheritable_thread_target(spark)(tried), [(params, k) for params in maps for k in range(folds["n"])], 1)
+    finally:
+        R.drop(spark, path)
+    by_point = [{**point, "cost": statistics.fmean(own), "spread": statistics.pstdev(own)} for point, own in zip(points, itertools.batched(costs, folds["n"]), strict=True)]
     ordered = sorted(by_point, key=lambda x: (x["cost"], [x[n] for n in names]))
     best = {n: ordered[0][n] for n in names}
     return {"fingerprint": mark, "points": ordered, "best": best, "edges": at_edges(best, grid), "skipped": False}
@@ -181,7 +215,7 @@ def arms(df: DataFrame, splits: dict[str, DataFrame], features: list[str], label
     """(arm, accuracy, cost) of the same model on different splits (df with split)."""
     out = []
     for name, parted in splits.items():
-        model = pipeline(features, label, kind).fit(parted.where("split = 'train'"))
+        model = fit(pipeline(features, label, kind), parted.where("split = 'train'"))
         scored = score(model, parted.where("split = 'test'"), label)
         out.append((name, scored.agg(F.avg(F.col("correct").cast("int"))).first()[0], cost(scored, label, severity)))
     return out
@@ -191,7 +225,7 @@ def holdout_scores(arms_: dict[str, DataFrame], ahead: DataFrame, features: list
     """arm, part, macro_f1, cost: one model for each development split, scored on its own test part (dev) and on rows after all of them (forward)."""
     out = []
     for arm, parted in arms_.items():
-        model = pipeline(features, label, kind).fit(parted.where("split = 'train'"))
+        model = fit(pipeline(features, label, kind), parted.where("split = 'train'"))
         for part, rows in (("dev", parted.where("split = 'test'")), ("forward", ahead)):
             scored = score(model, rows, label)
             macro = E.per_class(scored, label, "predicted_label", zero=True).where("label = 'MACRO'").first()

@@ -23,7 +23,7 @@ def fitted(spark, d):
     x = S.random_rows(lines(spark, d), "id", 0.3, 3)
     train = x.where("split = 'train'")
     prepared = X.Prepared(train, FEATURES, ["l_linestatus"])
-    model = X.pipeline(prepared.columns, "l_returnflag", "forest", numTrees=5, maxDepth=4).fit(prepared.apply(train))
+    model = X.fit(X.pipeline(prepared.columns, "l_returnflag", "forest", numTrees=5, maxDepth=4), prepared.apply(train))
     return x, prepared, model
 
 
@@ -79,7 +79,7 @@ def ml6(spark, d):
     """One of the features has one value."""
     x = lines(spark, d).withColumn("flat", F.col("l_orderkey") * 0.0)
     features = [*FEATURES, "flat"]
-    model = X.pipeline(features, "l_returnflag", "forest", numTrees=5, maxDepth=4).fit(x)
+    model = X.fit(X.pipeline(features, "l_returnflag", "forest", numTrees=5, maxDepth=4), x)
     return X.importances(model, features).where("importance < 0.001").select("feature")
 
 
