@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -23,8 +24,13 @@ def hash_rank(id_: Column, seed: int) -> Column:
 
 
 def with_session(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """df with session: the place of its day among the days that occur, from 0. """
-    days = df.select(F.to_date(ts).alias("_day")).where("_day is not null").distinct().select("_day", (F.dense_rank().over(W.orderBy("_day")) - 1).alias("session"))
+    """df with session: the place of its day among the days that occur, from 0.
+
+    The days come to the driver, a row for each, and go back as a local table, whose size Spark
+    knows: rows are neither dealt by day to find theirs nor read again for each use.
+    """
+    found = sorted(r[0] for r in df.select(F.to_date(ts).alias("_day")).where("_day is not null").distinct().collect())
+    days = df.sparkSession.createDataFrame(pa.table({"_day": pa.array(found, pa.date32()), "session": pa.array(range(len(found)), pa.int32())}))
     return df.withColumn("_day", F.to_date(ts)).join(days, "_day", "left").drop("_day")
 
 
@@ -55,10 +61,10 @@ def three_way(df: DataFrame, val: float, test: float, embargo: int, ts: str = "t
     timed = df.select(micros.alias("_m"))
     first, second = (exact_quantile(timed, "_m", q) for q in (1 - val - test, 1 - test))
     own = own.withColumns({"_a": F.lit(first), "_b": F.lit(second)})
-    ends = own.agg(F.max(F.when(micros <= F.col("_a"), F.col("session"))).alias("_sa"), F.max(F.when(micros <= F.col("_b"), F.col("session"))).alias("_sb"))
+    ends = own.agg(F.max(F.when(micros <= F.col("_a"), F.col("session"))).alias("_sa"), F.max(F.when(micros <= F.col("_b"), F.col("session"))).alias("_sb")).first()
     s = F.col("session")
-    part = F.when(micros <= F.col("_a"), "train").when((micros <= F.col("_b")) & (s > F.col("_sa") + embargo), "val").when((micros > F.col("_b")) & (s > F.col("_sb") + embargo), "test").otherwise("embargo")
-    return own.crossJoin(ends).withColumn("split", part).drop("_a", "_b", "_sa", "_sb")
+    part = F.when(micros <= F.col("_a"), "train").when((micros <= F.col("_b")) & (s > F.lit(ends["_sa"]) + embargo), "val").when((micros > F.col("_b")) & (s > F.lit(ends["_sb"]) + embargo), "test").otherwise("embargo")
+    return own.withColumn("split", part).drop("_a", "_b")
 
 
 def bundle_time(df: DataFrame, val: float, test: float, embargo: int, minutes: int = 15, ts: str = "ts") -> DataFrame:
@@ -114,14 +120,13 @@ def purged_folds(df: DataFrame, folds: int, purge: int, embargo: int, ts: str =
     Dropped are `purge` sessions before the block and purge + embargo after it.
     """
     own = with_session(df, ts)
-    total = own.agg((F.max("session") + 1).alias("_k"))
-    base, extra = F.floor(F.col("_k") / folds), F.col("_k") % folds
-    sized = total.select(F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"), base.alias("_base"), extra.alias("_extra"))
-    start = F.col("fold") * F.col("_base") + F.least("fold", "_extra")
-    blocks = sized.select("fold", start.alias("_from"), (start + F.col("_base") + (F.col("fold") < F.col("_extra")).cast("int")).alias("_to"))
+    last = own.agg(F.max("session")).first()[0]
+    base, extra = divmod(0 if last is None else last + 1, folds)
+    starts = [k * base + min(k, extra) for k in range(folds + 1)]
+    blocks = df.sparkSession.createDataFrame(pa.table({"fold": pa.array(range(folds), pa.int32()), "_from": pa.array(starts[:-1], pa.int64()), "_to": pa.array(starts[1:], pa.int64())}))
     s = F.col("session")
     role = F.when((s >= F.col("_from")) & (s < F.col("_to")), "test").when((s >= F.col("_from") - purge) & (s < F.col("_to") + purge + embargo), "dropped").otherwise("train")
-    return own.crossJoin(F.broadcast(blocks)).withColumn("role", role).drop("_from", "_to")
+    return own.crossJoin(blocks).withColumn("role", role).drop("_from", "_to")
 
 
 def fold_report(assigned: DataFrame, ts: str = "ts") -> DataFrame:
