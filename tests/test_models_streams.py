@@ -147,7 +147,7 @@ def test_shuffled_labels_lose_no_row(spark, tmp_path):
     before = spark.conf.get(name)
     spark.conf.set(name, "false")
     try:
-        spark.range(0, 60_000, 1, 3).select(F.col("id"), F.concat(F.lit("k"), F.col("id") % 5).alias("label")).write.parquet(f"{tmp_path}/t")
+        spark.range(0, 60_000, 1, 3).select(F.col("id"), F.concat(F.lit("k"), F.col("id") % 5).alias("label"), F.sha2(F.col("id").cast("string"), 256).alias("more")).write.parquet(f"{tmp_path}/t")
         df = spark.read.parquet(f"{tmp_path}/t")
         counts = models.shuffled(df, "label", "id", 5).groupBy("label").count().collect()
     finally:
