@@ -536,6 +536,13 @@ def test_links_of_planted_neighbours(spark):
     assert got == want
 
 
+def test_keys_of_a_small_table_are_not_broadcast(spark, tmp_path):
+    spark.range(1000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/fps")
+    met = simhash.links(spark.read.parquet(f"{tmp_path}/fps"))
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+    assert met.count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     rng = np.random.default_rng(6)
     names = rng.permutation(200).tolist()

@@ -112,7 +112,8 @@ def links(fps: DataFrame) -> DataFrame:
     index = fps.select("fp").mapInArrow(_index_keys, "key long, fp long").withColumnRenamed("fp", "u")
     probe = fps.select("fp").mapInArrow(_probe_keys, "key long, fp long").withColumnRenamed("fp", "v")
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= BITS
-    met = index.join(probe, (index["key"] == probe["key"]) & (F.col("u") < F.col("v")) & near)
+    # Spark takes the keys, up to 60 a fingerprint, to be no larger than the fingerprints, and would broadcast them.
+    met = index.join(probe.hint("merge"), (index["key"] == probe["key"]) & (F.col("u") < F.col("v")) & near)
     return met.select("u", "v").distinct()
 
 
