@@ -89,3 +89,16 @@ def test_stages_leave_no_scratch_behind(spark):
     corpus_pipeline.run(spark, SF)
     left = {x.split("-")[1] for x in set(os.listdir(root)) - before if os.listdir(f"{root}/{x}")}
     assert not left & {"toxicity", "simhash", "secrets", "mixing"}
+
+
+def test_near_dedup_broadcasts_no_keys(spark, monkeypatch):
+    plans, save = {}, Scratch.save
+
+    def noted(self, df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return save(self, df, name, *more)
+
+    monkeypatch.setattr(Scratch, "save", noted)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert 0 < corpus_pipeline.near_dedup(spark, docs, SF).count() < docs.count()
+    assert "SortMergeJoin" in plans["links"] and "Broadcast" not in plans["links"]
