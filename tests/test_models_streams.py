@@ -125,6 +125,23 @@ def test_long_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
         assert sorted(r.sha256 for r in got) == want and len({r.path for r in got}) == 3
 
 
+def test_no_long_file_is_one_value(spark, tmp_path):
+    import hashlib
+
+    from tidemark.sources import readers
+
+    for k, n in enumerate((5, 40_000_000, 20_000_000)):
+        (tmp_path / f"{k} of.bin").write_bytes(bytes([k]) * n)
+    want = sorted(hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.glob("*.bin"))
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.hashed.link./in", f"file://{tmp_path}")
+    assert sorted(r.sha256 for r in readers.content_hashes(spark, "viewfs://hashed/in").collect()) == want  # Arrow can't open it
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 32_000_000)
+    try:
+        assert sorted(r.sha256 for r in readers.content_hashes(spark, str(tmp_path)).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_a_directory_of_parts_is_one_table(spark, tmp_path):
     from tidemark.sources import readers
 

@@ -207,7 +207,7 @@ def s13(spark, d):
 
 @query("s14_content_hashes")
 def s14(spark, d):
-    """The content of every file of the folder that a binary value can hold."""
+    """The content of every file of the folder."""
     return R.content_hashes(spark, d).select("sha256")
 
 

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -210,18 +211,30 @@ def write_report(tables: dict[str, DataFrame], folder: str) -> None:
         df.write.mode("errorifexists").parquet(f"{folder}/{name}")
 
 
-WHOLE = 1 << 30  # bytes of a file that one value may hold
+WHOLE = 16 << 20  # bytes of a file that is read as one value, of which a task holds a few copies
+VALUE = 1 << 30  # the same where files can't be read in pieces
 CHUNK = 8 << 20
 
 
+def _stored(uri: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(quote(re.sub("^file:/(?!/)", "file:///", uri), safe=":/@"))
+
+
+def _in_pieces(uri: str) -> bool:
+    """Whether Arrow finds a file, so that it can be read in pieces."""
+    try:
+        store, path = _stored(uri)
+        return store.get_file_info(path).is_file
+    except (OSError, pa.ArrowException):
+        return False
+
+
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Files' digests, read a piece at a time through the file systems that Arrow knows."""
-    from pyarrow import fs
-
     for batch in batches:
         digests = []
         for uri in batch.column("path").to_pylist():
-            store, path = fs.FileSystem.from_uri(quote(re.sub("^file:/(?!/)", "file:///", uri), safe=":/@"))
+            store, path = _stored(uri)
             digest = hashlib.sha256()
             with store.open_input_stream(path) as stream:
                 while piece := stream.read(CHUNK):
@@ -233,13 +246,18 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def content_hashes(spark: SparkSession, path: str, whole: int = WHOLE) -> DataFrame:
     """path, sha256 of every file below path but empty ones, which Spark doesn't list.
 
-    Files of up to `whole` bytes are read as values, on any storage that Spark reads. Longer ones,
-    which no value can hold from 2 GB on, are streamed by the executors in pieces, a file to a task;
-    their storage must be one that Arrow reads (local, HDFS, S3, GCS), else the job fails and says so.
+    Files of up to `whole` bytes are read as values, on any storage that Spark reads. Longer ones
+    are streamed by the executors in pieces, a file to a task, from storage that Arrow reads (local,
+    HDFS, S3, GCS). On any other storage files of up to VALUE bytes are values too, which takes
+    executors with room for them; for longer ones, which no value can hold from 2 GB on, the job
+    fails and says so.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    longer = files.where(F.col("length") > whole).select("path").first()  # contents aren't read
+    if longer is not None and not _in_pieces(longer["path"]):
+        whole = max(whole, VALUE)
     small = files.where(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") > whole).select("path")  # contents aren't read
+    large = files.where(F.col("length") > whole).select("path")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return small.unionByName(large.repartition(parts, "path").mapInArrow(_streamed, "path string, sha256 string"))
 
