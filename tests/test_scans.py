@@ -215,6 +215,15 @@ def test_text_clocks_and_medians_of_sizes(spark):
     assert {r.clock for r in clocks.column_clocks(wide, ["k"], wide.columns[2:]).collect()} == {15}
 
 
+@pytest.mark.parametrize("n, large, still", [(4000, 2000, True), (4000, 2001, True), (4000, 1999, False), (4001, 2001, True), (4001, 2000, False)])
+def test_a_movement_is_set_against_the_exact_median(spark, n, large, still):
+    """One bar moves by 0.5, which a median size of 500,000 bears: the mean of 1.5 and 1,000,000 does."""
+    seconds = F.when(F.col("id") == n - 1, (n - 2) * 3600 + 60).otherwise(F.col("id") * 3600)
+    x = F.when(F.col("id") == n - 1, 1.5).when(F.col("id") < large, 1e6).otherwise(1.0)
+    df = spark.range(n).select(F.lit(1).alias("k"), F.timestamp_seconds(seconds).cast("timestamp_ntz").alias("ts"), x.alias("x"))
+    assert [tuple(r) for r in clocks.bar_constancy(df, ["k"], ["x"], (3,)).collect()] == [("x", 3, n - 1, still)]
+
+
 @pytest.mark.parametrize("verdict, names", [
     ("banned", "label_int label_int_3 label target target_5 y y_up y.up outcome outcome_2 primary_label weight weight_raw dir_at_label is_label is_label_3 label_dir signed_ret signed_ret_5 fut_ret_5 future_ret fwd_ret_1 x_fwd ret_ahead next_close ahead_2 lead_1 x_lead5 close_future session date datetime day t5 ts src__session src__label_int vwap_session"),
     ("suspect", "label_combined Flow_State_Label my_target_zone up_class labels"),
